@@ -1,0 +1,42 @@
+from __future__ import annotations
+
+import os
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+SF_SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from pyspark.sql import SparkSession
+
+    session = (SparkSession.builder.master("local[*]")
+               .appName("weir-tests")
+               .config("spark.sql.shuffle.partitions", "8")
+               .config("spark.sql.session.timeZone", "UTC")
+               .config("spark.sql.adaptive.enabled", "true")
+               .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
+               .getOrCreate())
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture()
+def scratch(spark):
+    from weir.session import fresh_path
+
+    def make(name: str = "t") -> str:
+        return fresh_path(spark, name)
+    return make
+
+
+@pytest.fixture(scope="session")
+def sf_small():
+    return SF_SMALL

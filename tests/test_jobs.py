@@ -1,0 +1,60 @@
+"""Every registered query against its DuckDB oracle on the smallest tables."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
+          "pages benchmark labels conversations").split()
+
+
+def _norm(v):
+    if v is None:
+        return "NULL"
+    if isinstance(v, float):
+        return "NaN" if math.isnan(v) else repr(round(v, 9))
+    if hasattr(v, "isoformat"):
+        return v.isoformat(sep=" ") if hasattr(v, "hour") else v.isoformat()
+    return str(v)
+
+
+def _digest(cols, rows):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    lines = sorted("\x1f".join(_norm(r[i]) for i in order) for r in rows)
+    return hashlib.sha256("\n".join(lines).encode()).hexdigest()
+
+
+@pytest.fixture(scope="module")
+def duck(sf_small):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_small}/{t}.parquet')")
+    return con
+
+
+def test_every_query_has_an_oracle():
+    assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+def test_entry_smoke(spark):
+    df = entry.entry(spark)
+    assert df.columns == ["message_id", "event_time", "sensor_id", "temperature", "humidity", "pressure"]
+    assert df.count() > 0
+
+
+@pytest.mark.parametrize("key", sorted(entry.queries()))
+def test_query_matches_oracle(spark, duck, sf_small, key):
+    df = entry.queries()[key](spark, sf_small)
+    cols, rows = df.columns, [tuple(r) for r in df.collect()]
+    sql = entry.oracle_sql()[key].replace("/root/testdata/sf0.01", sf_small)
+    res = duck.execute(sql)
+    ocols, orows = [d[0] for d in res.description], res.fetchall()
+    assert sorted(cols) == sorted(ocols)
+    assert len(rows) == len(orows)
+    assert _digest(cols, rows) == _digest(ocols, orows)

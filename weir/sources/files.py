@@ -31,6 +31,9 @@ def read_csv(spark: SparkSession, path: str, *, header: bool = False,
              multi_line: bool = False) -> DataFrame:
     """CSV with RFC-4180 quoting (a quote inside a field is doubled).
 
+    An empty field reads as NULL whether it was written from NULL or from an
+    empty string; CSV has no way to tell them apart.
+
     Without a header the columns are ``_c0, _c1, ...`` and a header line in
     the file is read as data.  Without a schema every column is a string;
     ``infer_schema`` costs an extra pass over the data, so prefer a schema.
