@@ -7,6 +7,7 @@ operator is a sink or a stream, a read of what was written.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,12 +35,13 @@ from weir.streaming.batch_sinks import LOG_SCHEMA
 
 Job = Callable[[SparkSession, str], DataFrame]
 
-# Files per trigger for the catch-up streams.  Message files hold at most
-# 1000 rows, so one file per trigger is the sensor job's cap of 1000
-# offsets per trigger.
+# Files per trigger.  Over the capped topic (files of at most 1000 rows)
+# one file per trigger is the sensor job's cap of 1000 offsets per trigger;
+# catch-up streams over the main topic take several large files at once.
 REFERENCE_FILES_PER_TRIGGER = 1
-CATCH_UP_FILES_PER_TRIGGER = 20
-# Small enough that every scale gives several batches around the failure.
+CATCH_UP_FILES_PER_TRIGGER = 8
+SHUFFLED_FILES_PER_TRIGGER = 1
+# Over the capped topic: several batches before and after the failure.
 RESTART_FILES_PER_TRIGGER = 4
 
 
@@ -179,6 +181,10 @@ def case_sensitive_select(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- sinks -----------------------------------------------------------------------
 
+DERBY_DRIVER = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+ORDERS_DDL_TYPES = "o_orderstatus VARCHAR(8), o_orderpriority VARCHAR(32)"
+
+
 def _derby_url(spark: SparkSession, name: str) -> str:
     path = fresh_path(spark, name)
     if ":" in path.split("/", 1)[0]:
@@ -186,33 +192,47 @@ def _derby_url(spark: SparkSession, name: str) -> str:
     return f"jdbc:derby:{path};create=true"
 
 
-DERBY_DRIVER = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
-ORDERS_DDL_TYPES = "o_orderstatus VARCHAR(8), o_orderpriority VARCHAR(32)"
+def jdbc_target(spark: SparkSession, name: str) -> tuple[str, dict]:
+    """The database the JDBC jobs write to: ``(url, connection options)``.
+
+    Set ``spark.weir.jdbc.url`` (and ``.driver``, ``.user``, ``.password``)
+    to use a real warehouse.  Without it, in local mode only, an embedded
+    Derby database in the scratch area stands in (same JVM, no server).
+    """
+    url = spark.conf.get("spark.weir.jdbc.url", None)
+    if url:
+        conn = {k: spark.conf.get(f"spark.weir.jdbc.{k}", None) for k in ("driver", "user", "password")}
+        return url, {k: v for k, v in conn.items() if v is not None}
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.weir.jdbc.url: embedded Derby only works in local mode")
+    return _derby_url(spark, name), {"driver": DERBY_DRIVER}
 
 
-def _read_orders_back(spark: SparkSession, url: str, table: str) -> DataFrame:
-    back = sources.read_table(spark, url, table, partition_column="o_orderkey", driver=DERBY_DRIVER)
+def _read_orders_back(spark: SparkSession, url: str, table: str, conn: dict) -> DataFrame:
+    back = sources.read_table(spark, url, table, partition_column="o_orderkey", **conn)
     return back.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
 
 
+def _table_name(stem: str) -> str:
+    return f"{stem}_{uuid.uuid4().hex[:8]}".upper()
+
+
 def jdbc_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two appends (orders before and from 1998) into one table, read back."""
     orders = staging.table(spark, sf_dir, "orders")
-    url, table = _derby_url(spark, "derby_append"), "ORDERS_APPEND"
+    (url, conn), table = jdbc_target(spark, "derby_append"), _table_name("orders_append")
     for part in (staging.orders_before(orders), staging.orders_from(orders)):
-        sinks.append_table(part, url, table, driver=DERBY_DRIVER,
-                           extra={"createTableColumnTypes": ORDERS_DDL_TYPES})
-    return _read_orders_back(spark, url, table)
+        sinks.append_table(part, url, table, extra={"createTableColumnTypes": ORDERS_DDL_TYPES}, **conn)
+    return _read_orders_back(spark, url, table, conn)
 
 
 def jdbc_full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load A (orders before 1998), then full refresh with B (all orders)."""
     orders = staging.table(spark, sf_dir, "orders")
-    url, table = _derby_url(spark, "derby_refresh"), "ORDERS_REFRESH"
+    (url, conn), table = jdbc_target(spark, "derby_refresh"), _table_name("orders_refresh")
     for load in (staging.orders_before(orders), orders):
-        sinks.replace_table(load, url, table, driver=DERBY_DRIVER,
-                            extra={"createTableColumnTypes": ORDERS_DDL_TYPES})
-    return _read_orders_back(spark, url, table)
+        sinks.replace_table(load, url, table, extra={"createTableColumnTypes": ORDERS_DDL_TYPES}, **conn)
+    return _read_orders_back(spark, url, table, conn)
 
 
 PAGE_PAYLOAD = T.StructType([T.StructField("page_id", T.LongType()), T.StructField("payload", T.StringType())])
@@ -286,7 +306,7 @@ def stream_sensor_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_watermark_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Out-of-order messages under a 1-minute watermark: nothing is dropped."""
-    table, _ = _ingest(spark, staging.sensor_topic_shuffled(spark, sf_dir), CATCH_UP_FILES_PER_TRIGGER,
+    table, _ = _ingest(spark, staging.sensor_topic_shuffled(spark, sf_dir), SHUFFLED_FILES_PER_TRIGGER,
                        watermark=True)
     return _read_sensor_table(spark, table)
 
@@ -297,7 +317,7 @@ def stream_restart_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     The failed batch was written but not committed, so the restarted query
     runs it again and its partition is replaced rather than duplicated.
     """
-    table, _ = _ingest(spark, staging.sensor_topic(spark, sf_dir), RESTART_FILES_PER_TRIGGER,
+    table, _ = _ingest(spark, staging.sensor_topic_capped(spark, sf_dir), RESTART_FILES_PER_TRIGGER,
                        fail_after_batch=0)
     return _read_sensor_table(spark, table)
 
@@ -309,11 +329,11 @@ def _read_log(spark: SparkSession, log: str) -> DataFrame:
 
 def batch_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per micro-batch under the 1000-offsets-per-trigger cap."""
-    _, log = _ingest(spark, staging.sensor_topic(spark, sf_dir), REFERENCE_FILES_PER_TRIGGER)
+    _, log = _ingest(spark, staging.sensor_topic_capped(spark, sf_dir), REFERENCE_FILES_PER_TRIGGER)
     return _read_log(spark, log).agg(
         F.sum("rows_in").alias("total_rows"),
         F.sum("rows_out").alias("valid_rows"),
-        (F.max("rows_in") <= F.lit(staging.ROWS_PER_TOPIC_FILE * REFERENCE_FILES_PER_TRIGGER)).alias("within_cap"),
+        (F.max("rows_in") <= F.lit(staging.ROWS_PER_CAPPED_FILE * REFERENCE_FILES_PER_TRIGGER)).alias("within_cap"),
     )
 
 

@@ -19,9 +19,15 @@ from weir.session import scratch_path
 
 SENSOR_TOPIC = "sensor_metrics"
 TOPIC_PARTITIONS = 3
-# Rows per message file: one file per trigger caps a micro-batch at the
+# Message files hold at most this many rows (~100 MB of messages), so the
+# file count grows with the table but no file is tiny at scale.
+ROWS_PER_TOPIC_FILE = 1_000_000
+# The rate-capped copy: one file per trigger caps a micro-batch at the
 # sensor job's 1000 offsets per trigger.
-ROWS_PER_TOPIC_FILE = 1000
+ROWS_PER_CAPPED_FILE = 1000
+# Out-of-order copy: at least this many files, so a stream over it has
+# several batches that each mix early and late events.
+MIN_SHUFFLED_FILES = 4
 ROWS_PER_JSON_ARRAY = 2000
 
 _lock = threading.Lock()
@@ -82,19 +88,27 @@ def kafka_frames(envelope: DataFrame, topic: str = SENSOR_TOPIC) -> DataFrame:
     )
 
 
-def _write_topic(frames: DataFrame, path: str) -> None:
+def _write_topic(frames: DataFrame, path: str, rows_per_file: int = ROWS_PER_TOPIC_FILE) -> None:
     (frames.write.mode("overwrite")
-     .option("maxRecordsPerFile", ROWS_PER_TOPIC_FILE)
+     .option("maxRecordsPerFile", rows_per_file)
      .parquet(path))
 
 
 def sensor_topic(spark: SparkSession, sf_dir: str) -> str:
-    """Kafka-shaped message files from ``events``, at most 1000 rows per file."""
+    """Kafka-shaped message files from ``events``."""
     def build(path: str) -> None:
         _write_topic(kafka_frames(sensor_envelope(table(spark, sf_dir, "events"))), path)
     return _once(spark, sf_dir, "sensor_topic", build)
 
 
+def sensor_topic_capped(spark: SparkSession, sf_dir: str) -> str:
+    """The same messages in files of at most 1000 rows (one file = one capped trigger)."""
+    def build(path: str) -> None:
+        _write_topic(kafka_frames(sensor_envelope(table(spark, sf_dir, "events"))), path,
+                     ROWS_PER_CAPPED_FILE)
+    return _once(spark, sf_dir, "sensor_topic_capped", build)
+
+
 def sensor_topic_shuffled(spark: SparkSession, sf_dir: str) -> str:
     """Message files whose arrival order is not event-time order.
 
@@ -104,7 +118,7 @@ def sensor_topic_shuffled(spark: SparkSession, sf_dir: str) -> str:
     def build(path: str) -> None:
         events = table(spark, sf_dir, "events")
         frames = kafka_frames(sensor_envelope(events))
-        n = max(1, math.ceil(events.count() / ROWS_PER_TOPIC_FILE))
+        n = max(MIN_SHUFFLED_FILES, math.ceil(events.count() / ROWS_PER_TOPIC_FILE))
         _write_topic(frames.repartition(n, F.xxhash64("key")), path)
     return _once(spark, sf_dir, "sensor_topic_shuffled", build)
 
@@ -134,7 +148,7 @@ def write_json_arrays(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_JS
     docs.write.mode("overwrite").partitionBy("file").text(path)
 
 
-def weather_documents(spark: SparkSession, sf_dir: str, typed_time: bool = False) -> str:
+def weather_documents(spark: SparkSession, sf_dir: str) -> str:
     """Current-weather documents from ``events`` (time without seconds)."""
     def build(path: str) -> None:
         events = table(spark, sf_dir, "events")
