@@ -18,7 +18,7 @@ from weir import operators as ops
 from weir import sinks, sources
 from weir.functions.json import decode_json
 from weir.functions.time import format_event_time
-from weir.plans import staging
+from weir.plans import ingest, staging
 from weir.schemas import (
     RECORD,
     RECORD_TARGET_NAMES,
@@ -256,32 +256,27 @@ def sorted_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- streaming -----------------------------------------------------------------
 
-def _flattened_stream(spark: SparkSession, topic_path: str, files_per_trigger: int,
-                      watermark: bool = False) -> DataFrame:
-    stream = sources.stream_topic_files(spark, topic_path, files_per_trigger)
-    if watermark:
-        # One minute on the broker timestamp, as in the sensor job.
-        stream = stream.withWatermark("timestamp", "1 minute")
-    return ops.parse_messages(stream).transform(ops.flatten_sensor)
-
-
 def _ingest(spark: SparkSession, topic_path: str, files_per_trigger: int, *, watermark: bool = False,
             fail_after_batch: int | None = None) -> tuple[str, str]:
     """Stream messages into an idempotent per-batch table; returns (table, log)."""
     run = fresh_path(spark, "ingest")
     table, log, checkpoint = f"{run}/table", f"{run}/log", f"{run}/checkpoint"
-    sink = IdempotentFileSink(table, required=SENSOR_COLUMNS, keep=ops.valid_readings, log_path=log)
-    stream = _flattened_stream(spark, topic_path, files_per_trigger, watermark)
+    wm = ingest.SENSOR_WATERMARK if watermark else None
+
+    def messages() -> DataFrame:
+        return sources.stream_topic_files(spark, topic_path, files_per_trigger)
+
     if fail_after_batch is None:
-        run_available(stream, sink, checkpoint)
+        ingest.sensor_stream_to_table(messages(), table, checkpoint, log_path=log, watermark=wm).awaitTermination()
         return table, log
+    sink = IdempotentFileSink(table, required=SENSOR_COLUMNS, keep=ops.valid_readings, log_path=log)
     try:
-        run_available(stream, FailOnce(sink, fail_after_batch), checkpoint)
+        run_available(ingest.flattened_sensor_stream(messages(), wm), FailOnce(sink, fail_after_batch), checkpoint)
     except Exception as exc:  # the injected failure surfaces as a query exception
         if "injected failure" not in str(exc):
             raise
     # Restart from the same checkpoint: the failed batch runs again.
-    run_available(_flattened_stream(spark, topic_path, files_per_trigger, watermark), sink, checkpoint)
+    run_available(ingest.flattened_sensor_stream(messages(), wm), sink, checkpoint)
     return table, log
 
 

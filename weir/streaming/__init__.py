@@ -2,6 +2,7 @@ from weir.streaming.batch_sinks import (
     FailOnce,
     FanOutSink,
     IdempotentFileSink,
+    JdbcBatchSink,
     read_batches,
     write_batch_partition,
 )
@@ -11,6 +12,7 @@ __all__ = [
     "FailOnce",
     "FanOutSink",
     "IdempotentFileSink",
+    "JdbcBatchSink",
     "console_debug",
     "read_batches",
     "run_available",
