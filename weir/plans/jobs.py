@@ -396,3 +396,37 @@ JOBS: dict[str, Job] = {
     "stream_empty_batch": stream_empty_batch,
     "stream_fanout": stream_fanout,
 }
+
+
+# Driver tables each job reads (for row-in accounting in bench.py).
+INPUT_TABLES: dict[str, tuple[str, ...]] = {
+    "sensor_flatten": ("events",),
+    "kafka_raw_view": ("events",),
+    "event_time_format": ("events", "orders"),
+    "json_envelope_encode": ("events",),
+    "required_fields_check": ("events",),
+    "weather_flatten": ("events",),
+    "weather_core": ("events",),
+    "json_records_scan": ("documents",),
+    "positional_rename": ("documents",),
+    "records_csv_load": ("documents",),
+    "csv_header_scan": ("part",),
+    "csv_noheader_scan": ("nation",),
+    "csv_multiline_scan": ("conversations",),
+    "parquet_merge_schema": ("orders",),
+    "range_source": ("orders",),
+    "object_listing": (),
+    "row_count": ("lineitem",),
+    "load_report": ("lineitem",),
+    "case_sensitive_select": ("events",),
+    "jdbc_append": ("orders",),
+    "jdbc_full_refresh": ("orders",),
+    "raw_land_overwrite": ("pages",),
+    "sorted_layout": ("events",),
+    "stream_sensor_ingest": ("events",),
+    "stream_watermark_passthrough": ("events",),
+    "stream_restart_resume": ("events",),
+    "batch_row_counts": ("events",),
+    "stream_empty_batch": ("events",),
+    "stream_fanout": ("events",),
+}
