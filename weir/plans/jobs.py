@@ -257,10 +257,11 @@ def sorted_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streaming -----------------------------------------------------------------
 
 def _ingest(spark: SparkSession, topic_path: str, files_per_trigger: int, *, watermark: bool = False,
-            fail_after_batch: int | None = None) -> tuple[str, str]:
+            fail_after_batch: int | None = None, with_log: bool = False) -> tuple[str, str | None]:
     """Stream messages into an idempotent per-batch table; returns (table, log)."""
     run = fresh_path(spark, "ingest")
-    table, log, checkpoint = f"{run}/table", f"{run}/log", f"{run}/checkpoint"
+    table, checkpoint = f"{run}/table", f"{run}/checkpoint"
+    log = f"{run}/log" if with_log else None
     wm = ingest.SENSOR_WATERMARK if watermark else None
 
     def messages() -> DataFrame:
@@ -324,7 +325,8 @@ def _read_log(spark: SparkSession, log: str) -> DataFrame:
 
 def batch_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per micro-batch under the 1000-offsets-per-trigger cap."""
-    _, log = _ingest(spark, staging.sensor_topic_capped(spark, sf_dir), REFERENCE_FILES_PER_TRIGGER)
+    _, log = _ingest(spark, staging.sensor_topic_capped(spark, sf_dir), REFERENCE_FILES_PER_TRIGGER,
+                     with_log=True)
     return _read_log(spark, log).agg(
         F.sum("rows_in").alias("total_rows"),
         F.sum("rows_out").alias("valid_rows"),
@@ -334,7 +336,8 @@ def batch_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_empty_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message invalid: every batch is skipped, nothing is written."""
-    _, log = _ingest(spark, staging.sensor_topic_invalid(spark, sf_dir), CATCH_UP_FILES_PER_TRIGGER)
+    _, log = _ingest(spark, staging.sensor_topic_invalid(spark, sf_dir), CATCH_UP_FILES_PER_TRIGGER,
+                     with_log=True)
     return _read_log(spark, log).agg(
         F.sum("rows_in").alias("rows_in"),
         F.sum("rows_out").alias("rows_written"),
