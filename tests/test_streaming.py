@@ -74,3 +74,16 @@ def test_restart_gives_each_message_once(spark, scratch, sf_small):
     expected = events.filter(F.col("event_type") != "error").count()
     assert table.count() == expected
     assert table.select("message_id").distinct().count() == expected
+
+
+def test_batch_log_keeps_latest_entry_per_batch(spark, scratch):
+    from weir.streaming import BatchLog, read_batch_log
+
+    path = scratch("log")
+    log = BatchLog(path, every=2)
+    log.add(spark, 0, [("main", 10, 8, True)])
+    log.add(spark, 1, [("main", 10, 0, False)])   # flushed here
+    log.add(spark, 1, [("main", 10, 7, True)])    # replay of batch 1
+    log.flush()
+    rows = sorted(tuple(r) for r in read_batch_log(spark, path).collect())
+    assert rows == [(0, "main", 10, 8, True), (1, "main", 10, 7, True)]

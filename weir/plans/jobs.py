@@ -31,7 +31,7 @@ from weir.schemas import (
 )
 from weir.session import case_sensitive, fresh_path
 from weir.streaming import FailOnce, FanOutSink, IdempotentFileSink, read_batches, run_available
-from weir.streaming.batch_sinks import LOG_SCHEMA
+from weir.streaming.batch_sinks import read_batch_log
 
 Job = Callable[[SparkSession, str], DataFrame]
 
@@ -268,7 +268,7 @@ def _ingest(spark: SparkSession, topic_path: str, files_per_trigger: int, *, wat
         return sources.stream_topic_files(spark, topic_path, files_per_trigger)
 
     if fail_after_batch is None:
-        ingest.sensor_stream_to_table(messages(), table, checkpoint, log_path=log, watermark=wm).awaitTermination()
+        ingest.sensor_stream_to_table(messages(), table, checkpoint, log_path=log, watermark=wm)
         return table, log
     sink = IdempotentFileSink(table, required=SENSOR_COLUMNS, keep=ops.valid_readings, log_path=log)
     try:
@@ -319,8 +319,7 @@ def stream_restart_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _read_log(spark: SparkSession, log: str) -> DataFrame:
-    schema = T.StructType([*LOG_SCHEMA.fields, T.StructField("batch_id", T.LongType())])
-    return spark.read.schema(schema).json(log)
+    return read_batch_log(spark, log)
 
 
 def batch_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

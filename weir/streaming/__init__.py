@@ -1,19 +1,23 @@
 from weir.streaming.batch_sinks import (
+    BatchLog,
     FailOnce,
     FanOutSink,
     IdempotentFileSink,
     JdbcBatchSink,
+    read_batch_log,
     read_batches,
     write_batch_partition,
 )
 from weir.streaming.runner import console_debug, run_available, start_stream
 
 __all__ = [
+    "BatchLog",
     "FailOnce",
     "FanOutSink",
     "IdempotentFileSink",
     "JdbcBatchSink",
     "console_debug",
+    "read_batch_log",
     "read_batches",
     "run_available",
     "start_stream",
