@@ -25,6 +25,9 @@ ROWS_PER_TOPIC_FILE = 1_000_000
 # The rate-capped copy: one file per trigger caps a micro-batch at the
 # sensor job's 1000 offsets per trigger.
 ROWS_PER_CAPPED_FILE = 1000
+# Like a topic's partitions: the main copy is spread over at least this many
+# files so even a small topic is read in parallel.
+MIN_TOPIC_FILES = 8
 # Out-of-order copy: at least this many files, so a stream over it has
 # several batches that each mix early and late events.
 MIN_SHUFFLED_FILES = 4
@@ -94,10 +97,16 @@ def _write_topic(frames: DataFrame, path: str, rows_per_file: int = ROWS_PER_TOP
      .parquet(path))
 
 
+def _spread(events: DataFrame, frames: DataFrame, minimum: int) -> DataFrame:
+    n = max(minimum, math.ceil(events.count() / ROWS_PER_TOPIC_FILE))
+    return frames.repartition(n)
+
+
 def sensor_topic(spark: SparkSession, sf_dir: str) -> str:
-    """Kafka-shaped message files from ``events``."""
+    """Kafka-shaped message files from ``events``, spread like topic partitions."""
     def build(path: str) -> None:
-        _write_topic(kafka_frames(sensor_envelope(table(spark, sf_dir, "events"))), path)
+        events = table(spark, sf_dir, "events")
+        _write_topic(_spread(events, kafka_frames(sensor_envelope(events)), MIN_TOPIC_FILES), path)
     return _once(spark, sf_dir, "sensor_topic", build)
 
 
@@ -126,7 +135,9 @@ def sensor_topic_shuffled(spark: SparkSession, sf_dir: str) -> str:
 def sensor_topic_invalid(spark: SparkSession, sf_dir: str) -> str:
     """Message files in which no message passes the validity filter."""
     def build(path: str) -> None:
-        _write_topic(kafka_frames(sensor_envelope(table(spark, sf_dir, "events"), as_text_temperature=True)), path)
+        events = table(spark, sf_dir, "events")
+        frames = kafka_frames(sensor_envelope(events, as_text_temperature=True))
+        _write_topic(_spread(events, frames, MIN_TOPIC_FILES), path)
     return _once(spark, sf_dir, "sensor_topic_invalid", build)
 
 
