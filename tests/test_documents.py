@@ -133,3 +133,8 @@ def test_reports(spark):
     df = spark.range(12).withColumn("x", F.lit(1))
     assert ops.row_count(df).first()[0] == 12
     assert tuple(ops.load_report(df).first()) == (12, 2)
+
+
+def test_listing_missing_prefix_is_empty(spark, scratch):
+    df = sources.list_objects(spark, scratch("nothing_here"))
+    assert df.count() == 0 and df.columns == ["path", "key", "length", "modificationTime"]

@@ -87,3 +87,12 @@ def test_batch_log_keeps_latest_entry_per_batch(spark, scratch):
     log.flush()
     rows = sorted(tuple(r) for r in read_batch_log(spark, path).collect())
     assert rows == [(0, "main", 10, 8, True), (1, "main", 10, 7, True)]
+
+
+def test_console_debug_and_await_all(spark, scratch, sf_small, capsys):
+    from weir.streaming import await_all, console_debug
+
+    stream = ops.raw_message_view(sources.stream_topic_files(spark, staging.sensor_topic(spark, sf_small)))
+    q = console_debug(stream, scratch("console"), trigger="availableNow")
+    await_all(q)
+    assert not q.isActive

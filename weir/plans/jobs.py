@@ -29,7 +29,7 @@ from weir.schemas import (
     WEATHER_DOCUMENT,
     WEATHER_DOCUMENT_TYPED_TIME,
 )
-from weir.session import case_sensitive, fresh_path
+from weir.session import case_sensitive, fresh_path, is_local
 from weir.streaming import FailOnce, FanOutSink, IdempotentFileSink, read_batches, run_available
 from weir.streaming.batch_sinks import read_batch_log
 
@@ -203,7 +203,7 @@ def jdbc_target(spark: SparkSession, name: str) -> tuple[str, dict]:
     if url:
         conn = {k: spark.conf.get(f"spark.weir.jdbc.{k}", None) for k in ("driver", "user", "password")}
         return url, {k: v for k, v in conn.items() if v is not None}
-    if not spark.sparkContext.master.startswith("local"):
+    if not is_local(spark):
         raise ValueError("set spark.weir.jdbc.url: embedded Derby only works in local mode")
     return _derby_url(spark, name), {"driver": DERBY_DRIVER}
 

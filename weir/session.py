@@ -73,23 +73,23 @@ def scratch_root(spark: SparkSession) -> str:
     """The shared folder for staged inputs and lineage cuts.
 
     On a cluster this is ``spark.checkpoint.dir`` (a shared file system the
-    cluster names).  Only when nothing is configured, as in local tests, a
-    fresh local folder is created and registered as the checkpoint dir.
+    cluster names), read from the session.  Only when nothing is configured,
+    as in local tests, a fresh local folder is created and registered as the
+    checkpoint dir.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if not root:
-        root = spark.conf.get("spark.checkpoint.dir", None)
-        if root:
-            sc.setCheckpointDir(root)
-            root = sc.getCheckpointDir() or root
-    if not root:
-        root = tempfile.mkdtemp(prefix="weir-checkpoint-")
-        sc.setCheckpointDir(root)
-        root = sc.getCheckpointDir() or root
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="weir-checkpoint-"))
+        root = sc.getCheckpointDir()
     return root.rstrip("/")
 
 
+def is_local(spark: SparkSession) -> bool:
+    return spark.conf.get("spark.master", "").startswith("local")
+
+
 _RUN_ID = uuid.uuid4().hex[:12]
 
 
@@ -107,8 +107,9 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 def case_sensitive(spark: SparkSession, enabled: bool = True) -> Iterator[None]:
     """Resolve column names case-sensitively inside the block.
 
-    DataFrames are analysed when created, so a frame built inside the block
-    keeps the resolution after the setting is restored.
+    Names are bound when a frame is created, but file readers also consult
+    the setting when they run: a source whose columns differ only in case
+    must be read (written out or checkpointed) inside the block.
     """
     key = "spark.sql.caseSensitive"
     before = spark.conf.get(key)

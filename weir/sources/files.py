@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 
 def read_json_documents(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -62,20 +63,33 @@ def integer_range(spark: SparkSession, end: int, start: int = 0, num_partitions:
     return spark.range(start, end, 1, num_partitions)
 
 
+LISTING_SCHEMA = T.StructType([
+    T.StructField("path", T.StringType()),
+    T.StructField("key", T.StringType()),
+    T.StructField("length", T.LongType()),
+    T.StructField("modificationTime", T.TimestampType()),
+])
+
+
 def list_objects(spark: SparkSession, prefix: str, pattern: str | None = None) -> DataFrame:
     """Every object under ``prefix`` as ``(path, key, length, modificationTime)``.
 
     Complete rather than one page of a listing; the file contents are never
-    read because the ``content`` column is pruned.  A prefix with no
-    objects gives an empty frame.
+    read because the ``content`` column is pruned.  A prefix with no objects,
+    or one that does not exist, gives an empty frame.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    base = prefix.rstrip("/") + "/"
-    df = reader.load(prefix).select("path", "length", "modificationTime")
+    try:
+        df = reader.load(prefix).select("path", "length", "modificationTime")
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" not in str(exc) and "Path does not exist" not in str(exc):
+            raise
+        return spark.createDataFrame([], LISTING_SCHEMA)
     # ``path`` is fully qualified (file:/..., s3a://...); the key is the part
     # after the listed prefix.
+    base = prefix.rstrip("/") + "/"
     key = F.regexp_extract(F.col("path"), r"^(?:.*?" + _regex_escape(base.split(":", 1)[-1].lstrip("/")) + r")(.*)$", 1)
     return df.select("path", key.alias("key"), "length", "modificationTime")
 

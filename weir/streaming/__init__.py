@@ -8,7 +8,7 @@ from weir.streaming.batch_sinks import (
     read_batches,
     write_batch_partition,
 )
-from weir.streaming.runner import console_debug, run_available, start_stream
+from weir.streaming.runner import await_all, console_debug, run_available, start_stream
 
 __all__ = [
     "BatchLog",
@@ -16,6 +16,7 @@ __all__ = [
     "FanOutSink",
     "IdempotentFileSink",
     "JdbcBatchSink",
+    "await_all",
     "console_debug",
     "read_batch_log",
     "read_batches",
