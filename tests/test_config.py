@@ -32,3 +32,21 @@ def test_case_sensitive_is_scoped(spark):
         df = spark.createDataFrame([(1, 2)], "a int, A int").select("A")
         assert df.first()[0] == 2
     assert spark.conf.get("spark.sql.caseSensitive") == before
+
+
+def test_resource_conf():
+    from weir.session import resource_conf
+
+    conf = resource_conf(executor_memory="4g", executor_cores=4, min_executors=4, max_executors=20)
+    assert conf["spark.dynamicAllocation.enabled"] == "true"
+    assert conf["spark.dynamicAllocation.maxExecutors"] == "20"
+    assert conf["spark.executor.cores"] == "4"
+    assert "spark.dynamicAllocation.enabled" not in resource_conf(driver_memory="2g")
+
+
+def test_apply_hadoop_conf(spark):
+    from weir.session import apply_hadoop_conf
+
+    apply_hadoop_conf(spark, {"spark.hadoop.fs.s3a.connection.timeout": "10000"})
+    assert spark.conf.get("fs.s3a.connection.timeout") == "10000"
+    spark.conf.unset("fs.s3a.connection.timeout")

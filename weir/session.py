@@ -55,6 +55,49 @@ def s3a_conf(
     return conf
 
 
+def apply_hadoop_conf(spark: SparkSession, conf: dict[str, str]) -> None:
+    """Apply ``spark.hadoop.*`` settings (e.g. :func:`s3a_conf`) to a running session.
+
+    Session settings are copied into the Hadoop configuration of every file
+    scan and write, so the keys are set without the ``spark.hadoop.`` prefix.
+    """
+    for key, value in conf.items():
+        spark.conf.set(key.removeprefix("spark.hadoop."), value)
+
+
+def resource_conf(
+    *,
+    driver_memory: str | None = None,
+    executor_memory: str | None = None,
+    executor_cores: int | None = None,
+    min_executors: int | None = None,
+    max_executors: int | None = None,
+    max_result_size: str | None = None,
+) -> dict[str, str]:
+    """Deployment sizing as session conf; dynamic allocation when bounds are given.
+
+    Dynamic allocation tracks shuffle files so executors can be released
+    without an external shuffle service.
+    """
+    conf: dict[str, str] = {}
+    if driver_memory:
+        conf["spark.driver.memory"] = driver_memory
+    if executor_memory:
+        conf["spark.executor.memory"] = executor_memory
+    if executor_cores:
+        conf["spark.executor.cores"] = str(executor_cores)
+    if max_result_size:
+        conf["spark.driver.maxResultSize"] = max_result_size
+    if min_executors is not None or max_executors is not None:
+        conf["spark.dynamicAllocation.enabled"] = "true"
+        conf["spark.dynamicAllocation.shuffleTracking.enabled"] = "true"
+        if min_executors is not None:
+            conf["spark.dynamicAllocation.minExecutors"] = str(min_executors)
+        if max_executors is not None:
+            conf["spark.dynamicAllocation.maxExecutors"] = str(max_executors)
+    return conf
+
+
 def build_session(
     app_name: str = "weir",
     master: str | None = None,
@@ -81,6 +124,8 @@ def scratch_root(spark: SparkSession) -> str:
     root = sc.getCheckpointDir()
     if not root:
         configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured and not is_local(spark):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="weir-checkpoint-"))
         root = sc.getCheckpointDir()
     return root.rstrip("/")
