@@ -50,3 +50,7 @@ def test_apply_hadoop_conf(spark):
     apply_hadoop_conf(spark, {"spark.hadoop.fs.s3a.connection.timeout": "10000"})
     assert spark.conf.get("fs.s3a.connection.timeout") == "10000"
     spark.conf.unset("fs.s3a.connection.timeout")
+
+
+def test_kafka_min_partitions():
+    assert kafka_options("b:9092", "t", min_partitions=64)["minPartitions"] == "64"

@@ -23,12 +23,17 @@ def kafka_options(
     *,
     starting_offsets: str = DEFAULT_STARTING_OFFSETS,
     max_offsets_per_trigger: int | None = DEFAULT_MAX_OFFSETS_PER_TRIGGER,
+    min_partitions: int | None = None,
     extra: dict[str, str] | None = None,
 ) -> dict[str, str]:
     """Options for ``readStream.format("kafka")``.
 
     Consumer-group offsets are not used: progress lives in the streaming
     query's checkpoint, which is what makes restarts exact.
+
+    Spark reads one task per topic partition; ``min_partitions`` asks for at
+    least that many tasks, splitting large (hot) topic partitions into
+    offset ranges so one busy partition does not become one long task.
     """
     servers = bootstrap_servers if isinstance(bootstrap_servers, str) else ",".join(bootstrap_servers)
     opts = {
@@ -39,6 +44,8 @@ def kafka_options(
     }
     if max_offsets_per_trigger is not None:
         opts["maxOffsetsPerTrigger"] = str(int(max_offsets_per_trigger))
+    if min_partitions is not None:
+        opts["minPartitions"] = str(int(min_partitions))
     opts.update(extra or {})
     return opts
 
@@ -50,10 +57,11 @@ def read_kafka_stream(spark: SparkSession, bootstrap_servers: str | list[str], t
 
 
 def read_kafka_batch(spark: SparkSession, bootstrap_servers: str | list[str], topic: str,
-                     starting_offsets: str = "earliest", ending_offsets: str = "latest") -> DataFrame:
+                     starting_offsets: str = "earliest", ending_offsets: str = "latest",
+                     min_partitions: int | None = None) -> DataFrame:
     """Bounded batch read of a live topic (requires the Kafka package)."""
     opts = kafka_options(bootstrap_servers, topic, starting_offsets=starting_offsets,
-                         max_offsets_per_trigger=None)
+                         max_offsets_per_trigger=None, min_partitions=min_partitions)
     opts["endingOffsets"] = ending_offsets
     return spark.read.format("kafka").options(**opts).load()
 
