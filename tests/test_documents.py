@@ -138,3 +138,14 @@ def test_reports(spark):
 def test_listing_missing_prefix_is_empty(spark, scratch):
     df = sources.list_objects(spark, scratch("nothing_here"))
     assert df.count() == 0 and df.columns == ["path", "key", "length", "modificationTime"]
+
+
+def test_range_partitioned_export_has_one_header_per_file(spark, scratch, sf_small):
+    from weir.plans import staging
+
+    customer = staging.table(spark, sf_small, "customer")
+    p = scratch("customer_csv")
+    staging.csv_export(customer.repartitionByRange(4, "c_custkey"), p, header=True)
+    df = sources.read_csv(spark, p)
+    assert df.filter(F.col("_c0") == "c_custkey").count() == 4
+    assert df.count() == customer.count() + 4

@@ -134,7 +134,8 @@ def csv_header_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_noheader_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sources.read_csv(spark, staging.nation_csv(spark, sf_dir), header=False)
+    """Header-bearing CSV read without the header option: header lines become rows."""
+    return sources.read_csv(spark, staging.customer_csv(spark, sf_dir), header=False)
 
 
 def csv_multiline_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -413,7 +414,7 @@ INPUT_TABLES: dict[str, tuple[str, ...]] = {
     "positional_rename": ("documents",),
     "records_csv_load": ("documents",),
     "csv_header_scan": ("part",),
-    "csv_noheader_scan": ("nation",),
+    "csv_noheader_scan": ("customer",),
     "csv_multiline_scan": ("conversations",),
     "parquet_merge_schema": ("orders",),
     "range_source": ("orders",),

@@ -78,11 +78,14 @@ SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, p_type,
        CAST(p_size AS VARCHAR) AS p_size, CAST(p_retailprice AS VARCHAR) AS p_retailprice
 FROM part
 """,
-    # One header line per exported file (two files).
+    # One header line per exported file: ceil(rows / 1,000,000) files.
     "csv_noheader_scan": """
-SELECT CAST(n_nationkey AS VARCHAR) AS _c0, n_name AS _c1, CAST(n_regionkey AS VARCHAR) AS _c2 FROM nation
+SELECT CAST(c_custkey AS VARCHAR) AS _c0, c_name AS _c1, CAST(c_nationkey AS VARCHAR) AS _c2,
+       CAST(c_acctbal AS VARCHAR) AS _c3, c_mktsegment AS _c4
+FROM customer
 UNION ALL
-SELECT 'n_nationkey' AS _c0, 'n_name' AS _c1, 'n_regionkey' AS _c2 FROM range(2)
+SELECT 'c_custkey' AS _c0, 'c_name' AS _c1, 'c_nationkey' AS _c2, 'c_acctbal' AS _c3, 'c_mktsegment' AS _c4
+FROM (SELECT unnest(range(CAST(ceil(count(*) / 1000000.0) AS BIGINT))) AS file_no FROM customer)
 """,
     "csv_multiline_scan": """
 SELECT CAST(conv_id AS VARCHAR) AS _c0, CAST(turn AS VARCHAR) AS _c1, role AS _c2, text AS _c3 FROM conversations

@@ -206,9 +206,9 @@ def csv_export(df: DataFrame, path: str, *, header: bool) -> None:
      .csv(path))
 
 
-# Number of files the header-bearing nation export is split into; each file
-# carries its own header line.
-NATION_CSV_FILES = 2
+# Rows per file of the header-bearing customer export: every file carries
+# its own header line, so a header-less read sees ceil(rows / this) of them.
+ROWS_PER_CSV_FILE = 1_000_000
 
 
 def part_csv(spark: SparkSession, sf_dir: str) -> str:
@@ -217,11 +217,17 @@ def part_csv(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "part_csv", build)
 
 
-def nation_csv(spark: SparkSession, sf_dir: str) -> str:
-    """``nation`` with a header line in each of :data:`NATION_CSV_FILES` files."""
+def customer_csv(spark: SparkSession, sf_dir: str) -> str:
+    """``customer`` with a header line in each of ``ceil(rows / ROWS_PER_CSV_FILE)`` files.
+
+    Range partitioning on the unique key makes every file non-empty, so the
+    number of header lines is known from the row count alone.
+    """
     def build(path: str) -> None:
-        csv_export(table(spark, sf_dir, "nation").repartition(NATION_CSV_FILES), path, header=True)
-    return _once(spark, sf_dir, "nation_csv", build)
+        customer = table(spark, sf_dir, "customer")
+        n_files = max(1, math.ceil(customer.count() / ROWS_PER_CSV_FILE))
+        csv_export(customer.repartitionByRange(n_files, "c_custkey"), path, header=True)
+    return _once(spark, sf_dir, "customer_csv", build)
 
 
 def conversations_csv(spark: SparkSession, sf_dir: str) -> str:
