@@ -154,7 +154,14 @@ def range_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def object_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sources.list_objects(spark, sf_dir, pattern="*.parquet").select("key", "length")
+    """Every object of the weather landing: its directory and file type.
+
+    File names carry a write id and sizes depend on formatting, so the
+    comparable part of each key is its ``file=<g>`` directory and extension.
+    """
+    listed = sources.list_objects(spark, staging.weather_documents(spark, sf_dir))
+    return listed.select(F.regexp_extract("key", r"^(file=[0-9]+)/", 1).alias("prefix"),
+                         F.regexp_extract("key", r"\.([a-z]+)$", 1).alias("extension"))
 
 
 def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -418,7 +425,7 @@ INPUT_TABLES: dict[str, tuple[str, ...]] = {
     "csv_multiline_scan": ("conversations",),
     "parquet_merge_schema": ("orders",),
     "range_source": ("orders",),
-    "object_listing": (),
+    "object_listing": ("events",),
     "row_count": ("lineitem",),
     "load_report": ("lineitem",),
     "case_sensitive_select": ("events",),

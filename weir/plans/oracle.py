@@ -98,8 +98,10 @@ SELECT o_orderkey, o_custkey, NULL::VARCHAR AS o_orderstatus, o_totalprice, o_or
 FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'
 """,
     "range_source": "SELECT CAST(row_number() OVER () - 1 AS BIGINT) AS id FROM orders",
+    # One text file per landing group: ceil(rows / 2000) groups by event_id.
     "object_listing": """
-SELECT parse_filename(filename) AS key, size AS length FROM read_blob('/root/testdata/sf0.01/*.parquet')
+WITH n AS (SELECT CAST(ceil(count(*) / 2000.0) AS BIGINT) AS n FROM events)
+SELECT DISTINCT 'file=' || CAST(event_id % n AS VARCHAR) AS prefix, 'txt' AS extension FROM events, n
 """,
     "row_count": "SELECT count(*) AS row_count FROM lineitem",
     "load_report": "SELECT count(*) AS row_count, 11 AS column_count FROM lineitem",

@@ -143,17 +143,19 @@ def sensor_topic_invalid(spark: SparkSession, sf_dir: str) -> str:
 
 # --- multi-line JSON arrays ----------------------------------------------
 
-def write_json_arrays(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_JSON_ARRAY) -> None:
-    """Write ``df`` as pretty multi-line files, each one JSON array.
-
-    Rows are hashed into ``ceil(rows / rows_per_file)`` groups, so every
-    array is bounded by ``rows_per_file`` elements on average whatever the
-    table size.  Each group lands in its own ``file=<n>/`` directory as a
-    single file.
+def write_json_arrays(df: DataFrame, path: str, bucket_key: str,
+                      rows_per_file: int = ROWS_PER_JSON_ARRAY) -> None:
+    """Write ``df`` (minus ``bucket_key``) as pretty multi-line files, each one JSON array.
+
+    Rows go to ``n = ceil(rows / rows_per_file)`` groups by ``bucket_key mod n``
+    (a unique integer key), so every array holds about ``rows_per_file``
+    elements whatever the table size.  Each group lands in its own
+    ``file=<g>/`` directory as a single file.
     """
     n_files = max(1, math.ceil(df.count() / rows_per_file))
-    docs = (df.select(encode_json(*df.columns).alias("doc"),
-                      F.pmod(F.xxhash64(*df.columns), F.lit(n_files)).alias("file"))
+    doc_cols = [c for c in df.columns if c != bucket_key]
+    docs = (df.select(encode_json(*doc_cols).alias("doc"),
+                      F.pmod(F.col(bucket_key), F.lit(n_files)).alias("file"))
             .groupBy("file")
             .agg(F.concat(F.lit("[\n  "), F.array_join(F.collect_list("doc"), ",\n  "), F.lit("\n]")).alias("value")))
     docs.write.mode("overwrite").partitionBy("file").text(path)
@@ -164,6 +166,7 @@ def weather_documents(spark: SparkSession, sf_dir: str) -> str:
     def build(path: str) -> None:
         events = table(spark, sf_dir, "events")
         docs = events.select(
+            F.col("event_id"),
             F.col("value").alias("latitude"),
             F.col("user_id").cast("double").alias("longitude"),
             F.col("event_type").alias("timezone"),
@@ -174,14 +177,15 @@ def weather_documents(spark: SparkSession, sf_dir: str) -> str:
                 F.get_json_object(F.col("props"), "$.k").cast("double").alias("windspeed"),
             ).alias("current_weather"),
         )
-        write_json_arrays(docs, path)
+        write_json_arrays(docs, path, "event_id")
     return _once(spark, sf_dir, "weather_documents", build)
 
 
 def record_documents(spark: SparkSession, sf_dir: str) -> str:
     """Flat records ``(userId, id, title, body)`` from ``documents`` as JSON arrays."""
     def build(path: str) -> None:
-        write_json_arrays(records_frame(table(spark, sf_dir, "documents")), path)
+        docs = table(spark, sf_dir, "documents")
+        write_json_arrays(records_frame(docs).withColumn("doc_key", F.col("id")), path, "doc_key")
     return _once(spark, sf_dir, "record_documents", build)
 
 
