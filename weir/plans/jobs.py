@@ -375,6 +375,38 @@ def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("rows_in").alias("rows_in"), F.sum("rows_out").alias("rows_out"))
 
 
+SENSOR_DDL_TYPES = "message_id VARCHAR(32), event_time VARCHAR(32), sensor_id VARCHAR(64)"
+WEATHER_DDL_TYPES = "timezone VARCHAR(64), format_time VARCHAR(16)"
+
+
+def stream_jdbc_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sensor messages streamed into a JDBC table, one append per micro-batch."""
+    (url, conn), table = jdbc_target(spark, "derby_stream"), _table_name("sensor_metrics")
+    run = fresh_path(spark, "jdbc_ingest")
+    messages = sources.stream_topic_files(spark, staging.sensor_topic(spark, sf_dir), 1)
+    query = ingest.sensor_stream_to_jdbc(messages, url, table, f"{run}/checkpoint", trigger="availableNow",
+                                         extra={"createTableColumnTypes": SENSOR_DDL_TYPES}, **conn)
+    query.awaitTermination()
+    return sources.read_table(spark, url, table, **conn).select(*SENSOR_COLUMNS)
+
+
+def weather_jdbc_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather documents -> flat columns -> JDBC append, read back."""
+    (url, conn), table = jdbc_target(spark, "derby_weather"), _table_name("weather")
+    ingest.weather_to_jdbc(spark, staging.weather_documents(spark, sf_dir), url, table,
+                           extra={"createTableColumnTypes": WEATHER_DDL_TYPES}, **conn)
+    return sources.read_table(spark, url, table, **conn)
+
+
+def records_full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records -> CSV -> typed re-read -> rename -> truncate and load, run twice."""
+    (url, conn), table = jdbc_target(spark, "derby_records"), _table_name("records")
+    for _ in range(2):
+        ingest.refresh_records(spark, staging.record_documents(spark, sf_dir), fresh_path(spark, "records_csv"),
+                               url, table, **conn)
+    return sources.read_table(spark, url, table, partition_column="id", **conn)
+
+
 JOBS: dict[str, Job] = {
     "sensor_flatten": sensor_flatten,
     "kafka_raw_view": kafka_raw_view,
@@ -405,6 +437,9 @@ JOBS: dict[str, Job] = {
     "batch_row_counts": batch_row_counts,
     "stream_empty_batch": stream_empty_batch,
     "stream_fanout": stream_fanout,
+    "stream_jdbc_ingest": stream_jdbc_ingest,
+    "weather_jdbc_load": weather_jdbc_load,
+    "records_full_refresh": records_full_refresh,
 }
 
 
@@ -439,4 +474,7 @@ INPUT_TABLES: dict[str, tuple[str, ...]] = {
     "batch_row_counts": ("events",),
     "stream_empty_batch": ("events",),
     "stream_fanout": ("events",),
+    "stream_jdbc_ingest": ("events",),
+    "weather_jdbc_load": ("events",),
+    "records_full_refresh": ("documents",),
 }

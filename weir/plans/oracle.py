@@ -38,8 +38,18 @@ _RECORDS = """
 SELECT doc_id % 10 AS {uid}, doc_id AS id, concat_ws(' ', lang, source) AS title, text AS body FROM documents
 """
 
+_WEATHER_ROWS = """
+SELECT value AS latitude, CAST(user_id AS DOUBLE) AS longitude, event_type AS timezone,
+       'iso8601' AS format_time, date_trunc('minute', ts) AS "time",
+       value AS temperature, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS windspeed
+FROM events
+"""
+
 ORACLE: dict[str, str] = {
     "sensor_flatten": _SENSOR_ROWS,
+    "stream_jdbc_ingest": _SENSOR_ROWS,
+    "weather_jdbc_load": _WEATHER_ROWS,
+    "records_full_refresh": _RECORDS.format(uid="user_id"),
     "required_fields_check": _SENSOR_ROWS,
     "stream_sensor_ingest": _SENSOR_ROWS,
     "stream_watermark_passthrough": _SENSOR_ROWS,
@@ -61,12 +71,7 @@ SELECT CAST(event_id AS VARCHAR) AS key, CAST(event_id AS VARCHAR) AS id,
        CAST(event_id % 100 + 950 AS INTEGER) AS pressure
 FROM events
 """,
-    "weather_flatten": """
-SELECT value AS latitude, CAST(user_id AS DOUBLE) AS longitude, event_type AS timezone,
-       'iso8601' AS format_time, date_trunc('minute', ts) AS "time",
-       value AS temperature, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS windspeed
-FROM events
-""",
+    "weather_flatten": _WEATHER_ROWS,
     "weather_core": """
 SELECT value AS latitude, CAST(user_id AS DOUBLE) AS longitude, event_type AS timezone FROM events
 """,
