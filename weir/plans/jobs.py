@@ -326,15 +326,11 @@ def stream_restart_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_sensor_table(spark, table)
 
 
-def _read_log(spark: SparkSession, log: str) -> DataFrame:
-    return read_batch_log(spark, log)
-
-
 def batch_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per micro-batch under the 1000-offsets-per-trigger cap."""
     _, log = _ingest(spark, staging.sensor_topic_capped(spark, sf_dir), REFERENCE_FILES_PER_TRIGGER,
                      with_log=True)
-    return _read_log(spark, log).agg(
+    return read_batch_log(spark, log).agg(
         F.sum("rows_in").alias("total_rows"),
         F.sum("rows_out").alias("valid_rows"),
         (F.max("rows_in") <= F.lit(staging.ROWS_PER_CAPPED_FILE * REFERENCE_FILES_PER_TRIGGER)).alias("within_cap"),
@@ -345,20 +341,13 @@ def stream_empty_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message invalid: every batch is skipped, nothing is written."""
     _, log = _ingest(spark, staging.sensor_topic_invalid(spark, sf_dir), CATCH_UP_FILES_PER_TRIGGER,
                      with_log=True)
-    return _read_log(spark, log).agg(
+    return read_batch_log(spark, log).agg(
         F.sum("rows_in").alias("rows_in"),
         F.sum("rows_out").alias("rows_written"),
         F.count_if(F.col("written")).alias("batches_written"),
     )
 
 
-RAW_VIEW = T.StructType([
-    T.StructField("offset", T.StringType()),
-    T.StructField("timestamp", T.TimestampType()),
-    T.StructField("raw_data", T.StringType()),
-])
-
-
 def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One query, one read of the topic, two outputs: raw landing and warehouse."""
     run = fresh_path(spark, "fanout")
@@ -371,7 +360,7 @@ def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     }, log_path=f"{run}/log")
     stream = sources.stream_topic_files(spark, staging.sensor_topic(spark, sf_dir), CATCH_UP_FILES_PER_TRIGGER)
     run_available(stream, fan, f"{run}/checkpoint")
-    return _read_log(spark, f"{run}/log").groupBy("branch").agg(
+    return read_batch_log(spark, f"{run}/log").groupBy("branch").agg(
         F.sum("rows_in").alias("rows_in"), F.sum("rows_out").alias("rows_out"))
 
 
