@@ -54,3 +54,11 @@ def test_apply_hadoop_conf(spark):
 
 def test_kafka_min_partitions():
     assert kafka_options("b:9092", "t", min_partitions=64)["minPartitions"] == "64"
+
+
+def test_shuffle_conf_scales_with_input():
+    from weir.session import shuffle_conf
+
+    assert shuffle_conf(10)["spark.sql.shuffle.partitions"] == "8"
+    big = shuffle_conf(100 * 1024 ** 4)  # 100 TiB
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 1024 * 8

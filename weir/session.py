@@ -98,6 +98,22 @@ def resource_conf(
     return conf
 
 
+def shuffle_conf(input_bytes: int, target_partition_bytes: int = 128 * 1024 * 1024) -> dict[str, str]:
+    """Shuffle sizing for a job reading about ``input_bytes``.
+
+    AQE merges small shuffle partitions but never splits a large one outside
+    joins, so the starting count must cover the data: one partition per
+    ``target_partition_bytes`` (at least 8).  Range repartitions without an
+    explicit count (the sorted layout) start from this number too.
+    """
+    n = max(8, -(-int(input_bytes) // int(target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(int(target_partition_bytes)),
+    }
+
+
 def build_session(
     app_name: str = "weir",
     master: str | None = None,
