@@ -3,6 +3,8 @@ integer ranges and object listings."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,7 +38,8 @@ def read_csv(spark: SparkSession, path: str, *, header: bool = False,
     empty string; CSV has no way to tell them apart.
 
     Without a header the columns are ``_c0, _c1, ...`` and a header line in
-    the file is read as data.  Without a schema every column is a string;
+    the file is read as data.  With ``multi_line`` a file is not split, so
+    each file is read by one task.  Without a schema every column is a string;
     ``infer_schema`` costs an extra pass over the data, so prefer a schema.
     """
     reader = spark.read.option("header", header).option("escape", '"')
@@ -90,10 +93,5 @@ def list_objects(spark: SparkSession, prefix: str, pattern: str | None = None) -
     # ``path`` is fully qualified (file:/..., s3a://...); the key is the part
     # after the listed prefix.
     base = prefix.rstrip("/") + "/"
-    key = F.regexp_extract(F.col("path"), r"^(?:.*?" + _regex_escape(base.split(":", 1)[-1].lstrip("/")) + r")(.*)$", 1)
+    key = F.regexp_extract(F.col("path"), r"^(?:.*?" + re.escape(base.split(":", 1)[-1].lstrip("/")) + r")(.*)$", 1)
     return df.select("path", key.alias("key"), "length", "modificationTime")
-
-
-def _regex_escape(text: str) -> str:
-    special = set(r".^$*+?{}[]\|()")
-    return "".join("\\" + ch if ch in special else ch for ch in text)
