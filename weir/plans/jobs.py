@@ -109,6 +109,19 @@ def weather_core(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.weather_core(raw)
 
 
+def weather_landed_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fetched documents landed as raw payloads, then read back and flattened.
+
+    The landing replaces what was there and only happens when there are
+    payloads; the loader parses each landed document with the declared schema.
+    """
+    docs = staging.weather_frame(staging.table(spark, sf_dir, "events"))
+    payloads = docs.select(F.to_json(F.struct(*[c for c in docs.columns if c != "event_id"])).alias("payload"))
+    landing = fresh_path(spark, "weather_landing")
+    ingest.land_payloads(payloads, landing)
+    return ops.flatten_weather(sources.read_landed_documents(spark, landing, WEATHER_DOCUMENT))
+
+
 def json_records_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON arrays of flat records -> one row per record, declared columns."""
     return sources.read_json_documents(spark, staging.record_documents(spark, sf_dir), RECORD)
@@ -404,6 +417,7 @@ JOBS: dict[str, Job] = {
     "required_fields_check": required_fields_check,
     "weather_flatten": weather_flatten,
     "weather_core": weather_core,
+    "weather_landed_flatten": weather_landed_flatten,
     "json_records_scan": json_records_scan,
     "positional_rename": positional_rename,
     "records_csv_load": records_csv_load,
@@ -441,6 +455,7 @@ INPUT_TABLES: dict[str, tuple[str, ...]] = {
     "required_fields_check": ("events",),
     "weather_flatten": ("events",),
     "weather_core": ("events",),
+    "weather_landed_flatten": ("events",),
     "json_records_scan": ("documents",),
     "positional_rename": ("documents",),
     "records_csv_load": ("documents",),

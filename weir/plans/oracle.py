@@ -72,6 +72,7 @@ SELECT CAST(event_id AS VARCHAR) AS key, CAST(event_id AS VARCHAR) AS id,
 FROM events
 """,
     "weather_flatten": _WEATHER_ROWS,
+    "weather_landed_flatten": _WEATHER_ROWS,
     "weather_core": """
 SELECT value AS latitude, CAST(user_id AS DOUBLE) AS longitude, event_type AS timezone FROM events
 """,

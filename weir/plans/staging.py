@@ -161,22 +161,26 @@ def write_json_arrays(df: DataFrame, path: str, bucket_key: str,
     docs.write.mode("overwrite").partitionBy("file").text(path)
 
 
+def weather_frame(events: DataFrame) -> DataFrame:
+    """events -> current-weather documents (time without seconds), keyed by event_id."""
+    return events.select(
+        F.col("event_id"),
+        F.col("value").alias("latitude"),
+        F.col("user_id").cast("double").alias("longitude"),
+        F.col("event_type").alias("timezone"),
+        F.struct(F.lit("iso8601").alias("time")).alias("current_weather_units"),
+        F.struct(
+            F.date_format(F.col("ts"), "yyyy-MM-dd'T'HH:mm").alias("time"),
+            F.col("value").alias("temperature"),
+            F.get_json_object(F.col("props"), "$.k").cast("double").alias("windspeed"),
+        ).alias("current_weather"),
+    )
+
+
 def weather_documents(spark: SparkSession, sf_dir: str) -> str:
     """Current-weather documents from ``events`` (time without seconds)."""
     def build(path: str) -> None:
-        events = table(spark, sf_dir, "events")
-        docs = events.select(
-            F.col("event_id"),
-            F.col("value").alias("latitude"),
-            F.col("user_id").cast("double").alias("longitude"),
-            F.col("event_type").alias("timezone"),
-            F.struct(F.lit("iso8601").alias("time")).alias("current_weather_units"),
-            F.struct(
-                F.date_format(F.col("ts"), "yyyy-MM-dd'T'HH:mm").alias("time"),
-                F.col("value").alias("temperature"),
-                F.get_json_object(F.col("props"), "$.k").cast("double").alias("windspeed"),
-            ).alias("current_weather"),
-        )
+        docs = weather_frame(table(spark, sf_dir, "events"))
         write_json_arrays(docs, path, "event_id")
     return _once(spark, sf_dir, "weather_documents", build)
 

@@ -4,6 +4,7 @@ from weir.sources.files import (
     read_csv,
     read_json_documents,
     read_json_lines,
+    read_landed_documents,
     read_parquet_merged,
 )
 from weir.sources.jdbc import jdbc_options, read_table
@@ -25,6 +26,7 @@ __all__ = [
     "read_json_lines",
     "read_kafka_batch",
     "read_kafka_stream",
+    "read_landed_documents",
     "read_parquet_merged",
     "read_table",
     "read_topic_files",

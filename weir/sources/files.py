@@ -24,6 +24,18 @@ def read_json_documents(spark: SparkSession, path: str, schema: T.StructType) ->
     return df.select(*schema.fieldNames())
 
 
+def read_landed_documents(spark: SparkSession, path: str, schema: T.StructType,
+                          payload_col: str = "payload") -> DataFrame:
+    """Documents landed as JSON-lines payloads (see ``sinks.land_raw``) -> declared columns.
+
+    Each line holds one document as text, so the landing splits across tasks
+    however many documents it holds; each payload is parsed once.
+    """
+    landed = spark.read.schema(T.StructType([T.StructField(payload_col, T.StringType())])).json(path)
+    parsed = landed.select(F.inline(F.array(F.from_json(F.col(payload_col), schema))))
+    return parsed.select(*schema.fieldNames())
+
+
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """JSON lines (one object per line, splittable) with an explicit schema."""
     return spark.read.schema(schema).json(path).select(*schema.fieldNames())
