@@ -96,3 +96,10 @@ def test_console_debug_and_await_all(spark, scratch, sf_small, capsys):
     q = console_debug(stream, scratch("console"), trigger="availableNow")
     await_all(q)
     assert not q.isActive
+
+
+def test_watermark_on_zone_less_time_is_refused(spark, scratch, sf_small):
+    events = spark.readStream.schema(staging.table(spark, sf_small, "events").schema) \
+        .parquet(f"{sf_small}/events.parquet")
+    with pytest.raises(TypeError, match="cast it to timestamp"):
+        start_stream(events, lambda df, i: None, scratch("ck"), watermark=("ts", "1 minute"))
