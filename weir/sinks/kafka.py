@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from weir.functions.json import encode_json
 
-# Producer settings of the reference jobs (fixed values): wait for all
+# Producer settings of the sensor jobs (fixed values): wait for all
 # replicas, retry three times, give up on a send after ten seconds.
 PRODUCER_ACKS = "all"
 PRODUCER_RETRIES = 3
