@@ -62,3 +62,12 @@ def test_shuffle_conf_scales_with_input():
     assert shuffle_conf(10)["spark.sql.shuffle.partitions"] == "8"
     big = shuffle_conf(100 * 1024 ** 4)  # 100 TiB
     assert int(big["spark.sql.shuffle.partitions"]) == 100 * 1024 * 8
+
+
+def test_kafka_missing_package_is_explained(spark):
+    import pytest
+
+    from weir.sources.kafka import read_kafka_stream
+
+    with pytest.raises(RuntimeError, match="spark-sql-kafka"):
+        read_kafka_stream(spark, "localhost:1", "t")

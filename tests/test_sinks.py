@@ -86,3 +86,13 @@ def test_kafka_sink_options():
     opts = sinks.kafka_sink_options(["a:1", "b:2"], "topic")
     assert opts["kafka.bootstrap.servers"] == "a:1,b:2"
     assert opts["kafka.acks"] == "all" and opts["kafka.retries"] == "3"
+
+
+def test_jdbc_read_with_predicates(spark):
+    url = _derby_url(spark, "derby_pred")
+    df = spark.createDataFrame([(i, "x" if i < 90 else "y") for i in range(100)], "k long, v string")
+    sinks.append_table(df, url, "P", driver=DERBY_DRIVER, extra={"createTableColumnTypes": "v VARCHAR(4)"})
+    back = sources.read_table(spark, url, "P", driver=DERBY_DRIVER,
+                              predicates=['"k" < 45', '"k" >= 45 AND "k" < 90', '"k" >= 90'])
+    assert back.count() == 100 and back.select("k").distinct().count() == 100
+    assert back.select(F.spark_partition_id()).distinct().count() == 3

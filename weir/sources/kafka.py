@@ -50,10 +50,24 @@ def kafka_options(
     return opts
 
 
+KAFKA_PACKAGE_HINT = ("the Kafka connector is not on the class path: start Spark with "
+                      "spark.jars.packages=org.apache.spark:spark-sql-kafka-0-10_2.13:<spark version>")
+
+
+def _load(loader):
+    try:
+        return loader()
+    except Exception as exc:  # the data source lookup fails at load time
+        if "kafka" in str(exc).lower() and ("DATA_SOURCE_NOT_FOUND" in str(exc) or "Failed to find" in str(exc)):
+            raise RuntimeError(KAFKA_PACKAGE_HINT) from exc
+        raise
+
+
 def read_kafka_stream(spark: SparkSession, bootstrap_servers: str | list[str], topic: str,
                       **kwargs) -> DataFrame:
     """Streaming frame over a live topic (requires the Kafka package)."""
-    return spark.readStream.format("kafka").options(**kafka_options(bootstrap_servers, topic, **kwargs)).load()
+    opts = kafka_options(bootstrap_servers, topic, **kwargs)
+    return _load(lambda: spark.readStream.format("kafka").options(**opts).load())
 
 
 def read_kafka_batch(spark: SparkSession, bootstrap_servers: str | list[str], topic: str,
@@ -63,7 +77,7 @@ def read_kafka_batch(spark: SparkSession, bootstrap_servers: str | list[str], to
     opts = kafka_options(bootstrap_servers, topic, starting_offsets=starting_offsets,
                          max_offsets_per_trigger=None, min_partitions=min_partitions)
     opts["endingOffsets"] = ending_offsets
-    return spark.read.format("kafka").options(**opts).load()
+    return _load(lambda: spark.read.format("kafka").options(**opts).load())
 
 
 def read_topic_files(spark: SparkSession, path: str) -> DataFrame:
