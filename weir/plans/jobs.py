@@ -41,8 +41,9 @@ Job = Callable[[SparkSession, str], DataFrame]
 REFERENCE_FILES_PER_TRIGGER = 1
 CATCH_UP_FILES_PER_TRIGGER = 8
 SHUFFLED_FILES_PER_TRIGGER = 1
-# Over the capped topic: several batches before and after the failure.
-RESTART_FILES_PER_TRIGGER = 4
+# One file per trigger over the main topic (at least 8 files): several
+# batches after the failure at every scale.
+RESTART_FILES_PER_TRIGGER = 1
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -334,7 +335,7 @@ def stream_restart_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     The failed batch was written but not committed, so the restarted query
     runs it again and its partition is replaced rather than duplicated.
     """
-    table, _ = _ingest(spark, staging.sensor_topic_capped(spark, sf_dir), RESTART_FILES_PER_TRIGGER,
+    table, _ = _ingest(spark, staging.sensor_topic(spark, sf_dir), RESTART_FILES_PER_TRIGGER,
                        fail_after_batch=0)
     return _read_sensor_table(spark, table)
 
