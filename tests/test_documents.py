@@ -149,3 +149,25 @@ def test_range_partitioned_export_has_one_header_per_file(spark, scratch, sf_sma
     df = sources.read_csv(spark, p)
     assert df.filter(F.col("_c0") == "c_custkey").count() == 4
     assert df.count() == customer.count() + 4
+
+
+def test_landed_documents_parse_each_payload(spark, scratch):
+    p = scratch("landed")
+    payloads = spark.createDataFrame([(DOC,), ("{broken",)], "payload string")
+    payloads.write.json(p)  # JSON lines: the newlines of DOC stay inside one record
+    rows = sources.read_landed_documents(spark, p, WEATHER_DOCUMENT).collect()
+    assert len(rows) == 2
+    assert sorted(r["latitude"] is None for r in rows) == [False, True]
+
+
+def test_conform_casts_and_checks(spark):
+    from weir.schemas import SENSOR_TARGET
+
+    df = spark.createDataFrame([("m", "2025-01-01 00:00:01", "s", 1.0, 2, 3)],
+                               "message_id string, event_time string, sensor_id string, "
+                               "temperature double, humidity int, pressure int")
+    out = ops.conform(df, SENSOR_TARGET)
+    assert out.schema == SENSOR_TARGET
+    assert str(out.first()["event_time"]) == "2025-01-01 00:00:01"
+    with pytest.raises(ops.MissingColumnsError):
+        ops.conform(df.drop("pressure"), SENSOR_TARGET)
