@@ -64,3 +64,24 @@ def n_words(text: Column) -> Column:
 
 def id_text(doc_id: Column) -> Column:
     return F.coalesce(doc_id.cast("string"), F.lit("null"))
+
+
+def scored(docs: DataFrame, keep: list[str], run: Callable, outputs: str) -> DataFrame:
+    """``run`` over Arrow batches of texts, with the columns ``keep`` carried along as k0, k1, ...
+
+    ``run`` gets batches with ``text`` and the carried columns and returns the
+    carried ones and ``outputs``.  The short names can't clash with a column of
+    the input, whatever it is called.
+    """
+    carried = docs.select("text", *[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)])
+    kinds = [f"k{i} {f.dataType.simpleString()}" for i, f in enumerate(carried.schema.fields[1:])]
+    return carried.mapInArrow(run, ", ".join([*kinds, outputs]))
+
+
+def carried_columns(batch) -> tuple[list, list[str]]:
+    names = [c for c in batch.schema.names if c != "text"]
+    return [batch.column(c) for c in names], names
+
+
+def as_named(keep: list[str]) -> list[Column]:
+    return [F.col(f"k{i}").alias(c) for i, c in enumerate(keep)]

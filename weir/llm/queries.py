@@ -11,12 +11,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weir.llm import mixing, oracle, quality, sharding
+from weir.llm import language, mixing, ngram_join, oracle, quality, sharding
 from weir.llm.common import ready, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's 3-word set size and the component it is in at similarity 0.9."""
+    return ngram_join.join_components(table(spark, sf_dir, "documents"), 3, 90)
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and the verdict of adaptive thresholds on every document."""
     return quality.judged(table(spark, sf_dir, "documents")).select(
@@ -30,6 +35,14 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
             .repartitionByRange("position", "doc_id").sortWithinPartitions("position", "doc_id"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from the part that is not held out."""
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs, docs.where(~language.held_out()), ["doc_id"])
+    return (found.withColumnRenamed("k0", "doc_id")
+            .select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of 40 shards, and where it goes with 41."""
     return sharding.shard(table(spark, sf_dir, "documents"), 40).select(
@@ -45,6 +58,6 @@ def _ready(query: Query) -> Query:
 
 
 QUERIES: dict[str, Query] = {f.__name__: _ready(f) for f in (
-    op2_quality_rules, op3_mixing, op10_sharding)}
+    op1_ngram_join, op2_quality_rules, op3_mixing, op6_language_id, op10_sharding)}
 
 ORACLE: dict[str, str] = {k: v for k, v in oracle.SQL.items() if k in QUERIES}
