@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weir.llm import language, mixing, ngram_join, oracle, quality, sharding
+from weir.llm import language, mixing, ngram_join, oracle, quality, sharding, toxicity
 from weir.llm.common import ready, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,16 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
             .repartitionByRange("position", "doc_id").sortWithinPartitions("position", "doc_id"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learned from labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = language.held_out("doc_id", 4, 2)
+    labels = table(spark, sf_dir, "labels").where(~held_out)
+    found = toxicity.score(docs, docs, labels, ["doc_id"]).withColumnRenamed("k0", "doc_id")
+    return found.select("doc_id", held_out.alias("held_out"), "score",
+                        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from the part that is not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -58,6 +68,6 @@ def _ready(query: Query) -> Query:
 
 
 QUERIES: dict[str, Query] = {f.__name__: _ready(f) for f in (
-    op1_ngram_join, op2_quality_rules, op3_mixing, op6_language_id, op10_sharding)}
+    op1_ngram_join, op2_quality_rules, op3_mixing, op4_toxicity, op6_language_id, op10_sharding)}
 
 ORACLE: dict[str, str] = {k: v for k, v in oracle.SQL.items() if k in QUERIES}

@@ -69,10 +69,14 @@ def slices(texts: pa.Array | pa.ChunkedArray, size: int = SLICE_BYTES) -> Iterat
         first = last
 
 
-def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, ends, bounds): words of the run, and where each document's words begin."""
+#: For word_spans: all of ASCII but letters and digits parts words.
+PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+
+
+def word_spans(raw: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = _WHITE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, bounds): words of the run (between bytes in ``gaps``), and where each document's words begin."""
     inside = np.zeros(len(raw) + 2, np.int8)
-    inside[1:-1] = ~_WHITE[raw]
+    inside[1:-1] = ~gaps[raw]
     # A document ends its last word: mark the edges where one document meets the next.
     edge = np.diff(inside)
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
@@ -86,14 +90,23 @@ def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return starts, ends, np.searchsorted(starts, offsets, "left")
 
 
+def prefix_sums(raw: np.ndarray, lower: bool = True) -> np.ndarray:
+    """Running sums of bytes times powers: differences hash any stretch of bytes."""
+    up, _ = powers(len(raw) + 1)
+    total = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(((_LOWER[raw] if lower else raw).astype(np.uint64) + np.uint64(1)) * up[:len(raw)], out=total[1:])
+    return total
+
+
+def stretch_hashes(total: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return mix((total[ends] - total[starts]) * powers(len(total))[1][starts])
+
+
 def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
     """A 64-bit hash of each word's bytes (A-Z lowered first, if asked)."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    up, down = powers(len(raw) + 1)
-    total = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(((_LOWER[raw] if lower else raw).astype(np.uint64) + np.uint64(1)) * up[:len(raw)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts])
+    return stretch_hashes(prefix_sums(raw, lower), starts, ends)
 
 
 def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
