@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weir.llm import language, mixing, ngram_join, oracle, quality, sharding, toxicity
+from weir.llm import bpe, language, mixing, ngram_join, oracle, quality, sharding, toxicity
 from weir.llm.common import ready, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,22 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score"))
 
 
+def _vocabulary() -> str:
+    """The vocabulary file of the contract, where the public package keeps it."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded to ids and decoded again, as counts and digests."""
+    rows = bpe.encode(table(spark, sf_dir, "documents"), _vocabulary(), ["doc_id"], decoded=True)
+    return rows.select(
+        F.col("k0").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of 40 shards, and where it goes with 41."""
     return sharding.shard(table(spark, sf_dir, "documents"), 40).select(
@@ -68,6 +84,6 @@ def _ready(query: Query) -> Query:
 
 
 QUERIES: dict[str, Query] = {f.__name__: _ready(f) for f in (
-    op1_ngram_join, op2_quality_rules, op3_mixing, op4_toxicity, op6_language_id, op10_sharding)}
+    op1_ngram_join, op2_quality_rules, op3_mixing, op4_toxicity, op6_language_id, op7_bpe, op10_sharding)}
 
 ORACLE: dict[str, str] = {k: v for k, v in oracle.SQL.items() if k in QUERIES}
