@@ -11,8 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weir.llm import bpe, language, mixing, ngram_join, oracle, quality, sharding, toxicity
+from weir.llm import bpe, language, mixing, ngram_join, oracle, quality, sharding, toxicity, warc
 from weir.llm.common import ready, table
+from weir.session import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +46,13 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a WARC record, and what reading the archives back gives."""
+    path = fresh_path(spark, "archives")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.page_summary(warc.read_archives(spark, path))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from the part that is not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -84,6 +92,6 @@ def _ready(query: Query) -> Query:
 
 
 QUERIES: dict[str, Query] = {f.__name__: _ready(f) for f in (
-    op1_ngram_join, op2_quality_rules, op3_mixing, op4_toxicity, op6_language_id, op7_bpe, op10_sharding)}
+    op1_ngram_join, op2_quality_rules, op3_mixing, op4_toxicity, op5_warc, op6_language_id, op7_bpe, op10_sharding)}
 
 ORACLE: dict[str, str] = {k: v for k, v in oracle.SQL.items() if k in QUERIES}
