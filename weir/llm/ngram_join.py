@@ -11,7 +11,7 @@ the whole sets.
 The work, in steps that each only keep what can still link:
 
 1. *Classes.*  Documents with equal sets are one class from here on.
-2. *Screen.*  A fixed quarter of all n-grams (by hash) is looked up across the
+2. *Screen.*  A fixed eighth of all n-grams (by hash) is looked up across the
    corpus.  A class of which more than a share 1 - t of all n-grams is already
    seen to be in no other class can link with none.  N-grams travel packed, at
    most once per task and class, and one that several classes of a task have is
@@ -23,7 +23,8 @@ The work, in steps that each only keep what can still link:
    compared with the others.  In a large group of near copies this links nearly
    all of them without looking at pairs.
 5. *Pairs.*  Classes of different components that still share a prefix n-gram
-   are paired, counted against min(l, l), bounded by position, and verified.
+   are paired once, at the first they share, if they share min(l, l) in their
+   prefixes and what lies behind could still make them similar; then verified.
 
 Components of verified links give each document the smallest id it can reach.
 
@@ -47,9 +48,9 @@ from weir.llm.graph import components
 from weir.llm.text import document_shingles, mix, slices
 
 #: Share of n-grams in the screen: one in 2 ** SCREEN_BITS.
-SCREEN_BITS = 2
+SCREEN_BITS = 3
 #: Longest multi-match tried, and the cost of verifying a pair against reading one posting.
-MAX_MATCHES = 8
+MAX_MATCHES = 16
 VERIFY_COST = 16.0
 
 _SET = "doc_id long, n_shingles long, screened long, node binary"
@@ -267,38 +268,37 @@ def _links(classes: DataFrame, percent: int) -> DataFrame:
     unshared = (F.col("n") - F.size("shared")).cast("int")
     length = F.greatest(F.col("n") - F.col("need") + F.col("matches") - unshared, F.lit(0)).cast("int")
     prefixes = written(
-        classes.withColumn("matches", _matches(percent))
-        .select("node", "n", "need", "most", "matches", unshared.alias("before"),
-                F.posexplode(F.slice("shared", F.lit(1), length)).alias("at", "x"))
-        .select("node", "n", "need", "most", "matches", (F.col("before") + F.col("at")).alias("at"), F.col("x.gram").alias("gram")),
+        classes.withColumn("matches", _matches(percent)).withColumn("front", F.transform(F.slice("shared", F.lit(1), length), lambda x: x["gram"]))
+        .select("node", "n", "need", "most", "matches", unshared.alias("before"), "front", F.posexplode("front").alias("at", "gram")),
         "ngram-prefixes")
 
     def fits(x: str, y: str) -> Column:
         return F.col(f"{y}.n").between(F.col(f"{x}.need"), F.col(f"{x}.most"))
 
     # Stars: the class with the fewest rarer n-grams in front stands for its posting list.
-    centre = prefixes.groupBy("gram").agg(F.min(F.struct("at", "node", "n", "need", "most")).alias("c")).select("gram", "c.*")
+    centre = (prefixes.groupBy("gram").agg(F.min(F.struct((F.col("before") + F.col("at")).alias("ahead"), "node", "n", "need", "most")).alias("c"))
+              .select("gram", "c.*"))
     spokes = (prefixes.alias("x").join(centre.alias("y"), "gram")
               .where((F.col("x.node") != F.col("y.node")) & fits("x", "y") & fits("y", "x"))
               .select(F.col("y.node").alias("a"), F.col("x.node").alias("b")).distinct())
     stars = written(_verified(spokes, classes, percent), "ngram-links")
     linked = components(stars)
 
-    # Pairs of different components that still meet in a prefix n-gram.
+    # Pairs of different components that still meet in a prefix n-gram; each comes out at the first they share.
     known = written(prefixes.join(linked, "node", "left").withColumn("root", F.coalesce("root", "node")), "ngram-prefixes")
     open_grams = (known.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
                   .where("lo <> hi").select("gram"))
     rest = known.join(open_grams, "gram", "left_semi")
-    pairs = (rest.alias("x").join(rest.alias("y"), "gram")
-             .where((F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & fits("x", "y") & fits("y", "x"))
-             .groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-             .agg(F.count(F.lit(1)).alias("met"), F.min(F.least("x.matches", "y.matches")).alias("asked"),
-                  F.min("x.at").alias("at_a"), F.min("y.at").alias("at_b"),
-                  F.first("x.n").alias("n_a"), F.first("y.n").alias("n_b"))
-             .where("met >= asked"))
-    # nothing in front of the first shared n-gram is shared
-    reach = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")).cast("long")
-    pairs = pairs.where(_similar(reach, F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
+    x, y = rest.alias("x"), rest.alias("y")
+    met = F.array_intersect("x.front", "y.front")
+    # What is shared up to the end of the shorter prefix has been met; of the rest, no more can be shared than either has.
+    left = lambda s: F.col(f"{s}.n") - F.col(f"{s}.before") - F.size(F.col(f"{s}.front"))
+    reach = (F.size(met) + F.greatest(left("x"), left("y"))).cast("long")
+    pairs = (x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.node") < F.col("y.node"))
+                    & (F.col("x.root") != F.col("y.root")) & fits("x", "y") & fits("y", "x")
+                    & (F.get(met, F.lit(0)) == F.col("x.gram")) & (F.size(met) >= F.least("x.matches", "y.matches"))
+                    & _similar(reach, F.col("x.n"), F.col("y.n"), percent))
+             .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
     more = written(_verified(pairs, classes, percent), "ngram-links")
     if more.isEmpty():
         return linked
