@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weir.llm import bpe, language, mixing, neighbours, ngram_join, oracle, quality, sharding, toxicity, warc
+from weir.llm import bpe, language, lm, mixing, neighbours, ngram_join, oracle, quality, sharding, toxicity, warc
 from weir.llm.common import ready, table
 from weir.session import fresh_path
 
@@ -83,6 +83,12 @@ def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(vectors, vectors.where("vec_id % 100 = 0"), 10)
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much more like the benchmark's texts than like the corpus every document is, in nats a word."""
+    docs = table(spark, sf_dir, "documents")
+    return lm.score(docs, docs, table(spark, sf_dir, "benchmark"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of 40 shards, and where it goes with 41."""
     return sharding.shard(table(spark, sf_dir, "documents"), 40).select(
@@ -98,6 +104,6 @@ def _ready(query: Query) -> Query:
 
 
 QUERIES: dict[str, Query] = {f.__name__: _ready(f) for f in (
-    op1_ngram_join, op2_quality_rules, op3_mixing, op4_toxicity, op5_warc, op6_language_id, op7_bpe, op8_neighbours, op10_sharding)}
+    op1_ngram_join, op2_quality_rules, op3_mixing, op4_toxicity, op5_warc, op6_language_id, op7_bpe, op8_neighbours, op9_lm_scoring, op10_sharding)}
 
 ORACLE: dict[str, str] = {k: v for k, v in oracle.SQL.items() if k in QUERIES}
