@@ -102,12 +102,12 @@ def mix(docs: DataFrame, schedules: Sequence[Schedule] = SCHEDULES, cap: int = C
 
     Returns doc_id, source, size, source_size, target, ``taken`` (words, repeats
     counted), ``positions`` (one training time per repeat; empty: not taken) and
-    the columns in ``keep``.
+    the columns ``keep`` as k0, k1, ..., whatever they are called.
     """
     base = docs.select(
         F.col("doc_id"), F.col("source"), n_words(F.col("text")).alias("size"),
         F.md5(id_text(F.col("doc_id"))).alias("_hash"),
-        *[F.col(c).alias(f"_kept_{c}") for c in keep])
+        *[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)])
     base = base.withColumn("_piece", F.substring("_hash", 1, PIECE_DIGITS))
     if not keep:  # a few numbers a row: cheaper written than counted from the texts twice
         base = written(base, "mixing-sizes")
@@ -145,7 +145,7 @@ def mix(docs: DataFrame, schedules: Sequence[Schedule] = SCHEDULES, cap: int = C
     return rows.select(
         "doc_id", "source", "size", F.col("source_size").cast("long").alias("source_size"), "target",
         (F.col("_times") * F.col("size")).cast("long").alias("taken"), spots.alias("positions"),
-        *[F.col(f"_kept_{c}").alias(c) for c in keep if c not in ("doc_id", "source")])
+        *[f"k{i}" for i in range(len(keep))])
 
 
 def in_training_order(mixed: DataFrame) -> DataFrame:

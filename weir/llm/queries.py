@@ -61,7 +61,7 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score"))
 
 
-def _vocabulary() -> str:
+def vocabulary_path() -> str:
     """The vocabulary file of the contract, where the public package keeps it."""
     import public_tokenizers
 
@@ -70,7 +70,7 @@ def _vocabulary() -> str:
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded to ids and decoded again, as counts and digests."""
-    rows = bpe.encode(table(spark, sf_dir, "documents"), _vocabulary(), ["doc_id"], decoded=True)
+    rows = bpe.encode(table(spark, sf_dir, "documents"), vocabulary_path(), ["doc_id"], decoded=True)
     return rows.select(
         F.col("k0").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
