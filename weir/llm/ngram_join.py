@@ -11,7 +11,7 @@ the whole sets.
 The work, in steps that each only keep what can still link:
 
 1. *Classes.*  Documents with equal sets are one class from here on.
-2. *Screen.*  A fixed eighth of all n-grams (by hash) is looked up across the
+2. *Screen.*  A fixed quarter of all n-grams (by hash) is looked up across the
    corpus.  A class of which more than a share 1 - t of all n-grams is already
    seen to be in no other class can link with none.  N-grams travel packed, at
    most once per task and class, and one that several classes of a task have is
@@ -36,11 +36,12 @@ class; an empty table gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weir.llm.common import written
@@ -48,7 +49,7 @@ from weir.llm.graph import components
 from weir.llm.text import document_shingles, mix, slices
 
 #: Share of n-grams in the screen: one in 2 ** SCREEN_BITS.
-SCREEN_BITS = 3
+SCREEN_BITS = 2
 #: Longest multi-match tried, and the cost of verifying a pair against reading one posting.
 MAX_MATCHES = 16
 VERIFY_COST = 16.0
@@ -210,24 +211,40 @@ def document_sets(docs: DataFrame, size: int = 3) -> DataFrame:
 
 
 def _survivors(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
-    """Classes that the screen can't rule out, as (first_id, node)."""
+    """Classes that the screen can't rule out, as (node, n, first_id)."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    seen = (docs.select("text").mapInArrow(_packed(size, 8 * parts), _GRAMS)
-            .repartition(parts, "bucket").sortWithinPartitions("bucket")
+    seen = (docs.select("text").mapInArrow(_packed(size, parts), _GRAMS)
+            .repartitionById(parts, "bucket").sortWithinPartitions("bucket")
             .mapInArrow(_credits, "half long, shared long")
             .groupBy("half").agg(F.sum("shared").alias("shared")))
     half = F.conv(F.substring(F.hex("node"), 1, 16), 16, -10).cast("long")
     unseen = F.col("screened") - F.coalesce(F.col("shared"), F.lit(0))
-    return (classes.withColumn("half", half).join(seen, "half", "left")
-            .where(100 * unseen <= (100 - percent) * F.col("n")).select("node", "n", "first_id"))
+    screened = written(classes.withColumn("half", half).join(seen, "half", "left")
+                       .select("node", "n", "first_id", (100 * unseen - (100 - percent) * F.col("n")).alias("excess")), "ngram-screened")
+    return screened.where("excess <= 0")
+
+
+@contextlib.contextmanager
+def _early_filter(spark: SparkSession) -> Iterator[None]:
+    """Let Spark's own Bloom filter thin out a scan of any size before its shuffle."""
+    key = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "1b")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 def _prepared(docs: DataFrame, left: DataFrame, size: int, percent: int) -> DataFrame:
     """The classes left, with what they share, rarest n-gram first, and the sizes a partner can have."""
-    texts = docs.select("doc_id", "text").join(left.select("first_id"), F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi")
-    sets = written(texts.select("text").mapInArrow(_gram_sets(size), "node binary, grams array<long>")
-                   .dropDuplicates(["node"]), "ngram-sets")
+    ids = left.select(F.col("first_id").alias("doc_id"))
+    texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").unionByName(
+        docs.select("doc_id", "text").where("doc_id IS NULL"))  # more classes than needed do no harm
+    with _early_filter(docs.sparkSession):
+        sets = written(texts.select("text").mapInArrow(_gram_sets(size), "node binary, grams array<long>")
+                       .dropDuplicates(["node"]), "ngram-sets")
     grams = sets.select("node", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
     often = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     rows = (grams.join(often, "gram").groupBy("node", "n")
