@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from weir.session import case_sensitive, s3a_conf, scratch_root
-from weir.sources.kafka import kafka_options
+from weir.session import case_sensitive_session, s3a_conf, scratch_root
+from weir.sources.kafka import DEMO_MAX_OFFSETS_PER_TRIGGER, kafka_options
 
 
 def test_s3a_conf():
@@ -17,8 +17,9 @@ def test_s3a_conf():
 def test_kafka_options():
     opts = kafka_options("b:9092", "sensor_metrics")
     assert opts["startingOffsets"] == "earliest"
-    assert opts["maxOffsetsPerTrigger"] == "1000"
-    assert "maxOffsetsPerTrigger" not in kafka_options("b:9092", "t", max_offsets_per_trigger=None)
+    assert "maxOffsetsPerTrigger" not in opts
+    capped = kafka_options("b:9092", "t", max_offsets_per_trigger=DEMO_MAX_OFFSETS_PER_TRIGGER)
+    assert capped["maxOffsetsPerTrigger"] == "1000"
 
 
 def test_scratch_root_uses_session_setting(spark):
@@ -26,11 +27,10 @@ def test_scratch_root_uses_session_setting(spark):
     assert root == (spark.sparkContext.getCheckpointDir() or "").rstrip("/")
 
 
-def test_case_sensitive_is_scoped(spark):
+def test_case_sensitive_session_leaves_others_alone(spark):
     before = spark.conf.get("spark.sql.caseSensitive")
-    with case_sensitive(spark):
-        df = spark.createDataFrame([(1, 2)], "a int, A int").select("A")
-        assert df.first()[0] == 2
+    own = case_sensitive_session(spark)
+    assert own.createDataFrame([(1, 2)], "a int, A int").select("A").first()[0] == 2
     assert spark.conf.get("spark.sql.caseSensitive") == before
 
 

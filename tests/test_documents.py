@@ -129,6 +129,16 @@ def test_listing(spark, scratch):
     assert sources.list_objects(spark, p, pattern="*.json").count() == 1
 
 
+def test_listing_is_complete(spark, scratch):
+    p = scratch("listing")
+    for name in ("_hidden.json", ".dot", "empty", "pre-1.json", "pre-2.json", "other"):
+        write(p, name, "" if name == "empty" else "{}")
+    keys = lambda prefix: sorted(r["key"] for r in sources.list_objects(spark, prefix).collect())
+    assert keys(p) == keys(p + "/") == sorted(["_hidden.json", ".dot", "empty", "pre-1.json", "pre-2.json", "other"])
+    assert keys(p + "/pre-") == keys(p + "/pre-?.json") == ["pre-1.json", "pre-2.json"]
+    assert keys(p + "/other") == ["other"]
+
+
 def test_reports(spark):
     df = spark.range(12).withColumn("x", F.lit(1))
     assert ops.row_count(df).first()[0] == 12
@@ -160,6 +170,13 @@ def test_landed_documents_parse_each_payload(spark, scratch):
     assert sorted(r["latitude"] is None for r in rows) == [False, True]
 
 
+def test_landed_array_gives_a_row_per_element(spark, scratch):
+    p = scratch("landed")
+    spark.createDataFrame([(f"[{DOC}, {DOC}]",)], "payload string").write.json(p)
+    rows = sources.read_landed_documents(spark, p, WEATHER_DOCUMENT).collect()
+    assert len(rows) == 2 and all(r["latitude"] is not None for r in rows)
+
+
 def test_conform_casts_and_checks(spark):
     from weir.schemas import SENSOR_TARGET
 

@@ -28,7 +28,7 @@ def test_refresh_records_full_refresh(spark, scratch, sf_small):
     n = staging.table(spark, sf_small, "documents").count()
     for _ in range(2):  # the second run replaces, never appends
         report = ingest.refresh_records(spark, records, scratch("csv"), url, "RECORDS", driver=DERBY_DRIVER)
-        assert tuple(report.first()) == (n, 4)
+        assert tuple(report.first()) == (n, 4, 0)
     back = sources.read_table(spark, url, "RECORDS", driver=DERBY_DRIVER)
     assert back.columns == ["user_id", "id", "title", "body"]
     assert back.count() == n
@@ -36,10 +36,10 @@ def test_refresh_records_full_refresh(spark, scratch, sf_small):
 
 def test_sensor_stream_to_jdbc(spark, scratch, sf_small):
     url = _derby_url(spark, "sensor")
-    messages = sources.stream_topic_files(spark, staging.sensor_topic_capped(spark, sf_small), 1)
+    messages = sources.stream_topic_files(spark, staging.sensor_topic_capped(spark, sf_small, 1000), 1)
     q = ingest.sensor_stream_to_jdbc(messages, url, "SENSOR", scratch("ck"), trigger="availableNow",
                                      driver=DERBY_DRIVER,
-                                     extra={"createTableColumnTypes": "message_id VARCHAR(24), event_time VARCHAR(24), sensor_id VARCHAR(24)"})
+                                     extra={"createTableColumnTypes": "message_id VARCHAR(24), sensor_id VARCHAR(24)"})
     q.awaitTermination()
     back = sources.read_table(spark, url, "SENSOR", driver=DERBY_DRIVER)
     events = staging.table(spark, sf_small, "events")
@@ -48,7 +48,7 @@ def test_sensor_stream_to_jdbc(spark, scratch, sf_small):
 
 
 def test_sensor_stream_to_table_resumes(spark, scratch, sf_small):
-    topic = staging.sensor_topic_capped(spark, sf_small)
+    topic = staging.sensor_topic_capped(spark, sf_small, 1000)
     table, ck = scratch("table"), scratch("ck")
     ingest.sensor_stream_to_table(sources.stream_topic_files(spark, topic, 1), table, ck).awaitTermination()
     first = spark.read.parquet(table).count()

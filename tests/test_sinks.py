@@ -45,6 +45,33 @@ def test_land_raw_replaces_and_skips_empty(spark, scratch):
     assert spark.read.schema("payload string").json(p).count() == 2
 
 
+def test_landing_survives_empty_payloads_and_failed_writes(spark, scratch):
+    p = scratch("landing")
+    sinks.land_raw(spark.createDataFrame([("kept",)], "payload string"), p)
+    assert not sinks.land_raw(spark.createDataFrame([(None,), ("",)], "payload string"), p)
+    broken = spark.range(4).select(F.when(F.col("id") == 3, F.raise_error(F.lit("stop"))).otherwise(F.lit("x")).alias("payload"))
+    try:
+        sinks.land_raw(broken, p)
+    except Exception:
+        pass
+    else:
+        raise AssertionError("a failed landing was not raised")
+    assert [r[0] for r in spark.read.schema("payload string").json(p).collect()] == ["kept"]
+
+
+def test_failed_refresh_keeps_the_old_rows(spark):
+    url = _derby_url(spark, "derby_half")
+    sinks.replace_table(spark.range(5).toDF("k"), url, "H", driver=DERBY_DRIVER)
+    broken = spark.range(100, 104).select(F.when(F.col("id") == 103, F.raise_error(F.lit("stop")).cast("long")).otherwise(F.col("id")).alias("k"))
+    try:
+        sinks.replace_table(broken, url, "H", driver=DERBY_DRIVER)
+    except Exception:
+        pass
+    else:
+        raise AssertionError("a failed refresh was not raised")
+    assert sorted(r[0] for r in sources.read_table(spark, url, "H", driver=DERBY_DRIVER).collect()) == [0, 1, 2, 3, 4]
+
+
 def test_sorted_layout_files_do_not_overlap(spark, scratch):
     p = scratch("sorted")
     df = spark.range(5000).select(((F.col("id") * 7919) % 5000).alias("t"), (F.col("id") % 13).alias("s"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from weir import operators as ops
 from weir import sources
 from weir.plans import jobs, staging
+from weir.schemas import SENSOR_TARGET
 from weir.streaming import FailOnce, IdempotentFileSink, read_batches, run_available, start_stream
 
 
@@ -18,7 +19,7 @@ def test_checkpoint_is_required(spark, sf_small):
 
 
 def test_batches_respect_cap(spark, sf_small):
-    out = jobs.batch_row_counts(spark, sf_small).first()
+    out = jobs.batch_row_counts(spark, sf_small, cap=1000).first()
     assert out["within_cap"] is True
     assert out["total_rows"] == staging.table(spark, sf_small, "events").count()
 
@@ -43,14 +44,17 @@ def test_empty_batches_write_nothing(spark, sf_small):
 
 
 def test_fanout_reads_once_writes_both(spark, sf_small):
-    got = {r["branch"]: (r["rows_in"], r["rows_out"]) for r in jobs.stream_fanout(spark, sf_small).collect()}
+    rows = jobs.stream_fanout(spark, sf_small).collect()
+    got = {r["branch"]: (r["rows_in"], r["rows_out"]) for r in rows}
+    assert all(r["rows_held"] == r["rows_out"] for r in rows)
+    assert got["warehouse"][1] + got["rejected"][1] == got["raw"][1]
     n = staging.table(spark, sf_small, "events").count()
     assert got["raw"] == (n, n)
     assert got["warehouse"][0] == n and 0 < got["warehouse"][1] < n
 
 
 def test_watermark_drops_nothing_without_state(spark, sf_small):
-    expected = jobs.sensor_flatten(spark, sf_small)
+    expected = ops.conform(jobs.sensor_flatten(spark, sf_small), SENSOR_TARGET)
     got = jobs.stream_watermark_passthrough(spark, sf_small)
     assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
 
@@ -76,19 +80,50 @@ def test_restart_gives_each_message_once(spark, scratch, sf_small):
     assert table.select("message_id").distinct().count() == expected
 
 
-def test_batch_log_keeps_latest_entry_per_batch(spark, scratch):
+def test_batch_log_is_written_with_each_batch(spark, scratch):
     from weir.streaming import BatchLog, read_batch_log
 
     path = scratch("log")
-    log = BatchLog(path, every=2)
-    log.add(spark, 0, [("main", 10, 8, True)])
-    log.add(spark, 1, [("main", 10, 0, False)])   # flushed here
-    log.add(spark, 1, [("main", 10, 7, True)])    # replay of batch 1
-    log.flush()
+    assert read_batch_log(spark, path).count() == 0
+    BatchLog(path).add(spark, 0, [("main", 10, 8, True)])
+    BatchLog(path).add(spark, 1, [("main", 10, 0, False)])
+    BatchLog(path).add(spark, 1, [("main", 10, 7, True)])    # replay of batch 1, after a crash
     rows = sorted(tuple(r) for r in read_batch_log(spark, path).collect())
     assert rows == [(0, "main", 10, 8, True), (1, "main", 10, 7, True)]
 
 
+def test_an_empty_replay_leaves_nothing(spark, scratch):
+    path = scratch("replay")
+    sink = IdempotentFileSink(path)
+    sink(spark.range(5).toDF("x"), 0)
+    sink(spark.range(3).toDF("x"), 1)
+    sink(spark.range(0).toDF("x"), 0)
+    assert read_batches(spark, path).count() == 3
+
+
+def test_a_stopped_interval_stream_has_logged_every_batch(spark, scratch, sf_small):
+    from weir.plans import ingest
+    from weir.streaming import read_batch_log
+
+    run = scratch("interval")
+    topic = staging.sensor_topic_capped(spark, sf_small, 300)
+    query = ingest.sensor_stream_to_table(sources.stream_topic_files(spark, topic, 1), f"{run}/t", f"{run}/ck",
+                                          log_path=f"{run}/log", trigger="100 milliseconds")
+    query.processAllAvailable()
+    query.stop()
+    total = read_batch_log(spark, f"{run}/log").agg(F.sum("rows_in"), F.sum("rows_out")).first()
+    assert total[0] == staging.table(spark, sf_small, "events").count()
+    assert total[1] == read_batches(spark, f"{run}/t").count()
+
+
+def test_missing_column_fails_before_the_start(spark, scratch, sf_small):
+    stream = sources.stream_topic_files(spark, staging.sensor_topic(spark, sf_small))
+    sink = IdempotentFileSink(scratch("t"), required=["sensor_id"])
+    with pytest.raises(ops.MissingColumnsError):
+        start_stream(stream, sink, scratch("ck"))
+    assert not spark.streams.active
+
+
 def test_console_debug_and_await_all(spark, scratch, sf_small, capsys):
     from weir.streaming import await_all, console_debug
 
@@ -114,7 +149,7 @@ def test_fanout_restart_is_exact(spark, scratch, sf_small):
     fan = FanOutSink({"raw": (ops.raw_message_view, raw),
                       "warehouse": (lambda d: ops.parse_messages(d).transform(ops.flatten_sensor), wh)},
                      log_path=f"{run}/log")
-    topic = staging.sensor_topic_capped(spark, sf_small)
+    topic = staging.sensor_topic_capped(spark, sf_small, 1000)
     with pytest.raises(Exception, match="injected failure"):
         run_available(sources.stream_topic_files(spark, topic, 1), FailOnce(fan, after_batch=0), f"{run}/ck")
     run_available(sources.stream_topic_files(spark, topic, 1), fan, f"{run}/ck")
@@ -127,7 +162,7 @@ def test_fanout_restart_is_exact(spark, scratch, sf_small):
     assert totals == {"raw": events.count(), "warehouse": valid}
 
 
-def test_jdbc_sink_restart_is_at_least_once(spark, scratch, sf_small):
+def test_jdbc_sink_replay_replaces_its_batch(spark, scratch, sf_small):
     from weir.plans.jobs import DERBY_DRIVER, _derby_url
     from weir.sources import read_table
     from weir.streaming import JdbcBatchSink
@@ -135,7 +170,7 @@ def test_jdbc_sink_restart_is_at_least_once(spark, scratch, sf_small):
     url = _derby_url(spark, "jdbc_restart")
     sink = JdbcBatchSink(url, "S", keep=ops.valid_readings, driver=DERBY_DRIVER,
                          extra={"createTableColumnTypes": "message_id VARCHAR(32), event_time VARCHAR(32), sensor_id VARCHAR(64)"})
-    topic = staging.sensor_topic_capped(spark, sf_small)
+    topic = staging.sensor_topic_capped(spark, sf_small, 1000)
 
     def stream():
         return ops.parse_messages(sources.stream_topic_files(spark, topic, 1)).transform(ops.flatten_sensor)
@@ -146,6 +181,5 @@ def test_jdbc_sink_restart_is_at_least_once(spark, scratch, sf_small):
     run_available(stream(), sink, ck)
     table = read_table(spark, url, "S", driver=DERBY_DRIVER)
     valid = staging.table(spark, sf_small, "events").filter(F.col("event_type") != "error").count()
-    # The replayed batch was appended twice; its batch_id makes the copy removable.
-    assert table.count() == 2 * valid
-    assert table.dropDuplicates(["batch_id", "message_id"]).count() == valid
+    assert table.count() == valid
+    assert table.select("message_id").distinct().count() == valid

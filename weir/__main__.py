@@ -48,8 +48,9 @@ def parser() -> argparse.ArgumentParser:
     src.add_argument("--bootstrap", help="Kafka bootstrap servers")
     src.add_argument("--topic-files", help="directory of Kafka-shaped Parquet files")
     s.add_argument("--topic", default="sensor_metrics")
-    s.add_argument("--max-offsets-per-trigger", type=int, default=1000)
-    s.add_argument("--files-per-trigger", type=int, default=1)
+    s.add_argument("--max-offsets-per-trigger", type=int)
+    s.add_argument("--files-per-trigger", type=int)
+    s.add_argument("--bytes-per-trigger", type=int)
     s.add_argument("--table", required=True)
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--log")
@@ -85,7 +86,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             messages = sources.read_kafka_stream(spark, args.bootstrap, args.topic,
                                                  max_offsets_per_trigger=args.max_offsets_per_trigger)
         else:
-            messages = sources.stream_topic_files(spark, args.topic_files, args.files_per_trigger)
+            messages = sources.stream_topic_files(spark, args.topic_files, args.files_per_trigger, args.bytes_per_trigger)
         query = ingest.sensor_stream_to_table(messages, args.table, args.checkpoint,
                                               log_path=args.log, trigger=args.trigger)
         query.awaitTermination()
@@ -96,9 +97,10 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     elif args.command == "records-refresh":
         report = ingest.refresh_records(spark, args.path, args.csv, args.url, args.table, **_jdbc_conn(args))
         row = report.first()
-        print(f"loaded rows={row['rows']} columns={row['columns']}")
+        print(f"loaded rows={row['rows']} columns={row['columns']} unreadable={row['null_rows']}")
     elif args.command == "land":
-        payloads = spark.read.json(args.source).select(args.column)
+        # declared as text: no pass to infer types, and an object stays the text it is
+        payloads = spark.read.schema(f"`{args.column}` string").json(args.source)
         landed = ingest.land_payloads(payloads, args.path, [args.column])
         print("landed" if landed else "nothing to land")
     return 0

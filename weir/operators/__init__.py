@@ -11,14 +11,13 @@ from weir.operators.flatten import (
 from weir.operators.conform import conform
 from weir.operators.rename import positional_rename
 from weir.operators.reports import load_report, row_count
-from weir.operators.validate import MissingColumnsError, is_empty, missing_columns, require_columns
+from weir.operators.validate import MissingColumnsError, missing_columns, require_columns
 
 __all__ = [
     "MissingColumnsError",
     "conform",
     "flatten_sensor",
     "flatten_weather",
-    "is_empty",
     "load_report",
     "missing_columns",
     "parse_messages",

@@ -29,21 +29,15 @@ from weir.schemas import (
     WEATHER_DOCUMENT,
     WEATHER_DOCUMENT_TYPED_TIME,
 )
-from weir.session import case_sensitive, fresh_path, is_local
+from weir.session import case_sensitive_session, fresh_path, is_local
 from weir.streaming import FailOnce, FanOutSink, IdempotentFileSink, read_batches, run_available
 from weir.streaming.batch_sinks import read_batch_log
 
 Job = Callable[[SparkSession, str], DataFrame]
 
-# Files per trigger.  Over the capped topic (files of at most 1000 rows)
-# one file per trigger is the sensor job's cap of 1000 offsets per trigger;
-# catch-up streams over the main topic take several large files at once.
-REFERENCE_FILES_PER_TRIGGER = 1
-CATCH_UP_FILES_PER_TRIGGER = 8
-SHUFFLED_FILES_PER_TRIGGER = 1
-# One file per trigger over the main topic (at least 8 files): several
-# batches after the failure at every scale.
-RESTART_FILES_PER_TRIGGER = 1
+# Catch-up streams cut their topic into about this many batches by volume,
+# whatever its size.
+CATCH_UP_BATCHES = 4
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,8 +87,17 @@ def json_envelope_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def required_fields_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flattened frame passes the warehouse column check unchanged."""
-    return ops.require_columns(sensor_flatten(spark, sf_dir), SENSOR_COLUMNS)
+    """The warehouse column check on the flattened frame, and on one that lacks a column."""
+    flat = sensor_flatten(spark, sf_dir)
+    found = []
+    for case, df in (("complete", flat), ("without sensor_id", flat.drop("sensor_id"))):
+        try:
+            report = ops.require_columns(df, SENSOR_COLUMNS).agg(F.count(F.lit(1)).alias("rows")).withColumn("missing", F.lit(""))
+        except ops.MissingColumnsError:
+            absent = ",".join(ops.missing_columns(df, SENSOR_COLUMNS))
+            report = df.limit(0).agg(F.count(F.lit(1)).alias("rows")).withColumn("missing", F.lit(absent))
+        found.append(report.withColumn("case", F.lit(case)))
+    return found[0].unionByName(found[1]).select("case", "missing", "rows")
 
 
 # --- batch: documents and records ----------------------------------------------
@@ -190,14 +193,14 @@ def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def case_sensitive_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON whose keys differ only in case, resolved case-sensitively.
 
-    The setting has to hold while the files are read, so the selection is
-    written to the scratch area inside the block and the result read back.
+    The setting has to hold while the files are read, so a session of its own
+    writes the selection to the scratch area, and the result is read back.
     """
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("ID", T.LongType())])
     out = fresh_path(spark, "case_sensitive")
-    with case_sensitive(spark):
-        df = sources.read_json_lines(spark, staging.events_case_keys(spark, sf_dir), schema)
-        df.select(F.col("id").alias("lower_id"), F.col("ID").alias("upper_id")).write.parquet(out)
+    own = case_sensitive_session(spark)
+    df = sources.read_json_lines(own, staging.events_case_keys(spark, sf_dir), schema)
+    df.select(F.col("id").alias("lower_id"), F.col("ID").alias("upper_id")).write.parquet(out)
     return spark.read.parquet(out)
 
 
@@ -272,27 +275,28 @@ def raw_land_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sorted_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sensor rows conformed to the warehouse table, laid out by (event_time, sensor_id)."""
     out = fresh_path(spark, "sensor_table")
-    sinks.write_sorted(ops.conform(sensor_flatten(spark, sf_dir), SENSOR_TARGET), out, SENSOR_SORT_KEYS)
+    sinks.write_sorted(ops.conform(sensor_flatten(spark, sf_dir), SENSOR_TARGET), out, SENSOR_SORT_KEYS, tie_breaker=["message_id"])
     return spark.read.schema(SENSOR_TARGET).parquet(out)
 
 
 # --- streaming -----------------------------------------------------------------
 
-def _ingest(spark: SparkSession, topic_path: str, files_per_trigger: int, *, watermark: bool = False,
+def _ingest(spark: SparkSession, topic_path: str, *, files_per_trigger: int | None = None, watermark: bool = False,
             fail_after_batch: int | None = None, with_log: bool = False) -> tuple[str, str | None]:
     """Stream messages into an idempotent per-batch table; returns (table, log)."""
     run = fresh_path(spark, "ingest")
     table, checkpoint = f"{run}/table", f"{run}/checkpoint"
     log = f"{run}/log" if with_log else None
     wm = ingest.SENSOR_WATERMARK if watermark else None
+    volume = None if files_per_trigger else staging.bytes_per_batch(spark, topic_path, CATCH_UP_BATCHES)
 
     def messages() -> DataFrame:
-        return sources.stream_topic_files(spark, topic_path, files_per_trigger)
+        return sources.stream_topic_files(spark, topic_path, files_per_trigger, volume)
 
     if fail_after_batch is None:
         ingest.sensor_stream_to_table(messages(), table, checkpoint, log_path=log, watermark=wm)
         return table, log
-    sink = IdempotentFileSink(table, required=SENSOR_COLUMNS, keep=ops.valid_readings, log_path=log)
+    sink = ingest.sensor_table_sink(table, log)
     try:
         run_available(ingest.flattened_sensor_stream(messages(), wm), FailOnce(sink, fail_after_batch), checkpoint)
     except Exception as exc:  # the injected failure surfaces as a query exception
@@ -303,29 +307,21 @@ def _ingest(spark: SparkSession, topic_path: str, files_per_trigger: int, *, wat
     return table, log
 
 
-SENSOR_FLAT = T.StructType([
-    T.StructField("message_id", T.StringType()),
-    T.StructField("event_time", T.StringType()),
-    T.StructField("sensor_id", T.StringType()),
-    T.StructField("temperature", T.DoubleType()),
-    T.StructField("humidity", T.IntegerType()),
-    T.StructField("pressure", T.IntegerType()),
-])
-
-
 def _read_sensor_table(spark: SparkSession, table: str) -> DataFrame:
-    return read_batches(spark, table, SENSOR_FLAT).select(*SENSOR_COLUMNS)
+    return read_batches(spark, table, SENSOR_TARGET).select(*SENSOR_COLUMNS)
 
 
 def stream_sensor_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table, _ = _ingest(spark, staging.sensor_topic(spark, sf_dir), CATCH_UP_FILES_PER_TRIGGER)
-    return _read_sensor_table(spark, table)
+    """Messages streamed into batches of the declared table, then compacted into its sorted layout."""
+    table, _ = _ingest(spark, staging.sensor_topic(spark, sf_dir))
+    compacted = fresh_path(spark, "sensor_table")
+    sinks.write_sorted(_read_sensor_table(spark, table), compacted, SENSOR_SORT_KEYS, tie_breaker=["message_id"])
+    return spark.read.schema(SENSOR_TARGET).parquet(compacted)
 
 
 def stream_watermark_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Out-of-order messages under a 1-minute watermark: nothing is dropped."""
-    table, _ = _ingest(spark, staging.sensor_topic_shuffled(spark, sf_dir), SHUFFLED_FILES_PER_TRIGGER,
-                       watermark=True)
+    table, _ = _ingest(spark, staging.sensor_topic_shuffled(spark, sf_dir), watermark=True)
     return _read_sensor_table(spark, table)
 
 
@@ -333,28 +329,27 @@ def stream_restart_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fail after writing the first batch, restart: every message exactly once.
 
     The failed batch was written but not committed, so the restarted query
-    runs it again and its partition is replaced rather than duplicated.
+    runs it again and its folder is replaced rather than duplicated.
     """
-    table, _ = _ingest(spark, staging.sensor_topic(spark, sf_dir), RESTART_FILES_PER_TRIGGER,
-                       fail_after_batch=0)
+    table, _ = _ingest(spark, staging.sensor_topic(spark, sf_dir), fail_after_batch=0)
     return _read_sensor_table(spark, table)
 
 
-def batch_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows per micro-batch under the 1000-offsets-per-trigger cap."""
-    _, log = _ingest(spark, staging.sensor_topic_capped(spark, sf_dir), REFERENCE_FILES_PER_TRIGGER,
-                     with_log=True)
+def batch_row_counts(spark: SparkSession, sf_dir: str, cap: int | None = None) -> DataFrame:
+    """Rows per micro-batch under a cap on a batch's rows (without one: an eighth of the topic)."""
+    if cap is None:
+        cap = max(1, -(-staging.table(spark, sf_dir, "events").count() // 8))
+    _, log = _ingest(spark, staging.sensor_topic_capped(spark, sf_dir, cap), files_per_trigger=1, with_log=True)
     return read_batch_log(spark, log).agg(
         F.sum("rows_in").alias("total_rows"),
         F.sum("rows_out").alias("valid_rows"),
-        (F.max("rows_in") <= F.lit(staging.ROWS_PER_CAPPED_FILE * REFERENCE_FILES_PER_TRIGGER)).alias("within_cap"),
+        (F.max("rows_in") <= F.lit(cap)).alias("within_cap"),
     )
 
 
 def stream_empty_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message invalid: every batch is skipped, nothing is written."""
-    _, log = _ingest(spark, staging.sensor_topic_invalid(spark, sf_dir), CATCH_UP_FILES_PER_TRIGGER,
-                     with_log=True)
+    _, log = _ingest(spark, staging.sensor_topic_invalid(spark, sf_dir), with_log=True)
     return read_batch_log(spark, log).agg(
         F.sum("rows_in").alias("rows_in"),
         F.sum("rows_out").alias("rows_written"),
@@ -363,22 +358,30 @@ def stream_empty_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One query, one read of the topic, two outputs: raw landing and warehouse."""
+    """One query, one read of the topic, three outputs: raw landing, warehouse, rejects.
+
+    Returns what the batch log counted and what the outputs hold.
+    """
     run = fresh_path(spark, "fanout")
-    raw = IdempotentFileSink(f"{run}/raw", fmt="json", name="raw")
-    warehouse = IdempotentFileSink(f"{run}/warehouse", required=SENSOR_COLUMNS, keep=ops.valid_readings,
-                                   name="warehouse")
+    flat = lambda d: ops.parse_messages(d).transform(ops.flatten_sensor)
     fan = FanOutSink({
-        "raw": (ops.raw_message_view, raw),
-        "warehouse": (lambda d: ops.parse_messages(d).transform(ops.flatten_sensor), warehouse),
+        "raw": (ops.raw_message_view, IdempotentFileSink(f"{run}/raw", name="raw")),
+        "warehouse": (flat, ingest.sensor_table_sink(f"{run}/warehouse", name="warehouse")),
+        "rejected": (flat, IdempotentFileSink(f"{run}/rejected", keep=ops.rejected_readings, name="rejected")),
     }, log_path=f"{run}/log")
-    stream = sources.stream_topic_files(spark, staging.sensor_topic(spark, sf_dir), CATCH_UP_FILES_PER_TRIGGER)
+    topic = staging.sensor_topic(spark, sf_dir)
+    stream = sources.stream_topic_files(spark, topic, max_bytes_per_trigger=staging.bytes_per_batch(spark, topic, CATCH_UP_BATCHES))
     run_available(stream, fan, f"{run}/checkpoint")
-    return read_batch_log(spark, f"{run}/log").groupBy("branch").agg(
+    counted = read_batch_log(spark, f"{run}/log").groupBy("branch").agg(
         F.sum("rows_in").alias("rows_in"), F.sum("rows_out").alias("rows_out"))
+    held = None
+    for name in fan.branches:
+        rows = read_batches(spark, f"{run}/{name}").agg(F.count(F.lit(1)).alias("rows_held")).withColumn("branch", F.lit(name))
+        held = rows if held is None else held.unionByName(rows)
+    return counted.join(held, "branch").select("branch", "rows_in", "rows_out", "rows_held")
 
 
-SENSOR_DDL_TYPES = "message_id VARCHAR(32), event_time VARCHAR(32), sensor_id VARCHAR(64)"
+SENSOR_DDL_TYPES = "message_id VARCHAR(32), sensor_id VARCHAR(64)"
 WEATHER_DDL_TYPES = "timezone VARCHAR(64), format_time VARCHAR(16)"
 
 
@@ -386,11 +389,12 @@ def stream_jdbc_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sensor messages streamed into a JDBC table, one append per micro-batch."""
     (url, conn), table = jdbc_target(spark, "derby_stream"), _table_name("sensor_metrics")
     run = fresh_path(spark, "jdbc_ingest")
-    messages = sources.stream_topic_files(spark, staging.sensor_topic(spark, sf_dir), 1)
+    topic = staging.sensor_topic(spark, sf_dir)
+    messages = sources.stream_topic_files(spark, topic, max_bytes_per_trigger=staging.bytes_per_batch(spark, topic, CATCH_UP_BATCHES))
     query = ingest.sensor_stream_to_jdbc(messages, url, table, f"{run}/checkpoint", trigger="availableNow",
                                          extra={"createTableColumnTypes": SENSOR_DDL_TYPES}, **conn)
     query.awaitTermination()
-    return sources.read_table(spark, url, table, **conn).select(*SENSOR_COLUMNS)
+    return sources.read_table(spark, url, table, partition_column="batch_id", **conn).select(*SENSOR_COLUMNS)
 
 
 def weather_jdbc_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -398,7 +402,7 @@ def weather_jdbc_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     (url, conn), table = jdbc_target(spark, "derby_weather"), _table_name("weather")
     ingest.weather_to_jdbc(spark, staging.weather_documents(spark, sf_dir), url, table,
                            extra={"createTableColumnTypes": WEATHER_DDL_TYPES}, **conn)
-    return sources.read_table(spark, url, table, **conn)
+    return sources.read_table(spark, url, table, partition_column="longitude", **conn)
 
 
 def records_full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,6 +19,15 @@ SELECT CAST(event_id AS VARCHAR) AS message_id,
 FROM events WHERE event_type <> 'error'
 """
 
+# The same readings in the declared warehouse table's types.
+_SENSOR_TABLE = """
+SELECT CAST(event_id AS VARCHAR) AS message_id, date_trunc('second', ts) AS event_time,
+       'sensor_' || CAST(user_id AS VARCHAR) AS sensor_id, value AS temperature,
+       CAST(json_extract_string(props, '$.k') AS BIGINT) AS humidity,
+       CAST(event_id % 100 + 950 AS BIGINT) AS pressure
+FROM events WHERE event_type <> 'error'
+"""
+
 # The message text as Spark's to_json writes it: fields in declared order,
 # NULL fields left out.
 _MESSAGE_TEXT = """
@@ -47,13 +56,17 @@ FROM events
 
 ORACLE: dict[str, str] = {
     "sensor_flatten": _SENSOR_ROWS,
-    "stream_jdbc_ingest": _SENSOR_ROWS,
+    "stream_jdbc_ingest": _SENSOR_TABLE,
     "weather_jdbc_load": _WEATHER_ROWS,
     "records_full_refresh": _RECORDS.format(uid="user_id"),
-    "required_fields_check": _SENSOR_ROWS,
-    "stream_sensor_ingest": _SENSOR_ROWS,
-    "stream_watermark_passthrough": _SENSOR_ROWS,
-    "stream_restart_resume": _SENSOR_ROWS,
+    "required_fields_check": """
+SELECT 'complete' AS "case", '' AS missing, count(*) FILTER (WHERE event_type <> 'error') AS "rows" FROM events
+UNION ALL
+SELECT 'without sensor_id' AS "case", 'sensor_id' AS missing, CAST(0 AS BIGINT) AS "rows"
+""",
+    "stream_sensor_ingest": _SENSOR_TABLE,
+    "stream_watermark_passthrough": _SENSOR_TABLE,
+    "stream_restart_resume": _SENSOR_TABLE,
     "kafka_raw_view": f"""
 SELECT CAST(event_id AS VARCHAR) AS "offset", ts AS "timestamp", {_MESSAGE_TEXT} AS raw_data FROM events
 """,
@@ -84,14 +97,14 @@ SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, p_type,
        CAST(p_size AS VARCHAR) AS p_size, CAST(p_retailprice AS VARCHAR) AS p_retailprice
 FROM part
 """,
-    # One header line per exported file: ceil(rows / 1,000,000) files.
+    # One header line in each of the export's four files.
     "csv_noheader_scan": """
 SELECT CAST(c_custkey AS VARCHAR) AS _c0, c_name AS _c1, CAST(c_nationkey AS VARCHAR) AS _c2,
        CAST(c_acctbal AS VARCHAR) AS _c3, c_mktsegment AS _c4
 FROM customer
 UNION ALL
 SELECT 'c_custkey' AS _c0, 'c_name' AS _c1, 'c_nationkey' AS _c2, 'c_acctbal' AS _c3, 'c_mktsegment' AS _c4
-FROM (SELECT unnest(range(CAST(ceil(count(*) / 1000000.0) AS BIGINT))) AS file_no FROM customer)
+FROM (SELECT DISTINCT c_custkey % 4 AS file_no FROM customer)
 """,
     "csv_multiline_scan": """
 SELECT CAST(conv_id AS VARCHAR) AS _c0, CAST(turn AS VARCHAR) AS _c1, role AS _c2, text AS _c3 FROM conversations
@@ -101,7 +114,7 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, NULL::VA
 FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'
 UNION ALL
 SELECT o_orderkey, o_custkey, NULL::VARCHAR AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
-FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'
+FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01' OR o_orderdate IS NULL
 """,
     "range_source": "SELECT CAST(row_number() OVER () - 1 AS BIGINT) AS id FROM orders",
     # One text file per landing group: ceil(rows / 2000) groups by event_id.
@@ -115,13 +128,7 @@ SELECT DISTINCT 'file=' || CAST(event_id % n AS VARCHAR) AS prefix, 'txt' AS ext
     "jdbc_append": _ORDERS,
     "jdbc_full_refresh": _ORDERS,
     "raw_land_overwrite": "SELECT page_id, html AS payload FROM pages",
-    "sorted_layout": """
-SELECT CAST(event_id AS VARCHAR) AS message_id, date_trunc('second', ts) AS event_time,
-       'sensor_' || CAST(user_id AS VARCHAR) AS sensor_id, value AS temperature,
-       CAST(json_extract_string(props, '$.k') AS BIGINT) AS humidity,
-       CAST(event_id % 100 + 950 AS BIGINT) AS pressure
-FROM events WHERE event_type <> 'error'
-""",
+    "sorted_layout": _SENSOR_TABLE,
     "batch_row_counts": """
 SELECT count(*) AS total_rows, count(*) FILTER (WHERE event_type <> 'error') AS valid_rows, true AS within_cap
 FROM events
@@ -130,9 +137,12 @@ FROM events
 SELECT count(*) AS rows_in, CAST(0 AS BIGINT) AS rows_written, CAST(0 AS BIGINT) AS batches_written FROM events
 """,
     "stream_fanout": """
-SELECT 'raw' AS branch, count(*) AS rows_in, count(*) AS rows_out FROM events
+SELECT 'raw' AS branch, count(*) AS rows_in, count(*) AS rows_out, count(*) AS rows_held FROM events
+UNION ALL
+SELECT 'warehouse', count(*), count(*) FILTER (WHERE event_type <> 'error'), count(*) FILTER (WHERE event_type <> 'error')
+FROM events
 UNION ALL
-SELECT 'warehouse' AS branch, count(*) AS rows_in, count(*) FILTER (WHERE event_type <> 'error') AS rows_out
+SELECT 'rejected', count(*), count(*) FILTER (WHERE event_type = 'error'), count(*) FILTER (WHERE event_type = 'error')
 FROM events
 """,
 }

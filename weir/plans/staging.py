@@ -8,6 +8,7 @@ once per process and reused; all writes are distributed.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import threading
 
@@ -22,9 +23,6 @@ TOPIC_PARTITIONS = 3
 # Message files hold at most this many rows (~100 MB of messages), so the
 # file count grows with the table but no file is tiny at scale.
 ROWS_PER_TOPIC_FILE = 1_000_000
-# The rate-capped copy: one file per trigger caps a micro-batch at the
-# sensor job's 1000 offsets per trigger.
-ROWS_PER_CAPPED_FILE = 1000
 # Like a topic's partitions: the main copy is spread over at least this many
 # files so even a small topic is read in parallel.
 MIN_TOPIC_FILES = 8
@@ -45,7 +43,8 @@ def _once(spark: SparkSession, sf_dir: str, name: str, build) -> str:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     with _lock:
         if key not in _staged:
-            tag = sf_dir.rstrip("/").rsplit("/", 1)[-1]
+            folder = sf_dir.rstrip("/")
+            tag = f"{folder.rsplit('/', 1)[-1]}-{hashlib.sha256(folder.encode()).hexdigest()[:12]}"
             path = scratch_path(spark, "staged", tag, name)
             build(path)
             _staged[key] = path
@@ -110,12 +109,17 @@ def sensor_topic(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "sensor_topic", build)
 
 
-def sensor_topic_capped(spark: SparkSession, sf_dir: str) -> str:
-    """The same messages in files of at most 1000 rows (one file = one capped trigger)."""
+def sensor_topic_capped(spark: SparkSession, sf_dir: str, rows_per_file: int) -> str:
+    """The same messages in files of at most ``rows_per_file`` rows (one file = one capped batch)."""
     def build(path: str) -> None:
-        _write_topic(kafka_frames(sensor_envelope(table(spark, sf_dir, "events"))), path,
-                     ROWS_PER_CAPPED_FILE)
-    return _once(spark, sf_dir, "sensor_topic_capped", build)
+        _write_topic(kafka_frames(sensor_envelope(table(spark, sf_dir, "events"))), path, rows_per_file)
+    return _once(spark, sf_dir, f"sensor_topic_capped_{rows_per_file}", build)
+
+
+def bytes_per_batch(spark: SparkSession, path: str, batches: int) -> int:
+    """Bytes of a batch that make about ``batches`` of the files at ``path``."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return max(1, files.agg(F.sum("length").alias("n")).first()["n"] // batches)
 
 
 def sensor_topic_shuffled(spark: SparkSession, sf_dir: str) -> str:
@@ -214,9 +218,9 @@ def csv_export(df: DataFrame, path: str, *, header: bool) -> None:
      .csv(path))
 
 
-# Rows per file of the header-bearing customer export: every file carries
-# its own header line, so a header-less read sees ceil(rows / this) of them.
-ROWS_PER_CSV_FILE = 1_000_000
+# The customer export is this many files, each with its own header line: part
+# of the input, whatever its size.
+CUSTOMER_FILES = 4
 
 
 def part_csv(spark: SparkSession, sf_dir: str) -> str:
@@ -226,15 +230,11 @@ def part_csv(spark: SparkSession, sf_dir: str) -> str:
 
 
 def customer_csv(spark: SparkSession, sf_dir: str) -> str:
-    """``customer`` with a header line in each of ``ceil(rows / ROWS_PER_CSV_FILE)`` files.
-
-    Range partitioning on the unique key makes every file non-empty, so the
-    number of header lines is known from the row count alone.
-    """
+    """``customer`` in ``CUSTOMER_FILES`` files by key, each with a header line."""
     def build(path: str) -> None:
         customer = table(spark, sf_dir, "customer")
-        n_files = max(1, math.ceil(customer.count() / ROWS_PER_CSV_FILE))
-        csv_export(customer.repartitionByRange(n_files, "c_custkey"), path, header=True)
+        dealt = customer.repartitionById(CUSTOMER_FILES, F.pmod("c_custkey", F.lit(CUSTOMER_FILES)).cast("int"))
+        csv_export(dealt, path, header=True)
     return _once(spark, sf_dir, "customer_csv", build)
 
 
@@ -259,7 +259,9 @@ def orders_before(orders: DataFrame) -> DataFrame:
 
 
 def orders_from(orders: DataFrame) -> DataFrame:
-    return orders.filter(F.col("o_orderdate") >= F.lit(ORDERS_SCHEMA_CHANGE).cast("timestamp_ntz"))
+    """The later orders, and those without a date."""
+    date = F.col("o_orderdate")
+    return orders.filter(date.isNull() | (date >= F.lit(ORDERS_SCHEMA_CHANGE).cast("timestamp_ntz")))
 
 
 def orders_two_schemas(spark: SparkSession, sf_dir: str) -> tuple[str, str]:

@@ -26,8 +26,9 @@ SENSOR_ENVELOPE = T.StructType([
 # Columns the warehouse table expects from the flattened stream, in order.
 SENSOR_COLUMNS = ["message_id", "event_time", "sensor_id", "temperature", "humidity", "pressure"]
 
-# Warehouse target, sorted by (event_time, sensor_id).  Unsigned 32-bit
-# integers in the warehouse are held as LongType so the whole range fits.
+# Warehouse target, sorted by (event_time, sensor_id) (fixed values).  The
+# warehouse's unsigned 32-bit integers are LongType here; the envelope's counters
+# are Integer, so a message's number beyond 2^31 - 1 is read as NULL before.
 SENSOR_TARGET = T.StructType([
     T.StructField("message_id", T.StringType()),
     T.StructField("event_time", T.TimestampType()),

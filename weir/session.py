@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import contextlib
 import tempfile
 import uuid
-from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -164,18 +162,14 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:10]}")
 
 
-@contextlib.contextmanager
-def case_sensitive(spark: SparkSession, enabled: bool = True) -> Iterator[None]:
-    """Resolve column names case-sensitively inside the block.
+def case_sensitive_session(spark: SparkSession, enabled: bool = True) -> SparkSession:
+    """A session of its own on the same cluster that resolves column names case-sensitively.
 
-    Names are bound when a frame is created, but file readers also consult
-    the setting when they run: a source whose columns differ only in case
-    must be read (written out or checkpointed) inside the block.
+    Queries of the session it comes from are not touched.  File readers consult
+    the setting when they run, so what reads such a source belongs to this
+    session until it is written out.
     """
-    key = "spark.sql.caseSensitive"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(enabled).lower())
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    own = spark.newSession()
+    own.conf.set("spark.sql.caseSensitive", str(enabled).lower())
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    return own

@@ -1,4 +1,4 @@
-from weir.sinks.files import land_raw, write_csv, write_json_lines, write_sorted
+from weir.sinks.files import land_raw, write_csv, write_sorted
 from weir.sinks.jdbc import append_table, replace_table
 from weir.sinks.kafka import kafka_sink_options, to_kafka_records, write_kafka, write_kafka_stream
 
@@ -9,7 +9,6 @@ __all__ = [
     "replace_table",
     "to_kafka_records",
     "write_csv",
-    "write_json_lines",
     "write_kafka",
     "write_kafka_stream",
     "write_sorted",

@@ -3,12 +3,16 @@ integer ranges and object listings."""
 
 from __future__ import annotations
 
+import fnmatch
+import itertools
 import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
+
+from weir import folders
+from weir.session import fresh_path
 
 
 def read_json_documents(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -29,10 +33,12 @@ def read_landed_documents(spark: SparkSession, path: str, schema: T.StructType,
     """Documents landed as JSON-lines payloads (see ``sinks.land_raw``) -> declared columns.
 
     Each line holds one document as text, so the landing splits across tasks
-    however many documents it holds; each payload is parsed once.
+    however many documents it holds; each payload is parsed once.  A payload
+    that is an array gives one row per element, one that can't be read a row of nulls.
     """
     landed = spark.read.schema(T.StructType([T.StructField(payload_col, T.StringType())])).json(path)
-    parsed = landed.select(F.inline(F.array(F.from_json(F.col(payload_col), schema))))
+    # an array gives one row per element; an object is read as an array of one
+    parsed = landed.select(F.inline_outer(F.from_json(F.col(payload_col), T.ArrayType(schema))))
     return parsed.select(*schema.fieldNames())
 
 
@@ -86,24 +92,37 @@ LISTING_SCHEMA = T.StructType([
 ])
 
 
-def list_objects(spark: SparkSession, prefix: str, pattern: str | None = None) -> DataFrame:
-    """Every object under ``prefix`` as ``(path, key, length, modificationTime)``.
+#: Objects listed before they are written out; the driver never holds more.
+LISTING_PAGE = 10_000
 
-    Complete rather than one page of a listing; the file contents are never
-    read because the ``content`` column is pruned.  A prefix with no objects,
-    or one that does not exist, gives an empty frame.
+
+def list_objects(spark: SparkSession, prefix: str, pattern: str | None = None) -> DataFrame:
+    """Every object whose name starts with ``prefix``: ``(path, key, length, modificationTime)``.
+
+    ``prefix`` is a folder, the beginning of names in a folder, a single object
+    or a glob.  Keys are relative to the folder that the prefix names, or that
+    its last part lies in.  Hidden names and empty objects are listed like any
+    other; ``pattern`` is a glob on the last part of a name.  Pages of the
+    listing go to the scratch area as they come, so the driver holds one page.
+    A prefix with no objects, or one that does not exist, gives an empty frame.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
-    try:
-        df = reader.load(prefix).select("path", "length", "modificationTime")
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" not in str(exc) and "Path does not exist" not in str(exc):
-            raise
+    if any(c in prefix for c in "*?[{"):
+        base, start = prefix[:re.search(r"[*?\[{]", prefix).start()].rpartition("/")[0], prefix
+    elif prefix.endswith("/") or folders.is_folder(spark, prefix):
+        base = start = prefix.rstrip("/")
+    else:
+        base, start = prefix.rpartition("/")[0], prefix + "*"
+    root = folders.qualified(spark, base).rstrip("/") + "/"
+    schema = "path string, key string, length long, modified long"
+    target = fresh_path(spark, "listing")
+    found = folders.statuses(spark, start)
+    pages = 0
+    while page := list(itertools.islice(found, LISTING_PAGE)):
+        rows = [(path, path.removeprefix(root), length, at) for path, length, at in page
+                if not pattern or fnmatch.fnmatchcase(path.rpartition("/")[2], pattern)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(target)
+        pages += 1
+    if not pages:
         return spark.createDataFrame([], LISTING_SCHEMA)
-    # ``path`` is fully qualified (file:/..., s3a://...); the key is the part
-    # after the listed prefix.
-    base = prefix.rstrip("/") + "/"
-    key = F.regexp_extract(F.col("path"), r"^(?:.*?" + re.escape(base.split(":", 1)[-1].lstrip("/")) + r")(.*)$", 1)
-    return df.select("path", key.alias("key"), "length", "modificationTime")
+    return spark.read.schema(schema).parquet(target).select(
+        "path", "key", "length", F.timestamp_millis("modified").alias("modificationTime"))

@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from weir.schemas import KAFKA_SOURCE
 
-# Operating settings of the sensor job (fixed values).
-DEFAULT_MAX_OFFSETS_PER_TRIGGER = 1000
+# Operating settings of the reference's sensor job (fixed values).  Its cap on a
+# batch is a demo's; callers that want one pass it.
+DEMO_MAX_OFFSETS_PER_TRIGGER = 1000
 DEFAULT_STARTING_OFFSETS = "earliest"
 
 
@@ -22,7 +23,7 @@ def kafka_options(
     topic: str,
     *,
     starting_offsets: str = DEFAULT_STARTING_OFFSETS,
-    max_offsets_per_trigger: int | None = DEFAULT_MAX_OFFSETS_PER_TRIGGER,
+    max_offsets_per_trigger: int | None = None,
     min_partitions: int | None = None,
     extra: dict[str, str] | None = None,
 ) -> dict[str, str]:
@@ -85,13 +86,18 @@ def read_topic_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(KAFKA_SOURCE).parquet(path)
 
 
-def stream_topic_files(spark: SparkSession, path: str, max_files_per_trigger: int | None = 1) -> DataFrame:
+def stream_topic_files(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
+                       max_bytes_per_trigger: int | None = None) -> DataFrame:
     """Streaming frame over Kafka-shaped Parquet files.
 
-    With files of at most N rows, ``max_files_per_trigger=1`` caps every
-    micro-batch at N rows, the file counterpart of ``maxOffsetsPerTrigger``.
+    Without a limit a batch takes what is there.  ``max_bytes_per_trigger``
+    sizes batches by volume, whatever the files; with files of at most N rows,
+    ``max_files_per_trigger=1`` caps every batch at N rows, the counterpart of
+    ``maxOffsetsPerTrigger``.
     """
     reader = spark.readStream.schema(KAFKA_SOURCE)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    if max_bytes_per_trigger is not None:
+        reader = reader.option("maxBytesPerTrigger", int(max_bytes_per_trigger))
     return reader.parquet(path)

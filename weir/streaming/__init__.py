@@ -8,7 +8,7 @@ from weir.streaming.batch_sinks import (
     read_batches,
     write_batch_partition,
 )
-from weir.streaming.runner import await_all, console_debug, run_available, start_stream
+from weir.streaming.runner import await_all, check_event_time, console_debug, run_available, start_stream
 
 __all__ = [
     "BatchLog",
@@ -17,6 +17,7 @@ __all__ = [
     "IdempotentFileSink",
     "JdbcBatchSink",
     "await_all",
+    "check_event_time",
     "console_debug",
     "read_batch_log",
     "read_batches",
