@@ -1,0 +1,131 @@
+from __future__ import annotations
+
+import math
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from weir.llm import lm, neighbours
+
+SF = "/root/testdata/sf0.01"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def exact(vectors, query_id, query, k):
+    found = sorted((math.dist(query, v), i) for i, v in vectors if i != query_id and len(v) == len(query))
+    return found[:k]
+
+
+def usable(v):
+    return v is not None and all(x is not None and math.isfinite(x) for x in v) and any(v)
+
+
+@pytest.mark.parametrize("block", [100, 16_384])
+def test_recall_and_exact_scores(spark, block):
+    rows = spark.read.parquet(f"{SF}/embeddings.parquet")
+    vectors = [(r["vec_id"], r["embedding"]) for r in rows.collect()]
+    found = Counter()
+    for r in neighbours.nearest(rows, rows.where("vec_id % 20 = 0"), 10, block).collect():
+        query = dict(vectors)[r["query_id"]]
+        want = exact(vectors, r["query_id"], query, 10)
+        assert r["score"] == pytest.approx(math.dist(query, dict(vectors)[r["vec_id"]]), abs=1e-9)
+        found[r["query_id"]] += any(i == r["vec_id"] for _, i in want)
+    assert len(found) == 25
+    assert sum(found.values()) >= 0.9 * 250
+
+
+def test_awkward_vectors(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, rng.standard_normal(8).tolist()) for i in range(1, 200)]
+    same = rng.standard_normal(8).tolist()
+    rows += [(i, same) for i in range(1000, 1060)]  # many ties
+    rows += [(300, None), (400, [0.0] * 8), (500, [1.0, None] * 4), (600, [math.nan] * 8), (700, [math.inf] * 8), (None, [1.0] * 8),
+             (800, [1.0, 2.0]), (900, [1.0, 2.5]), (150, rows[0][1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = {}
+    for r in neighbours.nearest(df, df.where("vec_id % 100 = 0"), 10).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+    good = [(i, np.array(v, np.float32).tolist()) for i, v in rows if i is not None and usable(v)]
+    queries = {i: v for i, v in good if i % 100 == 0}
+    assert set(got) == set(queries)
+    assert sorted(got[800]) == [(1, 900)]
+    assert [v for _, v in sorted(got[1000])] == list(range(1001, 1011))
+    for q, v in queries.items():
+        want = [i for _, i in exact(good, q, v, 10)]
+        assert [r for r, _ in sorted(got[q])] == list(range(1, len(want) + 1))
+        assert len({i for _, i in got[q]} & set(want)) >= 0.9 * len(want)
+    empty = df.where("vec_id < 0")
+    assert neighbours.nearest(empty, empty).collect() == []
+
+
+# --- language models --------------------------------------------------------------------
+
+def brute(docs, background, target, size):
+    low = {k: k + 32 for k in range(65, 91)}
+    words = lambda t: WORD.findall((t or "").translate(low))
+    counts = Counter(w for t in background for w in words(t))
+    grade = lambda n: math.floor(math.log(n) / math.log(1.1) + 1e-12)
+    room, known = size, set()
+    for g in sorted({grade(n) for n in counts.values()}, reverse=True):
+        own = {w for w, n in counts.items() if grade(n) == g}
+        room -= len(own)
+        if room < 0:
+            break
+        known |= own
+    tokens = lambda t: [w if w in known else "<unknown>" for w in words(t)]
+
+    def model(corpus):
+        one, two, before = Counter(), Counter(), Counter()
+        for t in corpus:
+            y = tokens(t)
+            before.update(["<start>"][:len(y)] + y)
+            one.update(y)
+            two.update(zip(["<start>", *y[:-1]], y, strict=False))
+        total = sum(one.values())
+
+        def loss(c, w):
+            p = (one[w] + lm.SMOOTHING) / (total + lm.SMOOTHING * (lm.VOCABULARY + 1))
+            if before[c]:
+                p = lm.BIGRAM_WEIGHT * two[c, w] / before[c] + (1 - lm.BIGRAM_WEIGHT) * p
+            return -math.log(p)
+        return loss
+
+    b, t = model(background), model(target)
+    out = []
+    for i, text in docs:
+        y = tokens(text)
+        pairs = list(zip(["<start>", *y[:-1]], y, strict=False))
+        n = max(1, len(y))
+        out.append((i, len(y), sum(t(*p) for p in pairs) / n, sum(b(*p) for p in pairs) / n))
+    return out
+
+
+def same(got, want):
+    key = lambda r: (str(r[0]), r[1], round(r[2], 6))
+    got, want = sorted((tuple(r) for r in got), key=key), sorted(want, key=key)
+    assert len(got) == len(want)
+    for g, w in zip(got, want, strict=True):
+        assert g[:2] == w[:2]
+        assert g[2:] == pytest.approx((*w[2:], w[2] - w[3]), abs=1e-9)
+
+
+def test_losses_are_those_of_the_models(spark, awkward):
+    docs = [(r["doc_id"], r["text"]) for r in awkward.select("doc_id", "text").collect()]
+    target = ["alpha beta gamma", "alpha beta delta delta", None, "never seen words"]
+    got = lm.score(awkward, awkward, spark.createDataFrame([(t,) for t in target], "text string")).collect()
+    same(got, brute(docs, [t for _, t in docs], target, lm.VOCABULARY))
+
+
+def test_a_full_vocabulary_leaves_unknown_words(spark, monkeypatch):
+    docs = [(i, " ".join(f"w{j}" for j in range(i % 40))) for i in range(80)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    words = lm.vocabulary(df, df, 10)
+    assert 0 < len(words.hashes) <= 10
+
+
+def test_no_target_and_no_documents(spark, awkward, nothing):
+    docs = [(r["doc_id"], r["text"]) for r in awkward.select("doc_id", "text").collect()]
+    same(lm.score(awkward, awkward, nothing).collect(), brute(docs, [t for _, t in docs], [], lm.VOCABULARY))
+    assert lm.score(nothing, nothing, nothing).collect() == []

@@ -44,7 +44,7 @@ def brute(rows, percent=90, size=3):
 
 
 def joined(df, percent=90, size=3):
-    return sorted((tuple(r) for r in ngram_join.join_components(df, size, percent).collect()), key=str)
+    return sorted((tuple(r) for r in ngram_join.join_components(df, size, percent).drop("row").collect()), key=str)
 
 
 def near_copies(seed, n=250):
