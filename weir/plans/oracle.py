@@ -117,10 +117,13 @@ SELECT o_orderkey, o_custkey, NULL::VARCHAR AS o_orderstatus, o_totalprice, o_or
 FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01' OR o_orderdate IS NULL
 """,
     "range_source": "SELECT CAST(row_number() OVER () - 1 AS BIGINT) AS id FROM orders",
-    # One text file per landing group: ceil(rows / 2000) groups by event_id.
+    # One text file per landing group: ceil(rows / 2000) groups by event_id; and
+    # the writer's empty marker, a hidden name that a complete listing has too.
     "object_listing": """
 WITH n AS (SELECT CAST(ceil(count(*) / 2000.0) AS BIGINT) AS n FROM events)
 SELECT DISTINCT 'file=' || CAST(event_id % n AS VARCHAR) AS prefix, 'txt' AS extension FROM events, n
+UNION ALL
+SELECT '' AS prefix, '' AS extension
 """,
     "row_count": "SELECT count(*) AS row_count FROM lineitem",
     "load_report": "SELECT count(*) AS row_count, 11 AS column_count FROM lineitem",
