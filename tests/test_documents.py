@@ -70,6 +70,13 @@ def test_bad_time_text_is_null_not_error(spark, scratch):
     assert ops.flatten_weather(sources.read_json_documents(spark, p, WEATHER_DOCUMENT)).first()["time"] is None
 
 
+def test_time_can_stay_text(spark, scratch):
+    p = scratch("texttime")
+    write(p, "a.json", DOC)
+    row = ops.flatten_weather(sources.read_json_documents(spark, p, WEATHER_DOCUMENT), time_as_text=True).first()
+    assert row["time"] == "2025-07-12T08:15"
+
+
 def test_partition_directories_do_not_shift_positions(spark, scratch):
     p = scratch("records")
     write(p + "/b=1", "a.json", '[{"userId": 1, "id": 2, "title": "t", "body": "x"}]')

@@ -73,15 +73,15 @@ def raw_message_view(messages: DataFrame) -> DataFrame:
     )
 
 
-def flatten_weather(raw: DataFrame) -> DataFrame:
+def flatten_weather(raw: DataFrame, time_as_text: bool = False) -> DataFrame:
     """Current-weather document -> seven flat columns.
 
-    ``current_weather.time`` may be declared as text (parsed here, leniently)
-    or already as a timestamp.
+    ``current_weather.time`` may be declared as text (parsed here, leniently,
+    unless ``time_as_text`` keeps it as it came) or already as a timestamp.
     """
     time_field = raw.schema["current_weather"].dataType["time"].dataType
     time_col = F.col("current_weather.time")
-    if not isinstance(time_field, (T.TimestampType, T.TimestampNTZType)):
+    if not time_as_text and not isinstance(time_field, (T.TimestampType, T.TimestampNTZType)):
         time_col = parse_timestamp(time_col)
     return raw.select(
         F.col("latitude"),

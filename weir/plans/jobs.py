@@ -150,6 +150,11 @@ def csv_header_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_csv(spark, staging.part_csv(spark, sf_dir), header=True)
 
 
+def csv_inferred_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same export with its types inferred from the values."""
+    return sources.read_csv(spark, staging.part_csv(spark, sf_dir), header=True, infer_schema=True)
+
+
 def csv_noheader_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Header-bearing CSV read without the header option: header lines become rows."""
     return sources.read_csv(spark, staging.customer_csv(spark, sf_dir), header=False)
@@ -427,6 +432,7 @@ JOBS: dict[str, Job] = {
     "positional_rename": positional_rename,
     "records_csv_load": records_csv_load,
     "csv_header_scan": csv_header_scan,
+    "csv_inferred_scan": csv_inferred_scan,
     "csv_noheader_scan": csv_noheader_scan,
     "csv_multiline_scan": csv_multiline_scan,
     "parquet_merge_schema": parquet_merge_schema,
@@ -465,6 +471,7 @@ INPUT_TABLES: dict[str, tuple[str, ...]] = {
     "positional_rename": ("documents",),
     "records_csv_load": ("documents",),
     "csv_header_scan": ("part",),
+    "csv_inferred_scan": ("part",),
     "csv_noheader_scan": ("customer",),
     "csv_multiline_scan": ("conversations",),
     "parquet_merge_schema": ("orders",),

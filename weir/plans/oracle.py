@@ -96,6 +96,9 @@ SELECT value AS latitude, CAST(user_id AS DOUBLE) AS longitude, event_type AS ti
 SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, p_type,
        CAST(p_size AS VARCHAR) AS p_size, CAST(p_retailprice AS VARCHAR) AS p_retailprice
 FROM part
+""",
+    "csv_inferred_scan": """
+SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part
 """,
     # One header line in each of the export's four files.
     "csv_noheader_scan": """

@@ -14,6 +14,7 @@ import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from weir.functions.json import encode_json, encode_json_bytes
 from weir.session import scratch_path
@@ -158,11 +159,13 @@ def write_json_arrays(df: DataFrame, path: str, bucket_key: str,
     """
     n_files = max(1, math.ceil(df.count() / rows_per_file))
     doc_cols = [c for c in df.columns if c != bucket_key]
-    docs = (df.select(encode_json(*doc_cols).alias("doc"),
-                      F.pmod(F.col(bucket_key), F.lit(n_files)).alias("file"))
-            .groupBy("file")
-            .agg(F.concat(F.lit("[\n  "), F.array_join(F.collect_list("doc"), ",\n  "), F.lit("\n]")).alias("value")))
-    docs.write.mode("overwrite").partitionBy("file").text(path)
+    docs = df.select(encode_json(*doc_cols).alias("doc"), F.col(bucket_key).alias("key"),
+                     F.pmod(F.col(bucket_key), F.lit(n_files)).alias("file"))
+    # Rows are written one after the other; an array is never held as a whole.
+    order = Window.partitionBy("file").orderBy("key")
+    opens, closes = F.lag("key").over(order).isNull(), F.lead("key").over(order).isNull()
+    line = F.concat(F.when(opens, "[\n  ").otherwise("  "), F.col("doc"), F.when(closes, "\n]").otherwise(","))
+    docs.select("file", line.alias("value")).write.mode("overwrite").partitionBy("file").text(path)
 
 
 def weather_frame(events: DataFrame) -> DataFrame:
