@@ -36,12 +36,11 @@ class; an empty table gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
-import contextlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weir.llm.common import written
@@ -54,7 +53,7 @@ SCREEN_BITS = 2
 MAX_MATCHES = 16
 VERIFY_COST = 16.0
 
-_SET = "doc_id long, n_shingles long, screened long, node binary"
+_SET = "doc_id long, row long, n_shingles long, screened long, node binary"
 _GRAMS = "bucket int, kind int, grams binary, nodes binary"
 # kinds of rows: n-grams of one class of a task, n-grams of several, classes with counts
 _ALONE, _COMMON, _COUNTED = 0, 1, 2
@@ -84,8 +83,8 @@ def _sets(size: int) -> Callable[[Batches], Batches]:
                     screened.append(len(_screened(grams)))
                     nodes.append(_node(grams) if len(grams) else None)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(first, last - first).cast(pa.int64()), pa.array(sizes, pa.int64()),
-                     pa.array(screened, pa.int64()), _binary(nodes)], ["doc_id", "n_shingles", "screened", "node"])
+                    [batch.column("doc_id").slice(first, last - first).cast(pa.int64()), batch.column("row").slice(first, last - first), pa.array(sizes, pa.int64()),
+                     pa.array(screened, pa.int64()), _binary(nodes)], ["doc_id", "row", "n_shingles", "screened", "node"])
     return run
 
 
@@ -206,12 +205,21 @@ def _similar(shared: Column, n: Column, m: Column, percent: int) -> Column:
 
 
 def document_sets(docs: DataFrame, size: int = 3) -> DataFrame:
-    """(doc_id, n_shingles, node): set size and fingerprint; node is null for an empty set."""
-    return docs.select("doc_id", "text").mapInArrow(_sets(size), _SET)
+    """(doc_id, row, n_shingles, screened, node): set size and fingerprint; node is null for an empty set."""
+    return _named(docs).mapInArrow(_sets(size), _SET)
+
+
+def named() -> Column:
+    """A name of a row by its content."""
+    return F.xxhash64("doc_id", "text")
+
+
+def _named(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "text", named().alias("row"))
 
 
 def _survivors(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
-    """Classes that the screen can't rule out, as (node, n, first_id)."""
+    """Classes that the screen can't rule out, as (node, n, at)."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     seen = (docs.select("text").mapInArrow(_packed(size, parts), _GRAMS)
@@ -221,30 +229,17 @@ def _survivors(docs: DataFrame, classes: DataFrame, size: int, percent: int) ->
     half = F.conv(F.substring(F.hex("node"), 1, 16), 16, -10).cast("long")
     unseen = F.col("screened") - F.coalesce(F.col("shared"), F.lit(0))
     screened = written(classes.withColumn("half", half).join(seen, "half", "left")
-                       .select("node", "n", "first_id", (100 * unseen - (100 - percent) * F.col("n")).alias("excess")), "ngram-screened")
+                       .select("node", "n", "at", (100 * unseen - (100 - percent) * F.col("n")).alias("excess")), "ngram-screened")
     return screened.where("excess <= 0")
 
 
-@contextlib.contextmanager
-def _early_filter(spark: SparkSession) -> Iterator[None]:
-    """Let Spark's own Bloom filter thin out a scan of any size before its shuffle."""
-    key = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "1b")
-    try:
-        yield
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
-
-
 def _prepared(docs: DataFrame, left: DataFrame, size: int, percent: int) -> DataFrame:
     """The classes left, with what they share, rarest n-gram first, and the sizes a partner can have."""
-    ids = left.select(F.col("first_id").alias("doc_id"))
-    texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").unionByName(
-        docs.select("doc_id", "text").where("doc_id IS NULL"))  # more classes than needed do no harm
-    with _early_filter(docs.sparkSession):
-        sets = written(texts.select("text").mapInArrow(_gram_sets(size), "node binary, grams array<long>")
-                       .dropDuplicates(["node"]), "ngram-sets")
+    rows = _named(docs).join(left.select(F.col("at.row").alias("of"), F.col("at.doc_id").alias("id")),
+                             (F.col("row") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    # a row that is there several times is one text: dealt out by its name already, so this moves nothing
+    texts = rows.groupBy("row", "doc_id").agg(F.min("text").alias("text"))
+    sets = written(texts.select("text").mapInArrow(_gram_sets(size), "node binary, grams array<long>"), "ngram-sets")
     grams = sets.select("node", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
     often = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     rows = (grams.join(often, "gram").groupBy("node", "n")
@@ -323,21 +318,23 @@ def _links(classes: DataFrame, percent: int) -> DataFrame:
 
 
 def join_components(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs``.
+    """(doc_id, n_shingles, component_id, row) of every row of ``docs``.
 
     Rows link when 100 * shared >= percent * united; component_id is the
-    smallest doc_id that links reach, the row's own included.
+    smallest doc_id that links reach, the row's own included; row is the hash
+    of id and text that :func:`named` gives it.
     """
     if not 0 < percent <= 100:
         raise ValueError("percent must be in 1..100")
     sets = written(document_sets(docs, size), "ngram-documents")
     full = sets.where("node IS NOT NULL")
     classes = written(full.groupBy("node").agg(F.first("n_shingles").alias("n"), F.min("doc_id").alias("first_id"),
+                                               F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("at"),
                                                F.first("screened").alias("screened")), "ngram-nodes")
     left = _survivors(docs, classes, size, percent)
     linked = _links(_prepared(docs, left, size, percent), percent)
     named = classes.select("node", "first_id").join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     of_node = named.join(smallest, "root").select("node", "component_id")
-    found = full.join(of_node, "node").select("doc_id", "n_shingles", "component_id")
-    return found.unionByName(sets.where("node IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    found = full.join(of_node, "node").select("doc_id", "n_shingles", "component_id", "row")
+    return found.unionByName(sets.where("node IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "row"))

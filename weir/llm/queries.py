@@ -20,7 +20,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's 3-word set size and the component it is in at similarity 0.9."""
-    return ngram_join.join_components(table(spark, sf_dir, "documents"), 3, 90)
+    return ngram_join.join_components(table(spark, sf_dir, "documents"), 3, 90).drop("row")
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
