@@ -44,10 +44,12 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     in a group without any id, one row of each text stays.
     """
     ready(spark)
+    own = "row named by its content"
     stays = (ngram_join.join_components(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-             .select(F.col("doc_id").alias("_stays")).distinct())
-    kept = docs.join(stays, F.col("doc_id").eqNullSafe(F.col("_stays")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "text"])
+             .select(F.col("row").alias(own)))
+    # the join has dealt rows out by their name, so equal rows are together already
+    return (docs.withColumn(own, ngram_join.named()).join(stays, own, "left_semi")
+            .dropDuplicates([own, "doc_id", "text"]).select(*docs.columns))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
