@@ -94,6 +94,12 @@ def letter_ranges(pattern: str) -> str:
     return "".join(f"\\U{ord(run[0]):08x}-\\U{ord(run[-1]):08x}" for run, _ in runs)
 
 
+def first_ranges(ranges: str, end: int) -> str:
+    """The part of a class's ranges that begins up to ``end``."""
+    pairs = regex.findall(r"\\U([0-9a-f]{8})-\\U([0-9a-f]{8})", ranges)
+    return "".join(f"\\U{a}-\\U{b}" for a, b in pairs if int(a, 16) <= end)
+
+
 class Codec:
     """Ids of texts and texts of ids, by one vocabulary file and its classes of characters."""
 
@@ -106,9 +112,11 @@ class Codec:
         self.end = model.get("end_of_word_suffix") or ""
         self.ids: dict[str, int] = model["vocab"]
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
-        self.ranks: dict[tuple[str, str], int] = {}
-        for rank, pair in enumerate(merges):
-            self.ranks.setdefault(pair, rank)
+        #: (id << 32 | id of the next symbol) -> rank of their merge; rank -> id of the merged symbol
+        self.ranks: dict[int, int] = {}
+        self.made = [self.ids[x + y] for x, y in merges]
+        for rank, (x, y) in enumerate(merges):
+            self.ranks.setdefault(self.ids[x] << 32 | self.ids[y], rank)
         self.special = {t["content"]: t["id"] for t in full["added_tokens"]}
         self.special_pattern = regex.compile("(" + "|".join(regex.escape(t) for t in self.special) + ")") if self.special else None
         size = 1 + max([*self.ids.values(), *self.special.values()])
@@ -116,11 +124,15 @@ class Codec:
         for token, i in [*self.ids.items(), *self.special.items()]:
             self.tokens[i] = token
         source = full["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.words = regex.compile(self._written_out(source, classes))
+        # The full classes are long; most texts need none but their first ranges.
+        self.words = [(chr(end), regex.compile(self._written_out(source, {c: first_ranges(r, end) for c, r in classes.items()})))
+                      for end in (0x7F, 0x24F, 0x10FFFF)]
         self.white = regex.compile(f"[{classes[WHITE]}]+")
         # white space to Python and not to the library, or the other way round
         self.odd_white = regex.compile("[\\x1c-\\x1f]")
         self.letters = byte_letters()
+        self.first = [self.ids.get(x) for x in self.letters]
+        self.last = [self.ids.get(x + self.end) for x in self.letters]
         self.inside = self._inside()
         self.inside_flat = self.inside.astype(np.uint8).tobytes()
         self.pieces, self.fragments = Recent(TABLE), Recent(TABLE)
@@ -165,45 +177,51 @@ class Codec:
         key = fragment + b" " if last else fragment  # no fragment holds a space
         found = self.fragments.get(key)
         if found is None:
-            symbols = [self.letters[b] for b in fragment]
+            symbols = [self.first[b] for b in fragment]
             if last:
-                symbols[-1] += self.end
-            symbols = self._few(symbols) if len(symbols) <= SHORT else self._many(symbols)
-            found = array("i", [self.ids[s] for s in symbols if s in self.ids]).tobytes()
+                symbols[-1] = self.last[fragment[-1]]
+            symbols = [i for i in symbols if i is not None]
+            found = array("i", self._few(symbols) if len(symbols) <= SHORT else self._many(symbols)).tobytes()
             self.fragments.put(key, found)
         return found
 
-    def _few(self, symbols: list[str]) -> list[str]:
-        ranks, none = self.ranks, len(self.ranks)
-        while len(symbols) > 1:
-            order = [ranks.get(pair, none) for pair in zip(symbols[:-1], symbols[1:], strict=True)]
-            best = min(order)
+    def _few(self, symbols: list[int]) -> list[int]:
+        """Merge the pair of the least rank, the leftmost of equals, until no pair has one."""
+        rank_of, none = self.ranks.get, len(self.made)
+        ranks = [rank_of(x << 32 | y, none) for x, y in zip(symbols[:-1], symbols[1:], strict=True)]
+        while ranks:
+            best = min(ranks)
             if best == none:
                 break
-            i = order.index(best)
-            symbols[i:i + 2] = [symbols[i] + symbols[i + 1]]
+            i = ranks.index(best)
+            symbols[i] = made = self.made[best]
+            del symbols[i + 1], ranks[i]
+            if i:
+                ranks[i - 1] = rank_of(symbols[i - 1] << 32 | made, none)
+            if i < len(ranks):
+                ranks[i] = rank_of(made << 32 | symbols[i + 1], none)
         return symbols
 
-    def _many(self, symbols: list[str]) -> list[str]:
+    def _many(self, symbols: list[int]) -> list[int]:
         """The same merges in the same order off a heap, for long fragments."""
         ranks, n = self.ranks, len(symbols)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(ranks[p], i, p) for i, p in enumerate(zip(symbols[:-1], symbols[1:], strict=True)) if p in ranks]
+        heap = [(ranks[p], i, p) for i, p in enumerate(x << 32 | y for x, y in zip(symbols[:-1], symbols[1:], strict=True)) if p in ranks]
         heapq.heapify(heap)
         alive = [True] * n
         while heap:
-            _, i, pair = heapq.heappop(heap)
+            rank, i, pair = heapq.heappop(heap)
             j = after[i]
-            if not alive[i] or j >= n or (symbols[i], symbols[j]) != pair:
+            if not alive[i] or j >= n or symbols[i] << 32 | symbols[j] != pair:
                 continue
-            symbols[i] += symbols[j]
+            symbols[i] = self.made[rank]
             alive[j] = False
             after[i] = after[j]
             if after[j] < n:
                 before[after[j]] = i
             for left in (before[i], i):
                 if left >= 0 and after[left] < n:
-                    new = (symbols[left], symbols[after[left]])
+                    new = symbols[left] << 32 | symbols[after[left]]
                     if new in ranks:
                         heapq.heappush(heap, (ranks[new], left, new))
         return [s for s, live in zip(symbols, alive, strict=True) if live]
@@ -211,7 +229,8 @@ class Codec:
     def _piece(self, piece: str) -> bytes:
         """The ids of a stretch of text without white space."""
         out: list[bytes] = []
-        for word in self.words.findall(piece):
+        highest = "" if piece.isascii() else max(piece)
+        for word in next(pattern for end, pattern in self.words if highest <= end).findall(piece):
             fragments = self.cut(word.encode())
             out += [self.merged(f, False) for f in fragments[:-1]]
             out.append(self.merged(fragments[-1], True))
@@ -262,7 +281,7 @@ def _encoder(spec: object, decoded: bool) -> Callable[[Batches], Batches]:
                 kept, names = carried_columns(part)
                 outputs, kinds = [*kept, ids], [*names, "ids"]
                 if decoded:
-                    outputs.append(pa.array([codec.decode(i) for i in ids.to_pylist()], pa.string()))
+                    outputs.append(pa.array([codec.decode(np.frombuffer(p, np.int32).tolist()) for p in packed], pa.string()))
                     kinds.append("decoded")
                 yield pa.RecordBatch.from_arrays(outputs, kinds)
     return run
