@@ -100,7 +100,7 @@ def test_archives_round_trip(spark):
         warc.write_archives(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3), path)
         archived = warc.read_archives(spark, path).cache()
         payloads = {r["page_id"]: bytes(r["payload"]) for r in archived.collect()}
-        got = {r["page_id"]: tuple(r) for r in warc.page_summary(archived).collect()}
+        got = {r["page_id"]: tuple(r) for r in warc.summary(spark, path).collect()}
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
@@ -121,7 +121,7 @@ def test_small_payloads_are_no_revisits(spark):
     pages = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcdef"), (4, "u", "abcdef")], "page_id long, url string, html string")
     path = fresh_path(spark, "archives")
     warc.write_archives(pages, path, least_bytes=5)
-    got = {r["page_id"]: (r["record_type"], r["refers_to"]) for r in warc.page_summary(warc.read_archives(spark, path)).collect()}
+    got = {r["page_id"]: (r["record_type"], r["refers_to"]) for r in warc.summary(spark, path).collect()}
     assert got == {1: ("response", None), 2: ("response", None), 3: ("revisit", 4), 4: ("response", None)}
 
 
@@ -131,7 +131,7 @@ def test_archives_of_nothing_and_of_repeated_rows(spark):
                                   [(5, "response", None), (5, "response", None), (None, "revisit", 5)])):
         path = fresh_path(spark, "archives")
         warc.write_archives(spark.createDataFrame(rows, schema), path)
-        got = [(r["page_id"], r["record_type"], r["refers_to"]) for r in warc.page_summary(warc.read_archives(spark, path)).collect()]
+        got = [(r["page_id"], r["record_type"], r["refers_to"]) for r in warc.summary(spark, path).collect()]
         assert sorted(got, key=str) == sorted(want, key=str)
 
 

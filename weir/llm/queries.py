@@ -50,7 +50,7 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written as a WARC record, and what reading the archives back gives."""
     path = fresh_path(spark, "archives")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
-    return warc.page_summary(warc.read_archives(spark, path))
+    return warc.summary(spark, path)
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

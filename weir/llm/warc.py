@@ -22,6 +22,8 @@ file that does not begin with a record has none; further columns are ignored.
 
 from __future__ import annotations
 
+import base64
+import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -83,7 +85,7 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
 
 
 _PIECE = ("file string, split long, inside long, bytes long, next long, head long, "
-          "kind string, page string, digest string, refers string, length long, body binary")
+          "kind string, page string, digest string, refers string, length long, claimed string, body binary")
 
 
 def _header(text: bytes) -> tuple[int, dict[str, str]] | None:
@@ -100,6 +102,10 @@ def _header(text: bytes) -> tuple[int, dict[str, str]] | None:
     return (end + 4, fields) if _number(fields.get("content-length")) is not None else None
 
 
+def _digest(payload: bytes) -> str:
+    return base64.b32encode(hashlib.sha1(payload).digest()).decode()
+
+
 def _number(text: str | None) -> int | None:
     return int(text) if text and text.isascii() and text.isdecimal() and len(text) <= 18 else None
 
@@ -120,31 +126,35 @@ def _pieces(batches: Batches) -> Batches:
             after, fields = (None, {}) if head is None else (head[0] + int(head[1]["content-length"]) + 4, head[1])
             rows.append((file, split, at, len(text), after, head and head[0], fields.get("warc-type"), fields.get("warc-record-id"),
                          fields.get("warc-payload-digest"), fields.get("warc-refers-to"),
-                         _number(fields.get("warc-payload-length")), text))
+                         _number(fields.get("warc-payload-length")), head and _digest(text[head[0]:len(text) - 4]), text))
             at += len(text) + magic
         if rows:
             columns = list(zip(*rows, strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
 
+def _cut(spark: SparkSession, path: str) -> DataFrame:
+    """The pieces of the files under ``path``, with their place in their split and their text."""
+    lines = (spark.read.option("lineSep", MAGIC).text(path)
+             .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+                     F.col("value").cast("binary").alias("piece")))
+    return lines.mapInArrow(_pieces, _PIECE)
+
+
 def pieces(spark: SparkSession, path: str) -> DataFrame:
-    """The pieces of the files under ``path`` with their byte offsets in the file.
+    """The pieces of the files under ``path`` with their byte offsets in the file, without their texts.
 
     ``start`` is where a piece's record would begin (its magic), ``next`` where
     the record after it would; the piece before the first magic starts below 0.
     """
-    lines = (spark.read.option("lineSep", MAGIC).text(path)
-             .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
-                     F.col("value").cast("binary").alias("piece")))
-    found = written(lines.mapInArrow(_pieces, _PIECE), "warc-pieces")
+    found = written(_cut(spark, path).drop("body"), "warc-pieces")
     # a split's pieces follow those of the splits before it
     size = found.groupBy("file", "split").agg(F.sum(F.col("bytes") + len(MAGIC)).alias("_size"))
     before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     bases = size.select("file", "split", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_base"))
     start = F.col("_base") + F.col("inside") - len(MAGIC)
     return (found.join(bases, ["file", "split"])
-            .withColumn("start", start).withColumn("next", F.col("start") + len(MAGIC) + F.col("next"))
-            .drop("_base", "inside"))
+            .withColumn("start", start).withColumn("next", F.col("start") + len(MAGIC) + F.col("next")).drop("_base"))
 
 
 def reachable(links: DataFrame) -> DataFrame:
@@ -168,50 +178,69 @@ def reachable(links: DataFrame) -> DataFrame:
             return reached
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """The verified records under ``path``: file, start, record_type, page_id, payload and header fields.
-
-    ``payload`` is the record's block, put together from its pieces; a revisit
-    has the length and digest its header tells, and what it refers to.
-    """
+def _verified(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(records of one piece, records of several with their text, texts of all pieces)."""
     every = written(pieces(spark, path), "warc-offsets")
     links = written(every.where("start >= 0").select("file", "start", "next"), "warc-links")
     real = reachable(links)
-    # A piece belongs to the last verified record at or before it; its text is left out of the sorting.
+    # A piece belongs to the last verified record at or before it.
     marked = every.where("start >= 0").join(real.withColumn("real", F.lit(True)), ["file", "start"], "left")
     up = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     known = lambda c: F.last(F.when(F.col("real"), F.col(c)), ignorenulls=True).over(up)
-    of = (marked.select("file", "start", "next", "real").withColumn("record", known("start")).withColumn("until", known("next"))
-          .where("record IS NOT NULL AND start < until").select("file", "start", "record"))
+    of = (marked.select("file", "split", "inside", "start", "next", "real").withColumn("record", known("start")).withColumn("until", known("next"))
+          .where("record IS NOT NULL AND start < until").select("file", "split", "inside", "start", "record"))
     inner = written(of.where("start > record"), "warc-inner")
     heads = marked.where("real").drop("real")
     parted = inner.select("file", F.col("record").alias("start")).distinct()
-    places = inner.unionByName(parted.withColumn("record", F.col("start")))
-    joined = (every.select("file", "start", "body").join(places, ["file", "start"])
-              .groupBy("file", "record").agg(F.sort_array(F.collect_list(F.struct("start", "body"))).alias("parts"))
+    whole = heads.join(parted, ["file", "start"], "left_anti")
+    places = written(inner.unionByName(heads.join(parted, ["file", "start"], "left_semi").select(
+        "file", "split", "inside", "start", F.col("start").alias("record"))), "warc-places")
+    # Texts are cut out of the files again where they are wanted, not kept in between.
+    texts = _cut(spark, path).select("file", "split", "inside", F.col("body").alias("text"))
+    joined = (texts.join(places, ["file", "split", "inside"])
+              .groupBy("file", "record").agg(F.sort_array(F.collect_list(F.struct("start", "text"))).alias("parts"))
               .select("file", F.col("record").alias("start"),
-                      F.concat_ws(MAGIC, F.transform("parts", lambda p: p["body"].cast("string"))).cast("binary").alias("text")))
-    full = (heads.join(parted, ["file", "start"], "left_anti").withColumn("text", F.col("body"))
-            .unionByName(heads.join(joined, ["file", "start"])))
-    # the block: what follows the header, without the two line ends that close the record
-    payload = F.substring("text", (F.col("head") + 1).cast("int"), (F.octet_length("text") - F.col("head") - 4).cast("int"))
+                      F.concat_ws(MAGIC, F.transform("parts", lambda p: p["text"].cast("string"))).cast("binary").alias("text")))
+    return whole, heads.join(joined, ["file", "start"]), texts
+
+
+def _told() -> list[Column]:
+    """What a record's header says."""
     page = lambda c: F.regexp_extract(c, r"<urn:page:(-?\d+)>", 1)
     number = lambda c: F.when(page(c) != "", page(c).cast("long"))
-    return full.select(
-        "file", "start", F.col("kind").alias("record_type"), number(F.col("page")).alias("page_id"), payload.alias("payload"),
-        F.regexp_replace("digest", "^sha1:", "").alias("told_digest"), number(F.col("refers")).alias("refers_to"),
-        F.col("length").alias("told_bytes"))
+    return [F.col("kind").alias("record_type"), number(F.col("page")).alias("page_id"), number(F.col("refers")).alias("refers_to"),
+            F.regexp_replace("digest", "^sha1:", "").alias("told_digest"), F.col("length").alias("told_bytes")]
+
+
+def _payload() -> Column:
+    """The block of a record: what follows the header, without the two line ends that close it."""
+    return F.substring("text", (F.col("head") + 1).cast("int"), (F.octet_length("text") - F.col("head") - 4).cast("int"))
+
+
+def read_archives(spark: SparkSession, path: str) -> DataFrame:
+    """The verified records under ``path``: file, start, payload and what their headers say.
+
+    ``payload`` is the record's block, put together from its pieces; a revisit
+    has the length and digest its header tells, and what it refers to.
+    """
+    whole, joined, texts = _verified(spark, path)
+    full = whole.join(texts, ["file", "split", "inside"]).unionByName(joined)
+    return full.select("file", "start", *_told(), _payload().alias("payload"))
 
 
-def page_summary(archived: DataFrame) -> DataFrame:
-    """Per record of :func:`read_archives`: page_id, payload_bytes, payload_digest, record_type, refers_to.
+def summary(spark: SparkSession, path: str) -> DataFrame:
+    """page_id, payload_bytes, payload_digest, record_type, refers_to of the verified records under ``path``.
 
-    Of a response, length and digest are taken from the payload that was read;
-    a revisit has those of the payload it stands for.
+    Of a response, length and digest are those of the payload that was read:
+    tasks take them of every candidate as they cut it out, and candidates that
+    are no records go with what was taken of them, so payloads don't travel.  A
+    revisit has those of the payload it stands for.
     """
+    whole, joined, _ = _verified(spark, path)
+    found = (whole.select(*_told(), (F.col("bytes") - F.col("head") - 4).alias("n"), F.col("claimed").alias("sha"))
+             .unionByName(joined.select(*_told(), F.octet_length(_payload()).cast("long").alias("n"), payload_digest(_payload()).alias("sha"))))
     revisit = F.col("record_type") == "revisit"
-    return archived.select(
-        "page_id",
-        F.when(revisit, F.col("told_bytes")).otherwise(F.octet_length("payload").cast("long")).alias("payload_bytes"),
-        F.when(revisit, F.col("told_digest")).otherwise(payload_digest(F.col("payload"))).alias("payload_digest"),
+    return found.select(
+        "page_id", F.when(revisit, F.col("told_bytes")).otherwise(F.col("n")).alias("payload_bytes"),
+        F.when(revisit, F.col("told_digest")).otherwise(F.col("sha")).alias("payload_digest"),
         "record_type", F.when(revisit, F.col("refers_to")).alias("refers_to"))
