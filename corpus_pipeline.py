@@ -19,6 +19,8 @@ from weir.llm.queries import vocabulary_path
 
 #: Posterior of the best language under which a document is rejected.
 LEAST_SURE = 0.5
+#: Near copies: words of an n-gram, and percent of all n-grams of two documents that both have.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +47,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """
     ready(spark)
     own = "row named by its content"
-    stays = (ngram_join.join_components(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    stays = (ngram_join.join_components(docs, NEAR_WORDS, NEAR_PERCENT).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
              .select(F.col("row").alias(own)))
     # the join has dealt rows out by their name, so equal rows are together already
     return (docs.withColumn(own, ngram_join.named()).join(stays, own, "left_semi")

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import corpus_pipeline as pipeline
 import pytest
 from weir.llm import language, mixing, ngram_join, toxicity
@@ -72,6 +74,36 @@ def test_one_row_of_each_group_stays(spark):
     assert got == sorted(map(str, [(1, "a b c d e"), (3, ""), (4, None), (None, "x y z"), (5, "other words here")]))
 
 
+def changed(words, places):
+    return " ".join(f"new{i}" if i in places else w for i, w in enumerate(words))
+
+
+def test_near_copies_of_five_words_at_four_fifths_go(spark):
+    """The stage against all pairs of five-word sets, with copies on both sides of 0.8."""
+    rng = random.Random(8)
+    rows = []
+    for base, (size, most) in enumerate([(300, 9), (50, 3), (120, 6)]):
+        words = [f"b{base}w{i}" for i in range(size)]
+        rows += [(1000 * base, " ".join(words), base)]
+        rows += [(1000 * base + n, changed(words, set(rng.sample(range(5, size - 5), n))), base) for n in range(1, most)]
+    lone = [f"l{i}" for i in range(300)]
+    rows += [(5000, " ".join(lone), 5), (5001, changed(lone, {20, 60, 100, 140, 180, 220}), 5)]  # 266 / 326
+    half = [f"h{i}" for i in range(50)]
+    rows += [(6000, " ".join(half), 6), (6001, changed(half, {25}), 6)]  # 41 / 51
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t, _ in rows], "doc_id long, text string, lang string, source string, n_chars long")
+
+    grams = {i: {tuple(w[k:k + 5]) for k in range(len(w) - 4)} for i, w in ((i, t.split()) for i, t, _ in rows)}
+    least = {i: i for i in grams}
+    for _ in grams:
+        for a in grams:
+            for b in grams:
+                if len(grams[a] & grams[b]) >= 0.8 * len(grams[a] | grams[b]):
+                    least[a] = min(least[a], least[b])
+    got = sorted(r["doc_id"] for r in pipeline.near_duplicate_stage(spark, df, SF).select("doc_id").collect())
+    assert got == sorted(set(least.values()))
+    assert not {5001, 6001} & set(got)
+
+
 def test_stage_names():
     assert [n for n, _ in pipeline.STAGES] == ["toxicity", "language_id", "ngram_join", "mixing", "bpe"]
     assert toxicity.THRESHOLD == pytest.approx(0.3)

@@ -204,7 +204,7 @@ def _similar(shared: Column, n: Column, m: Column, percent: int) -> Column:
     return 100 * shared >= percent * (n + m - shared)
 
 
-def document_sets(docs: DataFrame, size: int = 3) -> DataFrame:
+def document_sets(docs: DataFrame, size: int = 5) -> DataFrame:
     """(doc_id, row, n_shingles, screened, node): set size and fingerprint; node is null for an empty set."""
     return _named(docs).mapInArrow(_sets(size), _SET)
 
@@ -317,7 +317,7 @@ def _links(classes: DataFrame, percent: int) -> DataFrame:
     return components(stars.unionByName(more))
 
 
-def join_components(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
+def join_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, row) of every row of ``docs``.
 
     Rows link when 100 * shared >= percent * united; component_id is the
