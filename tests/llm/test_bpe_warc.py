@@ -117,6 +117,38 @@ def test_archives_round_trip(spark):
             assert payloads[i] == body
 
 
+@pytest.mark.parametrize("read", [warc.summary, warc.read_archives])
+def test_splits_that_change_between_scans_lose_nothing(spark, monkeypatch, read):
+    """The second scan may be cut otherwise than the first: another number of cores does that."""
+    pages = awkward_pages()
+    path = fresh_path(spark, "archives")
+    warc.write_archives(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(2), path)
+    want = sorted(map(str, read(spark, path).collect()))
+    assert len(want) == len(pages)
+    reachable, before = warc.reachable, {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+
+    def cut_otherwise(links):
+        found = reachable(links)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "5k")
+        return found
+
+    monkeypatch.setattr(warc, "reachable", cut_otherwise)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        assert sorted(map(str, read(spark, path).collect())) == want
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_a_place_without_a_text_is_an_error(spark):
+    places = spark.createDataFrame([("f", 0), ("f", 7)], "file string, start long")
+    texts = spark.createDataFrame([("f", 0, bytearray(b"x"))], "file string, start long, text binary")
+    with pytest.raises(Exception, match="no text at byte 7 of f"):
+        warc._with_text(places, texts).collect()
+
+
 def test_small_payloads_are_no_revisits(spark):
     pages = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcdef"), (4, "u", "abcdef")], "page_id long, url string, html string")
     path = fresh_path(spark, "archives")

@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -85,7 +86,7 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
 
 
 _PIECE = ("file string, split long, inside long, bytes long, next long, head long, "
-          "kind string, page string, digest string, refers string, length long, claimed string, body binary")
+          "kind string, page string, digest string, refers string, length long, claimed string, crc long, body binary")
 
 
 def _header(text: bytes) -> tuple[int, dict[str, str]] | None:
@@ -126,7 +127,8 @@ def _pieces(batches: Batches) -> Batches:
             after, fields = (None, {}) if head is None else (head[0] + int(head[1]["content-length"]) + 4, head[1])
             rows.append((file, split, at, len(text), after, head and head[0], fields.get("warc-type"), fields.get("warc-record-id"),
                          fields.get("warc-payload-digest"), fields.get("warc-refers-to"),
-                         _number(fields.get("warc-payload-length")), head and _digest(text[head[0]:len(text) - 4]), text))
+                         _number(fields.get("warc-payload-length")), head and _digest(text[head[0]:len(text) - 4]),
+                         zlib.crc32(text), text))
             at += len(text) + magic
         if rows:
             columns = list(zip(*rows, strict=True))
@@ -147,14 +149,39 @@ def pieces(spark: SparkSession, path: str) -> DataFrame:
     ``start`` is where a piece's record would begin (its magic), ``next`` where
     the record after it would; the piece before the first magic starts below 0.
     """
-    found = written(_cut(spark, path).drop("body"), "warc-pieces")
+    return (_placed(written(_cut(spark, path).drop("body"), "warc-pieces"))
+            .withColumn("next", F.col("start") + len(MAGIC) + F.col("next")))
+
+
+def _placed(found: DataFrame) -> DataFrame:
+    """The pieces of one written scan with their offset in the file, from that scan's own splits."""
     # a split's pieces follow those of the splits before it
     size = found.groupBy("file", "split").agg(F.sum(F.col("bytes") + len(MAGIC)).alias("_size"))
     before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     bases = size.select("file", "split", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_base"))
-    start = F.col("_base") + F.col("inside") - len(MAGIC)
     return (found.join(bases, ["file", "split"])
-            .withColumn("start", start).withColumn("next", F.col("start") + len(MAGIC) + F.col("next")).drop("_base"))
+            .withColumn("start", F.col("_base") + F.col("inside") - len(MAGIC)).drop("_base"))
+
+
+def _texts(spark: SparkSession, path: str, wanted: DataFrame | None = None) -> DataFrame:
+    """(file, start, text) of the pieces of a scan of its own, whose splits may be others than those of the first.
+
+    ``wanted`` (bytes, crc) tells which texts to keep; it lets others of equal
+    length and checksum through, so texts are found by their offset alone.
+    """
+    cut = _cut(spark, path).select("file", "split", "inside", "bytes", "crc", "body")
+    if wanted is not None:
+        cut = (cut.join(wanted.distinct().withColumn("wanted", F.lit(True)), ["bytes", "crc"], "left")
+               .withColumn("body", F.when(F.col("wanted"), F.col("body"))))
+    found = written(cut.select("file", "split", "inside", "bytes", "body"), "warc-texts")
+    return _placed(found).where("body IS NOT NULL").select("file", "start", F.col("body").alias("text"))
+
+
+def _with_text(places: DataFrame, texts: DataFrame) -> DataFrame:
+    """Each of ``places`` with its text; one that has none is an error."""
+    missing = F.raise_error(F.concat(F.lit("no text at byte "), F.col("start").cast("string"), F.lit(" of "), F.col("file")))
+    return (places.join(texts, ["file", "start"], "left")
+            .withColumn("text", F.when(F.col("text").isNotNull(), F.col("text")).otherwise(missing.cast("binary"))))
 
 
 def reachable(links: DataFrame) -> DataFrame:
@@ -178,8 +205,8 @@ def reachable(links: DataFrame) -> DataFrame:
             return reached
 
 
-def _verified(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(records of one piece, records of several with their text, texts of all pieces)."""
+def _verified(spark: SparkSession, path: str, every_text: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(records of one piece, records of several with their text, texts of the latter's pieces or of all)."""
     every = written(pieces(spark, path), "warc-offsets")
     links = written(every.where("start >= 0").select("file", "start", "next"), "warc-links")
     real = reachable(links)
@@ -187,17 +214,17 @@ def _verified(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, Dat
     marked = every.where("start >= 0").join(real.withColumn("real", F.lit(True)), ["file", "start"], "left")
     up = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     known = lambda c: F.last(F.when(F.col("real"), F.col(c)), ignorenulls=True).over(up)
-    of = (marked.select("file", "split", "inside", "start", "next", "real").withColumn("record", known("start")).withColumn("until", known("next"))
-          .where("record IS NOT NULL AND start < until").select("file", "split", "inside", "start", "record"))
+    of = (marked.select("file", "start", "next", "real", "bytes", "crc").withColumn("record", known("start")).withColumn("until", known("next"))
+          .where("record IS NOT NULL AND start < until").select("file", "start", "bytes", "crc", "record"))
     inner = written(of.where("start > record"), "warc-inner")
     heads = marked.where("real").drop("real")
     parted = inner.select("file", F.col("record").alias("start")).distinct()
     whole = heads.join(parted, ["file", "start"], "left_anti")
     places = written(inner.unionByName(heads.join(parted, ["file", "start"], "left_semi").select(
-        "file", "split", "inside", "start", F.col("start").alias("record"))), "warc-places")
+        "file", "start", "bytes", "crc", F.col("start").alias("record"))), "warc-places")
     # Texts are cut out of the files again where they are wanted, not kept in between.
-    texts = _cut(spark, path).select("file", "split", "inside", F.col("body").alias("text"))
-    joined = (texts.join(places, ["file", "split", "inside"])
+    texts = _texts(spark, path, None if every_text else places.select("bytes", "crc"))
+    joined = (_with_text(places.select("file", "start", "record"), texts)
               .groupBy("file", "record").agg(F.sort_array(F.collect_list(F.struct("start", "text"))).alias("parts"))
               .select("file", F.col("record").alias("start"),
                       F.concat_ws(MAGIC, F.transform("parts", lambda p: p["text"].cast("string"))).cast("binary").alias("text")))
@@ -223,8 +250,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     ``payload`` is the record's block, put together from its pieces; a revisit
     has the length and digest its header tells, and what it refers to.
     """
-    whole, joined, texts = _verified(spark, path)
-    full = whole.join(texts, ["file", "split", "inside"]).unionByName(joined)
+    whole, joined, texts = _verified(spark, path, every_text=True)
+    full = _with_text(whole, texts).unionByName(joined)
     return full.select("file", "start", *_told(), _payload().alias("payload"))
 
 
