@@ -129,3 +129,32 @@ def test_no_target_and_no_documents(spark, awkward, nothing):
     docs = [(r["doc_id"], r["text"]) for r in awkward.select("doc_id", "text").collect()]
     same(lm.score(awkward, awkward, nothing).collect(), brute(docs, [t for _, t in docs], [], lm.VOCABULARY))
     assert lm.score(nothing, nothing, nothing).collect() == []
+
+
+def test_more_words_than_any_cap_are_words_of_their_own(spark, monkeypatch):
+    """70,000 words, each once: all have counts, and the target's own are told from the others."""
+    docs = [(i, " ".join(f"w{j}" for j in range(1_000 * i, 1_000 * i + 1_000))) for i in range(70)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    target = ["w5 w6 w7", "w69990 w69991 new"]
+    got = lm.score(df, df, spark.createDataFrame([(t,) for t in target], "text string")).collect()
+    monkeypatch.setattr(lm, "VOCABULARY", 70_000)
+    same(got, brute(docs, [t for _, t in docs], target, lm.VOCABULARY))
+
+
+@pytest.mark.parametrize("common", [2, 5, 1 << 16])
+def test_a_background_of_its_own(spark, monkeypatch, common):
+    monkeypatch.setattr(lm, "COMMON", common)
+    docs = [(1, "alpha beta gamma"), (2, "beta beta"), (3, None)]
+    background, target = ["alpha beta", "beta gamma beta"], ["beta gamma"]
+    frame = lambda rows: spark.createDataFrame([(t,) for t in rows], "text string")
+    got = lm.score(spark.createDataFrame(docs, "doc_id long, text string"), frame(background), frame(target)).collect()
+    same(got, brute(docs, background, target, lm.VOCABULARY))
+
+
+def test_the_broadcast_words_change_no_result(spark, awkward, monkeypatch):
+    """Few common words, so that most bigrams take the way of rare ones."""
+    monkeypatch.setattr(lm, "COMMON", 4)
+    docs = [(r["doc_id"], r["text"]) for r in awkward.select("doc_id", "text").collect()]
+    target = ["alpha beta gamma", "alpha beta delta delta", None, "never seen words"]
+    got = lm.score(awkward, awkward, spark.createDataFrame([(t,) for t in target], "text string")).collect()
+    same(got, brute(docs, [t for _, t in docs], target, lm.VOCABULARY))

@@ -7,16 +7,16 @@ score is the mean of the differences of the two losses (in nats a word, below
 
 P(w | c) = W * count(c, w) / count(c) + (1 - W) * (count(w) + D) / (all + D * V)
 
-The vocabulary is at most ``VOCABULARY`` most frequent words of the background; other
-words are one unknown word, and each document begins with a start mark.  The
-vocabulary with its counts is broadcast: its size is the bound.  Bigram counts
-have no bound and are never brought together: a task sends, for each bigram of a
-document, the bigram, the document's place and the times, packed, to the bucket
-of the bigram; a bucket knows all occurrences of its bigrams, prices them and
-sends sums back by document.  Bigrams of the ``HOT`` commonest words, which fill
-most documents, don't travel: their counts are a dense table of fixed size,
-summed beforehand, and each task prices them itself.  Any other bigram is at
-most as frequent as the rarer of its words.
+Every word is a word of its own, named by its 64-bit hash; V is one more than the
+background's distinct words, or than ``VOCABULARY`` if those are fewer.  Each
+document begins with a start mark.  Counts of words are a distributed table.
+The ``COMMON`` commonest are broadcast with theirs, as a shortcut that changes no
+result: their bigrams are counted and priced in buckets, where counts come
+first and occurrences stream after them, packed, and leave as sums by document.
+Bigrams with a rarer word are counted in a distributed table, which is joined
+with that of the words; the prices meet the occurrences in buckets likewise.
+Bigrams of the ``HOT`` commonest words, which fill most documents, don't travel:
+their counts are a dense table of fixed size, summed beforehand.
 
 Defined cases: a null text, or one without words, has 0 words and score 0; an
 empty target makes every unigram of the target model equally likely; repeated
@@ -31,321 +31,449 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weir.llm.common import written
-from weir.llm.text import slices, word_hashes, word_spans
+from weir.llm.text import mix, slices, word_hashes, word_spans
 
-#: Ids of words are below 2 ** 16; the last two are the unknown word and the start mark.
+#: Distinct words that the smoothing allows for at least.
 VOCABULARY = (1 << 16) - 2
-UNKNOWN, START = VOCABULARY, VOCABULARY + 1
-#: The commonest words, the two marks among them, whose bigrams are counted densely.
+#: The hash that stands for the start mark.
+START = np.uint64(0x9E3779B97F4A7C15)
+#: The commonest words, the start mark among them, that are broadcast with their counts: ids are below 2 ** 16.
+COMMON = 1 << 16
+#: Those of them whose bigrams are counted densely.
 HOT = 256
 BIGRAM_WEIGHT = 0.6
 SMOOTHING = 0.5
-#: Bytes of text a task packs at a time.
-CHUNK = 4 << 20
-#: Cells of the dense table that travel together.
-BLOCK = 4_096
+#: Bytes of text a task works on at a time.
+CHUNK = 2 << 20
+#: Rows with equal numbers but for these bits get their sums together.
+HOME_BITS = 12
+#: Bigrams that a bucket holds at most, about.
+BUCKET = 2_000_000
 
 Batches = Iterator[pa.RecordBatch]
 
 
 class Vocabulary(NamedTuple):
-    """Sorted hashes with their ids, and by id the counts of both models."""
+    """Sorted hashes of common words, and their ids: the commonest word has the least."""
 
     hashes: np.ndarray
     ids: np.ndarray
-    background: np.ndarray
-    target: np.ndarray
 
     def of(self, hashes: np.ndarray) -> np.ndarray:
+        """The ids, -1 for other words."""
         if not len(self.hashes):
-            return np.full(len(hashes), UNKNOWN, np.uint32)
+            return np.full(len(hashes), -1)
         at = np.searchsorted(self.hashes, hashes).clip(0, len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, self.ids[at], UNKNOWN).astype(np.uint32)
+        return np.where(self.hashes[at] == hashes, self.ids[at], -1)
+
+
+class Models(NamedTuple):
+    """The common words, the start mark first, with what prices their bigrams: shares and counts by id, dense counts."""
+
+    words: Vocabulary
+    unigram: np.ndarray
+    contexts: np.ndarray
+    hot: np.ndarray
+
+    def losses(self, model: int, context: np.ndarray, word: np.ndarray, times: np.ndarray) -> np.ndarray:
+        seen = self.contexts[model][context]
+        given = np.divide(times, seen, out=np.zeros(len(times)), where=seen > 0)
+        weight = np.where(seen > 0, BIGRAM_WEIGHT, 0.0)
+        return -np.log(weight * given + (1 - weight) * self.unigram[model][word])
+
+
+def _ids(vocabulary: Vocabulary, before: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of contexts and words; the start mark has 0."""
+    b = vocabulary.of(words)
+    a = np.empty_like(b)
+    a[1:] = b[:-1]
+    a[before == START] = 0
+    return a, b
+
+
+def _bigrams(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(contexts, words, bounds of documents): a bigram for each word."""
+    starts, ends, bounds = word_spans(raw, offsets)
+    words = word_hashes(raw, starts, ends)
+    before = np.empty_like(words)
+    before[1:] = words[:-1]
+    before[bounds[:-1][np.diff(bounds) > 0]] = START
+    return before, words, bounds
+
+
+def _key(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return mix(mix(context) + word)
+
+
+def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
+    """Grows with the key, so what is sorted by key is sorted by bucket."""
+    high = key.astype(np.uint64) if key.dtype == np.uint32 else key >> np.uint64(32)
+    return ((high * np.uint64(buckets)) >> np.uint64(32)).astype(np.int32)
 
 
 def _words(batches: Batches) -> Batches:
-    """(word, times) of each chunk."""
+    """(word, times) of each chunk; the start mark counts documents with words."""
     for batch in batches:
         for _, _, raw, offsets in slices(batch.column("text"), CHUNK):
-            starts, ends, _ = word_spans(raw, offsets)
-            words, times = np.unique(word_hashes(raw, starts, ends), return_counts=True)
+            _, words, bounds = _bigrams(raw, offsets)
             if len(words):
-                yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(times.astype(np.int64))], ["word", "times"])
+                names, times = np.unique(words, return_counts=True)
+                names, times = np.append(names, START), np.append(times, (np.diff(bounds) > 0).sum())
+                yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(times.astype(np.int64))], ["word", "times"])
 
 
-def vocabulary(background: DataFrame, target: DataFrame, size: int = VOCABULARY) -> Vocabulary:
-    """The shared vocabulary: the most frequent words of the background, ``size`` at most.
+def _rare(words: object) -> Callable[[Batches], Batches]:
+    """(context, word, times) of each chunk's bigrams that have a rare word."""
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            for _, _, raw, offsets in slices(batch.column("text"), CHUNK):
+                before, names, _ = _bigrams(raw, offsets)
+                a, b = _ids(words.value, before, names)
+                rare = (a < 0) | (b < 0)
+                before, names = before[rare], names[rare]
+                _, at, times = np.unique(_key(before, names), return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(before[at].view(np.int64)), pa.array(names[at].view(np.int64)), pa.array(times.astype(np.int64))],
+                    ["context", "word", "times"])
+    return run
+
+
+def _both(run: Callable, columns: str, background: DataFrame, target: DataFrame, docs: DataFrame | None) -> DataFrame:
+    """Sums of ``times`` in the background and in the target; what ``docs`` have gets a row, too."""
+    keys = [c.split(" ")[0] for c in columns.split(", ")]
+
+    def counted(df: DataFrame, in_background: int, in_target: int) -> DataFrame:
+        rows = df.select("text").mapInArrow(run, columns + ", times long")
+        return rows.select(*keys, (F.col("times") * in_background).alias("background"), (F.col("times") * in_target).alias("target"))
+
+    every = counted(background, 1, 0).unionByName(counted(target, 0, 1))
+    if docs is not None and docs is not background:
+        every = every.unionByName(counted(docs, 0, 0))
+    return every.groupBy(*keys).agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
 
-    Words are taken by classes of frequency (a tenth apart), all of a class or
-    none, so that sizes of classes are all that has to be compared.  Only the
-    words taken come to the driver.
-    """
-    counted = lambda df, name: (df.select("text").mapInArrow(_words, "word long, times long")
-                                .groupBy("word").agg(F.sum("times").alias(name)))
-    every = written(counted(background, "background").withColumn("grade", F.floor(F.log(1.1, "background")).cast("int")), "lm-words")
-    grades = {r["grade"]: r["n"] for r in every.groupBy("grade").agg(F.count(F.lit(1)).alias("n")).collect()}
-    least, room = None, size
-    for grade in sorted(grades, reverse=True):
-        room -= grades[grade]
-        if room < 0:
-            break
-        least = grade
-    chosen = every.where(F.col("grade") >= (1 << 30 if least is None else least)).select("word", "background")
-    top = chosen.join(counted(target, "target"), "word", "left").toPandas()
-    top = top.sort_values(["background", "word"], ascending=[False, True], ignore_index=True)
-    hashes = top["word"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(hashes)
-    both = np.zeros((2, VOCABULARY + 2))
-    for row, name in enumerate(("background", "target")):
-        both[row, :len(top)] = top[name].fillna(0).to_numpy(float)
-    return Vocabulary(hashes[order], order.astype(np.uint32), both[0], both[1])
-
-
-def _hot(ids: np.ndarray) -> np.ndarray:
-    """Place among the hot words, -1 for others: the commonest first, the two marks last."""
-    common = HOT - 2
-    return np.where(ids < common, ids.astype(np.int64), np.where(ids >= UNKNOWN, ids.astype(np.int64) - UNKNOWN + common, -1))
-
-
-def _bigrams(raw: np.ndarray, offsets: np.ndarray, words: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(context ids, word ids, bounds of documents): a bigram for each word."""
-    starts, ends, bounds = word_spans(raw, offsets)
-    ids = words.of(word_hashes(raw, starts, ends))
-    before = np.empty_like(ids)
-    before[1:] = ids[:-1]
-    first = bounds[:-1][np.diff(bounds) > 0]
-    before[first] = START
-    return before, ids, bounds
+
+def _commonest(words: DataFrame, size: int) -> list:
+    start = int(START.view(np.int64))
+    return words.where(F.col("word") != start).orderBy(F.desc("background"), "word").limit(size).collect()
+
+
+def _vocabulary(hashes: list[int]) -> Vocabulary:
+    names = np.array(hashes, np.int64).view(np.uint64)
+    by = np.argsort(names)
+    return Vocabulary(names[by], by)
+
+
+def vocabulary(background: DataFrame, target: DataFrame, size: int = COMMON - 1) -> Vocabulary:
+    """The ``size`` most frequent words of the background; only they come to the driver."""
+    return _vocabulary([r["word"] for r in _commonest(_both(_words, "word long", background, target, None), size)])
 
 
 def _dense(words: object) -> Callable[[Batches], Batches]:
-    """Counts of hot bigrams, then of unknown words and of starts, summed over the task, in blocks."""
+    """Counts of hot bigrams, summed over the task."""
     def run(batches: Batches) -> Batches:
-        known = words.value
-        total = np.zeros(HOT * HOT + BLOCK, np.int64)
+        total = np.zeros(HOT * HOT, np.int64)
         for batch in batches:
             for _, _, raw, offsets in slices(batch.column("text"), CHUNK):
-                before, ids, _ = _bigrams(raw, offsets, known)
-                a, b = _hot(before), _hot(ids)
-                both = (a >= 0) & (b >= 0)
-                total[:HOT * HOT] += np.bincount(a[both] * HOT + b[both], minlength=HOT * HOT)
-                total[HOT * HOT] += int((ids == UNKNOWN).sum())
-                total[HOT * HOT + 1] += int((before == START).sum())
-        for block, part in enumerate(total.reshape(-1, BLOCK)):
-            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([part.tobytes()], pa.binary())], ["block", "counts"])
+                before, names, _ = _bigrams(raw, offsets)
+                a, b = _ids(words.value, before, names)
+                both = _hot(a, b)
+                total += np.bincount(a[both] * HOT + b[both], minlength=HOT * HOT)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["cell", "times"])
     return run
 
 
-def _summed(batches: Batches) -> Batches:
-    """Sums of equal blocks, which arrive next to each other."""
-    now, total = None, None
-    for batch in batches:
-        for block, counts in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-            part = np.frombuffer(counts, np.int64)
-            if block == now:
-                total = total + part
-                continue
-            if now is not None:
-                yield pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["block", "counts"])
-            now, total = block, part
-    if now is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["block", "counts"])
+def _hot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return (a >= 0) & (b >= 0) & (a < HOT) & (b < HOT)
 
 
-def _hot_counts(docs: DataFrame, words: object) -> np.ndarray:
-    kind = "block int, counts binary"
-    parts = min(HOT * HOT // BLOCK, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    rows = (docs.select("text").mapInArrow(_dense(words), kind)
-            .repartition(parts, "block").sortWithinPartitions("block").mapInArrow(_summed, kind).collect())
-    total = np.zeros(HOT * HOT + BLOCK)
-    for r in rows:  # HOT x HOT numbers and two
-        total[r["block"] * BLOCK:(r["block"] + 1) * BLOCK] = np.frombuffer(bytes(r["counts"]), np.int64)
-    return total
+class Totals(NamedTuple):
+    """Words of both corpora, and the kinds of words that the smoothing allows for."""
 
+    background: int
+    target: int
+    kinds: int
 
-class Models(NamedTuple):
-    """What prices a bigram once its counts are known: all of fixed size."""
 
-    words: Vocabulary
-    hot: tuple[np.ndarray, np.ndarray]
-    unigram: tuple[np.ndarray, np.ndarray]
-    contexts: tuple[np.ndarray, np.ndarray]
+def _totals(words: DataFrame) -> Totals:
+    sums = words.where(F.col("word") != int(START.view(np.int64))).agg(
+        F.sum("background").alias("b"), F.sum("target").alias("t"), F.sum((F.col("background") > 0).cast("long")).alias("n")).first()
+    return Totals(sums["b"] or 0, sums["t"] or 0, max(VOCABULARY, sums["n"] or 0) + 1)
+
+
+def fit(background: DataFrame, target: DataFrame, words: DataFrame, totals: Totals) -> Models:
+    """What prices the bigrams of common words: all of fixed size."""
+    start = int(START.view(np.int64))
+    top = words.where(F.col("word") == start).collect() or [{"word": start, "background": 0, "target": 0}]
+    top = [*top, *_commonest(words, COMMON - 1)]
+    known = _vocabulary([r["word"] for r in top])
+    contexts = np.array([[r["background"] for r in top], [r["target"] for r in top]], float)
+    sums = np.array([[totals.background], [totals.target]], float)
+    shared = background.sparkSession.sparkContext.broadcast(known)
+    hot = np.zeros((2, HOT * HOT))
+    for r in _both(_dense(shared), "cell long", background, target, None).collect():  # HOT x HOT rows
+        hot[:, r["cell"]] = r["background"], r["target"]
+    return Models(known, (contexts + SMOOTHING) / (sums + SMOOTHING * totals.kinds), contexts, hot)
+
+
+def prices(pairs: DataFrame, words: DataFrame, totals: Totals) -> DataFrame:
+    """(context, word, own, other): the loss of each bigram in the background's and in the target's model."""
+    # a word counts as a context where it ends a document, too: shares only fall short of 1
+    contexts = words.select(F.col("word").alias("context"), F.col("background").alias("c_background"), F.col("target").alias("c_target"))
+    named = words.select("word", F.col("background").alias("w_background"), F.col("target").alias("w_target"))
+
+    def loss(model: str) -> Column:
+        seen = F.col(f"c_{model}")
+        one = (F.col(f"w_{model}") + SMOOTHING) / F.lit(float(getattr(totals, model) + SMOOTHING * totals.kinds))
+        return -F.log(F.when(seen > 0, BIGRAM_WEIGHT * F.col(model) / seen + (1 - BIGRAM_WEIGHT) * one).otherwise(one))
+
+    found = pairs.join(named, "word").join(contexts, "context")
+    return written(found.select("context", "word", loss("background").alias("own"), loss("target").alias("other")), "lm-prices")
 
-    def losses(self, model: int, context: np.ndarray, word: np.ndarray, times: np.ndarray) -> np.ndarray:
-        seen = self.contexts[model][context]
-        given = np.divide(times, seen, out=np.zeros(len(times)), where=seen > 0)
-        weight = np.where(seen > 0, BIGRAM_WEIGHT, 0.0)
-        return -np.log(weight * given + (1 - weight) * self.unigram[model][word])
 
+_PACKED = "bucket int, turn int, home long, keys binary, values binary"
+_NAMES = ["bucket", "turn", "home", "keys", "values"]
+# turns in a bucket: counts of common bigrams in both corpora, or prices of rare ones, then occurrences
+_BACKGROUND, _TARGET, _PRICES, _OCCURRENCES = 0, 1, 0, 2
+# Keys of common bigrams are ids times an odd number modulo 2 ** 32, so that buckets get alike shares.
+_ODD = 0x9E3779B1
+_BACK = pow(_ODD, -1, 1 << 32)
 
-def fit(background: DataFrame, target: DataFrame) -> Models:
-    words = vocabulary(background, target)
-    shared = background.sparkSession.sparkContext.broadcast(words)
-    unigram, contexts, hot = [], [], []
-    for docs, counts in ((background, words.background), (target, words.target)):
-        total = _hot_counts(docs, shared)
-        counts = counts.copy()
-        counts[UNKNOWN] = total[HOT * HOT]
-        unigram.append((counts + SMOOTHING) / (counts.sum() + SMOOTHING * (VOCABULARY + 1)))
-        # a word counts as a context where it ends a document, too: shares only fall short of 1
-        counts[START] = total[HOT * HOT + 1]
-        contexts.append(counts)
-        hot.append(total[:HOT * HOT])
-    return Models(words, (hot[0], hot[1]), (unigram[0], unigram[1]), (contexts[0], contexts[1]))
 
+def _rows(turn: int, home: int, key: np.ndarray, values: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """One row a bucket of what is sorted by key."""
+    ids, at = np.unique(_bucket(key, buckets), return_index=True)
+    cuts = list(zip(at, np.append(at, len(key))[1:], strict=True))
+    cut = lambda x: pa.array([x[a:b].tobytes() for a, b in cuts], pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array([turn] * len(ids), pa.int32()), pa.array([home] * len(ids), pa.int64()),
+                                       cut(key), cut(values)], _NAMES)
 
-_PACKED = "bucket int, chunk long, kind int, keys binary, places binary, times binary"
-_BACKGROUND, _TARGET = 0, 1
 
+def _priced_keys(buckets: int) -> Callable[[Batches], Batches]:
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            context, word = (batch.column(c).to_numpy().view(np.uint64) for c in ("context", "word"))
+            key = _key(context, word)
+            by = np.argsort(key)
+            values = np.stack([batch.column("own").to_numpy(), batch.column("other").to_numpy()], axis=1)
+            yield _rows(_PRICES, 0, key[by], values[by], buckets)
+    return run
+
+
+def _common_keys(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return (a.astype(np.uint32) << np.uint32(16) | b.astype(np.uint32)) * np.uint32(_ODD)
 
-def _sent(models: object, buckets: int, kind: int) -> Callable[[Batches], Batches]:
-    """Bigrams that are not hot, by bucket: of the background by document, of the target summed."""
-    names = ["bucket", "chunk", "kind", "keys", "places", "times"]
 
+def _common_counts(models: object, buckets: int, turn: int) -> Callable[[Batches], Batches]:
+    """Counts of each chunk's bigrams of common words that are not hot, by bucket."""
     def run(batches: Batches) -> Batches:
-        words = models.value.words
-        chunk = TaskContext.get().partitionId() << 32
         for batch in batches:
             for _, _, raw, offsets in slices(batch.column("text"), CHUNK):
-                before, ids, bounds = _bigrams(raw, offsets, words)
-                cold = (_hot(before) < 0) | (_hot(ids) < 0)
-                place = np.repeat(np.arange(len(bounds) - 1, dtype=np.uint64), np.diff(bounds))
-                key = (before[cold].astype(np.uint64) << np.uint64(16)) | ids[cold].astype(np.uint64)
-                if kind == _TARGET:
-                    place = np.zeros_like(place)
-                both, times = np.unique(key << np.uint64(32) | place[cold], return_counts=True)
-                key = (both >> np.uint64(32)).astype(np.uint32)
-                bucket = ((key * np.uint32(0x9E3779B1)) >> np.uint32(8)) % np.uint32(buckets)
-                by = np.argsort(bucket, kind="stable")
-                key, place, times, bucket = key[by], both[by].astype(np.uint32), times[by].astype(np.uint32), bucket[by]
-                ids_, at = np.unique(bucket, return_index=True)
-                ends = np.append(at[1:], len(bucket))
-                if len(ids_):
-                    cut = lambda x: pa.array([x[a:b].tobytes() for a, b in zip(at, ends, strict=True)], pa.binary())  # noqa: B023, E731
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids_.astype(np.int32)), pa.array([chunk] * len(ids_), pa.int64()),
-                         pa.array([kind] * len(ids_), pa.int32()), cut(key), cut(place), cut(times)], names)
-                chunk += 1
+                before, words, _ = _bigrams(raw, offsets)
+                a, b = _ids(models.value.words, before, words)
+                pick = (a >= 0) & (b >= 0) & ~_hot(a, b)
+                key, times = np.unique(_common_keys(a[pick], b[pick]), return_counts=True)
+                yield _rows(turn, 0, key, times.astype(np.uint32), buckets)
+    return run
+
+
+def _sent(models: object, buckets: int, rare: bool) -> Callable[[Batches], Batches]:
+    """Occurrences of bigrams that have a rare word, or of others that are not hot, by bucket, with the numbers of their rows."""
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            numbers = batch.column("row").to_numpy()
+            for first, last, raw, offsets in slices(batch.column("text"), CHUNK):
+                before, words, bounds = _bigrams(raw, offsets)
+                a, b = _ids(models.value.words, before, words)
+                pick = (a < 0) | (b < 0) if rare else (a >= 0) & (b >= 0) & ~_hot(a, b)
+                key = _key(before[pick], words[pick]) if rare else _common_keys(a[pick], b[pick])
+                row = np.repeat(numbers[first:last], np.diff(bounds))[pick]
+                by = np.argsort(key)
+                key, row = key[by], row[by]
+                homes = row >> HOME_BITS
+                for home in np.unique(homes):
+                    own = homes == home
+                    yield _rows(_OCCURRENCES, int(home), key[own], (row[own] & ((1 << HOME_BITS) - 1)).astype(np.uint16), buckets)
     return run
 
 
-_SUMS = "chunk long, places binary, sums binary"
+class _Counts:
+    """Sums of counts by key, of which only the distinct keys are kept."""
 
+    def __init__(self) -> None:
+        self.keys, self.sums, self.parts, self.more = np.zeros(0, np.uint32), np.zeros(0), [], 0
+
+    def add(self, key: bytes, times: bytes) -> None:
+        self.parts.append((np.frombuffer(key, np.uint32), np.frombuffer(times, np.uint32)))
+        self.more += len(key) // 4
+        if self.more > BUCKET + len(self.keys):
+            self.settle()
+
+    def settle(self) -> None:
+        if self.parts:
+            every = np.concatenate([self.keys, *(k for k, _ in self.parts)])
+            times = np.concatenate([self.sums, *(t for _, t in self.parts)])
+            self.keys, which = np.unique(every, return_inverse=True)
+            self.sums, self.parts, self.more = np.bincount(which, times, len(self.keys)), [], 0
+
+    def of(self, wanted: np.ndarray) -> np.ndarray:
+        self.settle()
+        if not len(self.keys):
+            return np.zeros(len(wanted))
+        at = np.searchsorted(self.keys, wanted).clip(0, len(self.keys) - 1)
+        return np.where(self.keys[at] == wanted, self.sums[at], 0.0)
+
+
+def _summed(homes: list, place: np.ndarray, home: int, losses: list[np.ndarray]) -> None:
+    which, of = np.unique(place, return_inverse=True)
+    homes.append((home, which.tobytes(), np.stack([np.bincount(of, x, len(which)) for x in losses], axis=1).tobytes()))
+
+
+def _sums(out: list[tuple]) -> Batches:
+    if out:
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.int64(), pa.binary(), pa.binary()), strict=True)],
+                                         ["home", "places", "sums"])
 
-def _priced(models: object) -> Callable[[Batches], Batches]:
-    """Bucket by bucket: for each chunk, the documents' losses over the bucket's bigrams."""
-    def settle(rows: list[tuple]) -> Batches:
-        chunks: dict[int, int] = {}
-        counts = {}
-        for kind in (_BACKGROUND, _TARGET):
-            keys = np.frombuffer(b"".join(r[2] for r in rows if r[1] == kind), np.uint32)
-            times = np.frombuffer(b"".join(r[4] for r in rows if r[1] == kind), np.uint32)
-            names, which = np.unique(keys, return_inverse=True)
-            counts[kind] = (names, np.bincount(which, times, len(names)), which)
-        names, seen, which = counts[_BACKGROUND]
-        if not len(names):
-            return
-        wanted, had, _ = counts[_TARGET]
-        target = np.zeros(len(names))
-        if len(wanted):
-            at = np.searchsorted(wanted, names).clip(0, len(wanted) - 1)
-            target = np.where(wanted[at] == names, had[at], 0.0)
-        context, word = (names >> np.uint32(16)).astype(np.int64), (names & np.uint32(0xFFFF)).astype(np.int64)
-        price = np.stack([models.value.losses(0, context, word, seen), models.value.losses(1, context, word, target)])
-        own = [r for r in rows if r[1] == _BACKGROUND]
-        for r in own:
-            chunks.setdefault(r[0], len(chunks))
-        chunk = np.repeat([chunks[r[0]] for r in own], [len(r[2]) // 4 for r in own]).astype(np.uint64)
-        place = np.frombuffer(b"".join(r[3] for r in own), np.uint32)
-        times = np.frombuffer(b"".join(r[4] for r in own), np.uint32)
-        where, at = np.unique(chunk << np.uint64(32) | place, return_inverse=True)
-        sums = np.stack([np.bincount(at, times * price[m][which], len(where)) for m in (0, 1)], axis=1)
-        starts = np.searchsorted(where >> np.uint64(32), np.arange(len(chunks) + 1))
-        for (name, _), a, b in zip(chunks.items(), starts[:-1], starts[1:], strict=True):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([name], pa.int64()), pa.array([where[a:b].astype(np.uint32).tobytes()], pa.binary()),
-                 pa.array([sums[a:b].tobytes()], pa.binary())], ["chunk", "places", "sums"])
 
+def _priced_common(models: object) -> Callable[[Batches], Batches]:
+    """Bucket by bucket: for each row of occurrences, the documents' losses, from the counts that came before."""
     def run(batches: Batches) -> Batches:
-        now, rows = None, []
+        now, counts = None, ()
         for batch in batches:
-            for bucket, *row in zip(*(batch.column(c).to_pylist() for c in ("bucket", "chunk", "kind", "keys", "places", "times")), strict=True):
+            out = []
+            for bucket, turn, home, key, value in zip(*(batch.column(c).to_pylist() for c in _NAMES), strict=True):
                 if bucket != now:
-                    yield from settle(rows)
-                    now, rows = bucket, []
-                rows.append(row)
-        yield from settle(rows)
+                    now, counts = bucket, (_Counts(), _Counts())
+                if turn != _OCCURRENCES:
+                    counts[turn].add(key, value)
+                    continue
+                wanted = np.frombuffer(key, np.uint32)
+                ids = wanted * np.uint32(_BACK)
+                context, word = (ids >> np.uint32(16)).astype(np.int64), (ids & np.uint32(0xFFFF)).astype(np.int64)
+                _summed(out, np.frombuffer(value, np.uint16), home,
+                        [models.value.losses(m, context, word, counts[m].of(wanted)) for m in (_BACKGROUND, _TARGET)])
+            yield from _sums(out)
     return run
 
 
+_SUMS = "home long, places binary, sums binary"
+
+
+def _priced(batches: Batches) -> Batches:
+    """Bucket by bucket: for each row of occurrences, the documents' losses over them."""
+    now, parts, keys, values = None, [], None, None
+    for batch in batches:
+        out = []
+        for bucket, turn, home, key, value in zip(*(batch.column(c).to_pylist() for c in _NAMES), strict=True):
+            if bucket != now:
+                now, parts, keys = bucket, [], None
+            if turn == _PRICES:
+                parts.append((key, value))
+                continue
+            if keys is None:
+                keys = np.frombuffer(b"".join(k for k, _ in parts), np.uint64)
+                by = np.argsort(keys)
+                keys, values = keys[by], np.frombuffer(b"".join(v for _, v in parts)).reshape(-1, 2)[by]
+                parts = []
+            wanted, place = np.frombuffer(key, np.uint64), np.frombuffer(value, np.uint16)
+            at = np.searchsorted(keys, wanted)
+            if not len(keys) or at[-1] >= len(keys) or not (keys[at] == wanted).all():
+                raise ValueError("a bigram has no price")
+            _summed(out, place, home, [values[at, 0], values[at, 1]])
+        yield from _sums(out)
+
+
 def _own(models: object) -> Callable[[Batches], Batches]:
-    """Each chunk's documents: their ids, words, and losses over the hot bigrams."""
+    """The documents by home: their places, ids, words, and losses over the hot bigrams."""
     def run(batches: Batches) -> Batches:
         model = models.value
-        chunk = TaskContext.get().partitionId() << 32
         for batch in batches:
+            numbers = batch.column("row").to_numpy()
             for first, last, raw, offsets in slices(batch.column("text"), CHUNK):
-                before, ids, bounds = _bigrams(raw, offsets, model.words)
-                a, b = _hot(before), _hot(ids)
-                both = (a >= 0) & (b >= 0)
-                place = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[both]
-                key = a[both] * HOT + b[both]
-                sums = np.stack([np.bincount(place, model.losses(m, before[both], ids[both], model.hot[m][key]), len(bounds) - 1)
-                                 for m in (0, 1)], axis=1)
-                doc_ids = batch.column("doc_id").slice(first, last - first).cast(pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([chunk], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(doc_ids)], pa.int32()), doc_ids),
-                     pa.array([np.diff(bounds).astype(np.int64).tobytes()], pa.binary()), pa.array([sums.tobytes()], pa.binary())],
-                    ["chunk", "doc_ids", "words", "sums"])
-                chunk += 1
+                before, words, bounds = _bigrams(raw, offsets)
+                a, b = _ids(model.words, before, words)
+                both = _hot(a, b)
+                doc = np.repeat(np.arange(last - first), np.diff(bounds))[both]
+                a, b = a[both], b[both]
+                sums = np.stack([np.bincount(doc, model.losses(m, a, b, model.hot[m][a * HOT + b]), last - first) for m in (0, 1)], axis=1)
+                ids = batch.column("doc_id").slice(first, last - first).cast(pa.int64())
+                row, n = numbers[first:last], np.diff(bounds).astype(np.int64)
+                for home in np.unique(row >> HOME_BITS):
+                    own = np.flatnonzero(row >> HOME_BITS == home)
+                    taken = ids.take(pa.array(own))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([int(home)], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), taken),
+                         pa.array([n[own].tobytes()], pa.binary()),
+                         pa.array([(row[own] & ((1 << HOME_BITS) - 1)).astype(np.uint16).tobytes()], pa.binary()), pa.array([sums[own].tobytes()], pa.binary())],
+                        ["home", "doc_ids", "words", "places", "sums"])
     return run
 
 
 def _added(batches: Batches) -> Batches:
-    """Chunk by chunk: the documents' rows, once all sums of the chunk are added to its own."""
-    ids, words, total = None, None, None
+    """Home by home: the documents' rows, once all sums are added to their own."""
+    now, ids, words, own, total = None, [], [], [], None
 
     def rows() -> Batches:
-        if ids is None:
+        if not ids:
             return
-        mean = np.divide(total, words[:, None], out=np.zeros_like(total), where=words[:, None] > 0)
+        n = np.concatenate(words)
+        mean = np.divide(total[np.concatenate(own)], n[:, None], out=np.zeros((len(n), 2)), where=n[:, None] > 0)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(words), pa.array(mean[:, 1]), pa.array(mean[:, 0]), pa.array(mean[:, 1] - mean[:, 0])],
+            [pa.array(ids, pa.int64()), pa.array(n), pa.array(mean[:, 1]), pa.array(mean[:, 0]), pa.array(mean[:, 1] - mean[:, 0])],
             ["doc_id", "n_words", "target_loss", "background_loss", "score"])
 
     for batch in batches:
-        for doc_ids, n, places, sums in zip(*(batch.column(c).to_pylist() for c in ("doc_ids", "words", "places", "sums")), strict=True):
-            if doc_ids is not None:  # a chunk's own row comes before the sums sent back to it
+        for home, doc_ids, n, places, sums in zip(*(batch.column(c).to_pylist() for c in ("home", "doc_ids", "words", "places", "sums")), strict=True):
+            if home != now:
                 yield from rows()
-                ids, words, total = doc_ids, np.frombuffer(n, np.int64), np.frombuffer(sums).reshape(-1, 2).copy()
-            else:
-                total[np.frombuffer(places, np.uint32)] += np.frombuffer(sums).reshape(-1, 2)
+                now, ids, words, own, total = home, [], [], [], np.zeros((1 << HOME_BITS, 2))
+            at = np.frombuffer(places, np.uint16)
+            if doc_ids is not None:
+                ids.extend(doc_ids)
+                words.append(np.frombuffer(n, np.int64))
+                own.append(at)
+            total[at] += np.frombuffer(sums).reshape(-1, 2)
     yield from rows()
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, row) of ``docs``: a number for each row."""
+    return docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
+
+
 def score(docs: DataFrame, background: DataFrame, target: DataFrame) -> DataFrame:
     """(doc_id, n_words, target_loss, background_loss, score) of ``docs`` (doc_id, text).
 
-    Loss is the mean over words, score target_loss - background_loss.  The
-    background must be ``docs`` or a table of its own; bigrams of ``docs`` that
-    the background lacks have count 0 there.
+    The background may be ``docs`` or a table of its own; bigrams of ``docs``
+    that the background lacks have count 0 there.
     """
     spark = docs.sparkSession
-    models = spark.sparkContext.broadcast(fit(background, target))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # The two passes over docs must cut the same chunks: both read the same columns of the same scan.
-    texts = docs.select("doc_id", "text")
-    packed = (texts.mapInArrow(_sent(models, parts, _BACKGROUND), _PACKED)
-              .unionByName(target.select("text").mapInArrow(_sent(models, parts, _TARGET), _PACKED)))
-    back = (packed.repartitionById(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_priced(models), _SUMS)
-            .select("chunk", F.lit(1).alias("turn"), F.lit(None).cast("array<long>").alias("doc_ids"),
-                    F.lit(None).cast("binary").alias("words"), "places", "sums"))
-    own = (texts.mapInArrow(_own(models), "chunk long, doc_ids array<long>, words binary, sums binary")
-           .select("chunk", F.lit(0).alias("turn"), "doc_ids", "words", F.lit(None).cast("binary").alias("places"), "sums"))
-    return (own.unionByName(back).repartition(parts, "chunk").sortWithinPartitions("chunk", "turn")
+    words = written(_both(_words, "word long", background, target, docs), "lm-words")
+    totals = _totals(words)
+    models = spark.sparkContext.broadcast(fit(background, target, words, totals))
+    texts = numbered(docs)
+
+    def back(packed: DataFrame, priced: Callable) -> DataFrame:
+        rows = packed.repartitionById(parts, "bucket").sortWithinPartitions("bucket", "turn").mapInArrow(priced, _SUMS)
+        return rows.select("home", F.lit(1).alias("turn"), F.lit(None).cast("array<long>").alias("doc_ids"),
+                           F.lit(None).cast("binary").alias("words"), "places", "sums")
+
+    buckets = max(parts, totals.background // BUCKET + 1)
+    counts = [df.select("text").mapInArrow(_common_counts(models, buckets, turn), _PACKED) for turn, df in ((_BACKGROUND, background), (_TARGET, target))]
+    sums = back(counts[0].unionByName(counts[1]).unionByName(texts.mapInArrow(_sent(models, buckets, False), _PACKED)), _priced_common(models))
+    if words.count() > COMMON:  # the start mark is one of them
+        known = spark.sparkContext.broadcast(models.value.words)
+        pairs = _both(_rare(known), "context long, word long", background, target, docs)
+        priced = prices(pairs, words, totals)
+        split = max(parts, priced.count() // BUCKET + 1)
+        packed = priced.mapInArrow(_priced_keys(split), _PACKED).unionByName(texts.mapInArrow(_sent(models, split, True), _PACKED))
+        sums = sums.unionByName(back(packed, _priced))
+    own = (texts.mapInArrow(_own(models), "home long, doc_ids array<long>, words binary, places binary, sums binary")
+           .select("home", F.lit(0).alias("turn"), "doc_ids", "words", "places", "sums"))
+    return (own.unionByName(sums).repartition(parts, "home").sortWithinPartitions("home", "turn")
             .mapInArrow(_added, "doc_id long, n_words long, target_loss double, background_loss double, score double"))
