@@ -158,3 +158,21 @@ def test_the_broadcast_words_change_no_result(spark, awkward, monkeypatch):
     target = ["alpha beta gamma", "alpha beta delta delta", None, "never seen words"]
     got = lm.score(awkward, awkward, spark.createDataFrame([(t,) for t in target], "text string")).collect()
     same(got, brute(docs, [t for _, t in docs], target, lm.VOCABULARY))
+
+
+def test_numbers_stay_with_their_rows_when_scans_are_cut_otherwise(spark, scratch):
+    """Files are packed into splits by size and cores; a number must not depend on it."""
+    path = scratch("numbered")
+    rows = [(i, f"text {i} " * (i % 7 + 1)) for i in range(400)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(9).write.parquet(path)
+    found = lm.numbered(spark.read.parquet(path))
+    seen, before = [], spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("64m", "2k"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            again = found.select("row", "doc_id", "text").collect()  # a plan of its own
+            seen.append({r["row"]: (r["doc_id"], r["text"]) for r in again})
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(seen[0]) == len(rows)
+    assert seen[0] == seen[1]

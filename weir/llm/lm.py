@@ -441,8 +441,8 @@ def _added(batches: Batches) -> Batches:
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, row) of ``docs``: a number for each row."""
-    return docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
+    """(doc_id, text, row) of ``docs``: a number for each row, written with it, so all passes see the same."""
+    return written(docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row")), "lm-documents")
 
 
 def score(docs: DataFrame, background: DataFrame, target: DataFrame) -> DataFrame:
