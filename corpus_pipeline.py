@@ -42,13 +42,15 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked documents: that with the smallest id.
 
-    Documents without words are no group and stay.  Repeated rows count as one;
-    in a group without any id, one row of each text stays.
+    Documents without words are no group and stay.  Repeated rows count as one.
+    Among rows of one id, or in a group without any, the least name by content stays.
     """
     ready(spark)
     own = "row named by its content"
-    stays = (ngram_join.join_components(docs, NEAR_WORDS, NEAR_PERCENT).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-             .select(F.col("row").alias(own)))
+    rows = written(ngram_join.join_groups(docs, NEAR_WORDS, NEAR_PERCENT).select("doc_id", "row", "root"), "near-groups")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row"))
+    stays = (rows.where("root IS NOT NULL").groupBy("root").agg(first.alias("first")).select(F.col("first.row").alias(own))
+             .unionByName(rows.where("root IS NULL").select(F.col("row").alias(own))))
     # the join has dealt rows out by their name, so equal rows are together already
     return (docs.withColumn(own, ngram_join.named()).join(stays, own, "left_semi")
             .dropDuplicates([own, "doc_id", "text"]).select(*docs.columns))

@@ -104,6 +104,15 @@ def test_near_copies_of_five_words_at_four_fifths_go(spark):
     assert not {5001, 6001} & set(got)
 
 
+def test_one_row_stays_without_ids_and_of_an_id_with_several_texts(spark):
+    words = [f"w{i}" for i in range(100)]
+    others = [f"o{i}" for i in range(100)]
+    rows = [(None, changed(words, {n})) for n in (10, 40, 70)] + [(7, changed(others, {n})) for n in (20, 50)] + [(9, " ".join(others)), (None, "")]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r["doc_id"], r["text"][:1]) for r in pipeline.near_duplicate_stage(spark, df, SF).select("doc_id", "text").collect()]
+    assert sorted(got, key=str) == sorted([(None, "w"), (7, "o"), (None, "")], key=str)
+
+
 def test_stage_names():
     assert [n for n, _ in pipeline.STAGES] == ["toxicity", "language_id", "ngram_join", "mixing", "bpe"]
     assert toxicity.THRESHOLD == pytest.approx(0.3)

@@ -324,6 +324,11 @@ def join_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     smallest doc_id that links reach, the row's own included; row is the hash
     of id and text that :func:`named` gives it.
     """
+    return join_groups(docs, size, percent).drop("root")
+
+
+def join_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of :func:`join_components` with ``root``, which names their group even without any id; null without words."""
     if not 0 < percent <= 100:
         raise ValueError("percent must be in 1..100")
     sets = written(document_sets(docs, size), "ngram-documents")
@@ -335,6 +340,7 @@ def join_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     linked = _links(_prepared(docs, left, size, percent), percent)
     named = classes.select("node", "first_id").join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_node = named.join(smallest, "root").select("node", "component_id")
-    found = full.join(of_node, "node").select("doc_id", "n_shingles", "component_id", "row")
-    return found.unionByName(sets.where("node IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "row"))
+    of_node = named.join(smallest, "root").select("node", "component_id", "root")
+    found = full.join(of_node, "node").select("doc_id", "n_shingles", "component_id", "row", "root")
+    return found.unionByName(sets.where("node IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "row",
+                                                               F.lit(None).cast("binary").alias("root")))
