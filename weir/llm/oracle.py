@@ -138,7 +138,45 @@ FROM judged LEFT JOIN fences ON judged.lang IS NOT DISTINCT FROM fences.lang
                             AND judged.source IS NOT DISTINCT FROM fences.source"""
 
 
+_EXACT = """
+WITH rows AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS folded FROM documents),
+grouped AS (SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, sha256(folded) AS text_sha256,
+                   row_number() OVER (PARTITION BY folded ORDER BY doc_id DESC NULLS LAST) AS place
+            FROM rows WINDOW same AS (PARTITION BY folded))
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM grouped"""
+
+
+def _trie() -> str:
+    # CRC-32 of the decimal digits, bit by bit
+    crc = """xor(4294967295, list_reduce(
+      list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+      lambda crc, code: list_reduce([xor(crc, code), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, step: xor(v >> 1, 3988292384 * (v & 1)))))"""
+    return f"""
+WITH whole AS (
+  SELECT conv_id AS c, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn ASC NULLS FIRST) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+headed AS (SELECT c, turns, {crc} % 9 AS h FROM whole),
+rebuilt AS (
+  SELECT headed.c, list_concat(coalesce(whole.turns[1:h], []), headed.turns[h + 1:]) AS turns
+  FROM headed LEFT JOIN whole ON whole.c = headed.c - headed.c % 5),
+prefixes AS (SELECT c, depth, turns[1:depth] AS path, len(turns) AS n FROM rebuilt, unnest(range(0, len(turns) + 1)) AS r(depth)),
+nodes AS (
+  SELECT path, depth, min(c) AS conv_id, count(*) AS n_convs,
+         (count(*) - 1) * CASE WHEN depth = 0 THEN 0 ELSE coalesce(strlen(path[depth].text), 0) END AS saved,
+         sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE n = depth), '')) AS ends_sha256
+  FROM prefixes GROUP BY path, depth),
+children AS (SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+full_nodes AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (path)),
+below AS (
+  SELECT full_nodes.path[1:d] AS path, CAST(sum(saved) AS BIGINT) AS saved_tokens, count(*) FILTER (WHERE n_children = 0) AS n_leaves
+  FROM full_nodes, unnest(range(0, depth + 1)) AS r(d) GROUP BY ALL)
+SELECT f.conv_id, f.depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens, f.ends_sha256
+FROM full_nodes AS f JOIN below USING (path) LEFT JOIN nodes AS p ON f.depth > 0 AND p.path = f.path[1:f.depth - 1]"""
+
+
 SQL: dict[str, str] = {
     "op2_quality_rules": _quality(),
     "op3_mixing": _mixing(),
+    "op12_exact_dedup": _EXACT,
+    "op13_prefix_trie": _trie(),
 }
