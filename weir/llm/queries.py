@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weir.llm import bpe, exact, language, lm, mixing, neighbours, ngram_join, oracle, quality, sharding, toxicity, trie, warc
+from weir.llm import bpe, exact, language, lm, mixing, neighbours, ngram_join, oracle, quality, sharding, toxicity, trie, warc, whitening
 from weir.llm.common import ready, table
 from weir.session import fresh_path
 
@@ -95,6 +95,11 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the first four principal components, each with unit variance."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), 4)
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the one that stays of all with its text, up to the case of A-Z."""
     return exact.duplicates(table(spark, sf_dir, "documents"))
@@ -115,6 +120,6 @@ def _ready(query: Query) -> Query:
 
 QUERIES: dict[str, Query] = {f.__name__: _ready(f) for f in (
     op1_ngram_join, op2_quality_rules, op3_mixing, op4_toxicity, op5_warc, op6_language_id, op7_bpe, op8_neighbours, op9_lm_scoring, op10_sharding,
-    op12_exact_dedup, op13_prefix_trie)}
+    op11_whitening, op12_exact_dedup, op13_prefix_trie)}
 
 ORACLE: dict[str, str] = {k: v for k, v in oracle.SQL.items() if k in QUERIES}
