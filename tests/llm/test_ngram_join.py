@@ -71,6 +71,31 @@ def test_components_are_those_of_all_pairs(spark, awkward, seed, percent):
     assert joined(df, percent) == brute(rows, percent)
 
 
+def crowd(seed, n=220):
+    """One large group of near copies around a text, strays beside it that share its passages, and exact copies."""
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(80)]
+    rows = []
+    for i in range(n):
+        words = list(base)
+        for _ in range(rng.choice([0, 1, 1, 2, 3, 5, 8, 12, 20])):
+            words[rng.randrange(len(words))] = f"new{rng.randrange(40)}"
+        rows.append((i, " ".join(words)))
+    return rows + [(1000 + i, rows[3][1].upper()) for i in range(30)] + [(2000 + i, " ".join(base[:25])) for i in range(30)]
+
+
+@pytest.mark.parametrize(("seed", "percent", "size"), [(4, 90, 3), (5, 80, 5), (6, 60, 2)])
+@pytest.mark.parametrize("rounds", [0, 2])
+def test_strays_beside_a_large_group(spark, monkeypatch, seed, percent, size, rounds):
+    """Stars or none, one n-gram a bucket or many, many blocks or few: the same links."""
+    monkeypatch.setattr(ngram_join, "STAR_ROUNDS", rounds)
+    monkeypatch.setattr(ngram_join, "BUCKET", 500)
+    monkeypatch.setattr(ngram_join, "BLOCK", 700)
+    rows = crowd(seed)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    assert joined(df, percent, size) == brute(rows, percent, size)
+
+
 def test_awkward_rows(awkward):
     rows = [(r["doc_id"], r["text"]) for r in awkward.select("doc_id", "text").collect()]
     assert joined(awkward) == brute(rows)
@@ -89,7 +114,7 @@ def test_the_cheapest_prefix_is_taken(spark):
     """Few long posting lists: one match; many of them: more matches asked for."""
     rows = [("rare", 100, 90, [(2, i) for i in range(1, 12)]), ("common", 100, 90, [(500, i) for i in range(1, 101)])]
     df = spark.createDataFrame(rows, "node string, n int, need long, shared array<struct<df:long,gram:long>>")
-    got = {r["node"]: r["m"] for r in df.select("node", ngram_join._matches(90).alias("m")).collect()}
+    got = {r["node"]: r["m"] for r in df.select("node", ngram_join._matches().alias("m")).collect()}
     assert got["rare"] == 1
     assert got["common"] > 4
 

@@ -8,8 +8,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weir.folders import remove
 from weir.session import fresh_path
 
+#: Rows of an Arrow batch: texts are long, and a task holds a batch of them several times over.
+BATCH_ROWS = 1000
+
 #: White space between words, as a regular expression class (fixed by the contracts).
 WHITE = r"[\x20\x09-\x0D]"
 NOT_WHITE = r"[^\x20\x09-\x0D]"
@@ -18,11 +22,14 @@ _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__
 
 
 def ready(spark: SparkSession) -> None:
-    """Let Python workers import this package where it is not installed.
+    """Let Python workers import this package where it is not installed, and bound what they hold.
 
     Workers get the package root on their path; on a cluster the package is
-    installed, or shipped with ``--py-files``, as usual.
+    installed, or shipped with ``--py-files``, as usual.  Spark's default for
+    Arrow batches is lowered, any other setting of it stays.
     """
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if _ROOT not in paths:
@@ -41,7 +48,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of :func:`written` that nothing will read again."""
+    for t in tables:
+        remove(t.sparkSession, t.written_at)
 
 
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weir.llm.common import written
+from weir.llm.common import discard, written
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -28,6 +28,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         moved = written(hooked.join(jump, "next", "left")
                         .select("node", F.least("next", "beyond").alias("root"), (F.least("next", "beyond") != F.col("root")).alias("moved")),
                         "graph-labels")
+        discard(labels)
         labels = moved.select("node", "root")
+        labels.written_at = moved.written_at
         if moved.where("moved").isEmpty():
+            discard(both)
             return labels
