@@ -111,7 +111,8 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """(labels, matrix) from the rows of ``docs`` (text, lang) that have a lang.
 
     A row of the matrix has the log-probabilities of the cells for a label,
-    then 0 (for no n-gram), then the log prior.
+    then 0 (for no n-gram), then the level (mean log-probability of an n-gram)
+    of the label's own training texts, then the log prior.
     """
     known = docs.where(F.col("lang").isNotNull())
     many = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LABELS + 1).collect()}
@@ -126,10 +127,11 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     row = {name: i for i, name in enumerate(labels)}
     for r in blocks.collect():  # labels x CELLS numbers
         counts[row[r["label"]], r["block"] * BLOCK:(r["block"] + 1) * BLOCK] = np.frombuffer(bytes(r["counts"]), np.int64)
-    matrix = np.zeros((len(labels), CELLS + 2))
+    matrix = np.zeros((len(labels), CELLS + 3))
     if labels:
         smooth = counts + SMOOTHING
         matrix[:, :CELLS] = np.log(smooth) - np.log(smooth.sum(axis=1, keepdims=True))
+        matrix[:, -2] = (counts * matrix[:, :CELLS]).sum(axis=1) / np.maximum(counts.sum(axis=1), 1)
         docs_of = np.array([many[name] for name in labels], float)
         matrix[:, -1] = np.log(docs_of / docs_of.sum())
     return labels, matrix
@@ -140,7 +142,7 @@ def _scorer(labels: list[str], model: object) -> Callable[[Batches], Batches]:
         matrix = model.value
         names = np.array([*labels, UNKNOWN], object)
         for batch in batches:
-            best, score = [], []
+            best, score, fit = [], [], []
             for _, _, raw, offsets in slices(batch.column("text")):
                 cells, bounds, lettered = _cells(raw, offsets)
                 n = len(bounds) - 1
@@ -152,31 +154,42 @@ def _scorer(labels: list[str], model: object) -> Callable[[Batches], Batches]:
                     for c in cells:
                         if full.any():
                             logs[i, full] += np.add.reduceat(row[c], bounds[:-1][full])
+                grams = np.zeros(n)
+                for c in cells:
+                    if full.any():
+                        grams[full] += np.add.reduceat(c < CELLS, bounds[:-1][full], dtype=np.int64)
                 if len(labels):
                     top = logs.argmax(axis=0)
                     sure = 1 / np.exp(logs - logs.max(axis=0)).sum(axis=0)
+                    own = logs[top, np.arange(n)] - matrix[top, -1]
+                    level = matrix[top, -2]
                 else:
-                    top, sure = np.zeros(n, int), np.zeros(n)
+                    top, sure, own, level = np.zeros(n, int), np.zeros(n), np.zeros(n), np.zeros(n)
                 unknown = ~lettered if len(labels) else np.ones(n, bool)
                 best.append(np.where(unknown, len(labels), top))
                 score.append(np.where(unknown, 0.0, sure))
+                fit.append(np.where(unknown, 0.0, own / np.maximum(grams, 1) - level))
             if not best:
                 continue
             kept, kept_names = carried_columns(batch)
             yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(names[np.concatenate(best)], pa.string()), pa.array(np.concatenate(score))],
-                [*kept_names, "lang_pred", "score"])
+                [*kept, pa.array(names[np.concatenate(best)], pa.string()), pa.array(np.concatenate(score)), pa.array(np.concatenate(fit))],
+                [*kept_names, "lang_pred", "score", "fit"])
     return run
 
 
 def identify(docs: DataFrame, training: DataFrame, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of ``docs`` as k0, k1, ..., with ``lang_pred`` and ``score``.
+    """The columns ``keep`` of ``docs`` as k0, k1, ..., with ``lang_pred``, ``score`` and ``fit``.
 
+    ``score`` is the posterior of the language.  ``fit`` is the mean
+    log-probability of the text's n-grams under it, less that of the language's
+    training texts: near 0 for a text in a learned language, however long, far
+    below for one that only is less unlike this language than the others.
     Learns from ``training`` (text, lang) alone.
     """
     labels, matrix = train(training)
     model = docs.sparkSession.sparkContext.broadcast(matrix)
-    return scored(docs, keep, _scorer(labels, model), "lang_pred string, score double")
+    return scored(docs, keep, _scorer(labels, model), "lang_pred string, score double, fit double")
 
 
 def held_out(doc_id: str = "doc_id", parts: int = 3, part: int = 1) -> Column:

@@ -106,7 +106,7 @@ def mix(docs: DataFrame, schedules: Sequence[Schedule] = SCHEDULES, cap: int = C
     """
     base = docs.select(
         F.col("doc_id"), F.col("source"), n_words(F.col("text")).alias("size"),
-        F.md5(id_text(F.col("doc_id"))).alias("_hash"),
+        F.md5(id_text(F.col("doc_id"))).alias("_hash"), F.xxhash64("text").alias("_text"),
         *[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)])
     base = base.withColumn("_piece", F.substring("_hash", 1, PIECE_DIGITS))
     if not keep:  # a few numbers a row: cheaper written than counted from the texts twice
@@ -120,7 +120,7 @@ def mix(docs: DataFrame, schedules: Sequence[Schedule] = SCHEDULES, cap: int = C
     goal = goal.withColumnRenamed("source", "_g")
     starts = (pieces.join(goal, F.col("_s").eqNullSafe(F.col("_g"))).drop("_g"))
 
-    inside = (Window.partitionBy("source", "_piece").orderBy("_hash", "doc_id", "size")
+    inside = (Window.partitionBy("source", "_piece").orderBy("_hash", "doc_id", "size", "_text")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     run = base.withColumn("_run", F.sum("size").over(inside))
     rows = run.join(starts, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_piece") == F.col("_p")))
