@@ -6,25 +6,33 @@ shared scratch folder and reads it again, so a lost executor never costs more
 than the stage that runs.
 
 Columns beyond those a stage reads are carried along, whatever they are called.
+Null and empty texts are documents without words in every stage, a null id is an
+id like others, and an empty table passes through as one.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from weir.llm import bpe, language, mixing, ngram_join, toxicity
 from weir.llm.common import as_named, ready, table, written
 from weir.llm.queries import vocabulary_path
 
-#: Posterior of the best language under which a document is rejected.
-LEAST_SURE = 0.5
+#: How far the mean log-probability of a document's n-grams may lie below that of its language's training texts.
+LEAST_FIT = -4.0
 #: Near copies: words of an n-gram, and percent of all n-grams of two documents that both have.
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier doesn't call toxic."""
+    """Documents that the classifier doesn't call toxic.
+
+    Null and empty texts get the score of a text without any sign.  Rows alike
+    share their verdict; without labels of both kinds nothing is toxic.
+    """
     ready(spark)
     labels = table(spark, sf_dir, "labels").where(~language.held_out("doc_id", 4, 2))
     found = toxicity.score(docs, docs, labels, docs.columns)
@@ -32,17 +40,23 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that is told with some certainty; those without letters go."""
+    """Documents whose n-grams are about as likely in their best language as those of its training texts are.
+
+    The posterior alone tells nothing: summed over many n-grams it is near 1 for
+    garbled text, too.  Texts without a letter go, null and empty ones among
+    them; with no language learned, all do.
+    """
     ready(spark)
     found = language.identify(docs, docs.where(~language.held_out()), docs.columns)
-    sure = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SURE)
-    return found.where(sure).select(*as_named(docs.columns))
+    known = (F.col("lang_pred") != language.UNKNOWN) & (F.col("fit") >= LEAST_FIT)
+    return found.where(known).select(*as_named(docs.columns))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked documents: that with the smallest id.
 
-    Documents without words are no group and stay.  Repeated rows count as one.
+    Documents without words are no group and stay.  Repeated rows count as one:
+    of rows alike in id and text, that with the least other columns stays.
     Among rows of one id, or in a group without any, the least name by content stays.
     """
     ready(spark)
@@ -51,23 +65,51 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row"))
     stays = (rows.where("root IS NOT NULL").groupBy("root").agg(first.alias("first")).select(F.col("first.row").alias(own))
              .unionByName(rows.where("root IS NULL").select(F.col("row").alias(own))))
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
     # the join has dealt rows out by their name, so equal rows are together already
     return (docs.withColumn(own, ngram_join.named()).join(stays, own, "left_semi")
-            .dropDuplicates([own, "doc_id", "text"]).select(*docs.columns))
+            .groupBy(own, "doc_id", "text").agg(F.min(F.struct(*[F.col(f"`{c}`") for c in others])).alias("least"))
+            .select("doc_id", "text", "least.*").select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents the mix takes, once for each time it takes them, in training order."""
+    """The documents the mix takes, once for each time it takes them, in training order.
+
+    Documents without words are not taken.
+    """
     ready(spark)
     mixed = mixing.mix(docs, keep=docs.columns)
     return mixing.in_training_order(mixed).select(*as_named(docs.columns))
 
 
+def in_file_order(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``position``: the number of the row, from 0, in the order of its files and of the rows in them.
+
+    Rows that come from no file are numbered as they come.
+    """
+    keep = [F.col(f"`{c}`") for c in docs.columns]
+    try:
+        rows = docs.select(*keep, F.col("_metadata.file_path").alias("path of its file"), F.col("_metadata.row_index").alias("position"))
+    except AnalysisException:  # not a scan of files
+        return docs.select(*keep, F.monotonically_increasing_id().alias("position"))
+    counts = rows.groupBy("path of its file").agg(F.count(F.lit(1)).alias("rows in it"))
+    # a row per file
+    before = F.sum("rows in it").over(Window.orderBy("path of its file").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select("path of its file", F.coalesce(before, F.lit(0)).alias("rows before it"))
+    return (rows.join(F.broadcast(starts), "path of its file")  # no more than the driver has listed for the scan
+            .select(*keep, (F.col("rows before it") + F.col("position")).alias("position")))
+
+
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as token ids."""
+    """The documents as token ids, with their place in the training order and the digest of the decoded text.
+
+    Null and empty texts have no tokens.
+    """
     ready(spark)
-    rows = bpe.encode(docs, vocabulary_path(), ["doc_id", "lang", "source"])
-    return rows.select(*as_named(["doc_id", "lang", "source"]), F.size("ids").cast("long").alias("n_tokens"), "ids")
+    keep = ["doc_id", "lang", "source", "position"]
+    docs = in_file_order(docs.select("doc_id", "lang", "source", "text"))
+    rows = bpe.encode(docs, vocabulary_path(), keep, decoded=True)
+    return rows.select(*as_named(keep), F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [
