@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+import hashlib
 import random
 
 import corpus_pipeline as pipeline
 import pytest
+from pyspark.sql import functions as F
 from weir.llm import language, mixing, ngram_join, toxicity
 from weir.llm.common import table, written
 from weir.llm.queries import QUERIES, vocabulary_path
@@ -26,10 +28,10 @@ def test_stages_are_the_operators_decisions(spark):
     assert kept.columns == columns
     assert {r["doc_id"] for r in kept.select("doc_id").collect()} == {i for i, p in scores.items() if not p}
 
-    told = {r["k0"]: (r["lang_pred"], r["score"]) for r in language.identify(kept, kept.where(~language.held_out()), ["doc_id"]).collect()}
+    told = {r["k0"]: (r["lang_pred"], r["fit"]) for r in language.identify(kept, kept.where(~language.held_out()), ["doc_id"]).collect()}
     known = written(pipeline.language_stage(spark, kept, SF), "t")
     assert known.columns == columns
-    assert {r["doc_id"] for r in known.select("doc_id").collect()} == {i for i, (p, s) in told.items() if p != "und" and s >= pipeline.LEAST_SURE}
+    assert {r["doc_id"] for r in known.select("doc_id").collect()} == {i for i, (p, s) in told.items() if p != "und" and s >= pipeline.LEAST_FIT}
 
     groups = {r["doc_id"]: r["component_id"] for r in ngram_join.join_components(known).collect()}
     single = written(pipeline.near_duplicate_stage(spark, known, SF), "t")
@@ -45,11 +47,45 @@ def test_stages_are_the_operators_decisions(spark):
 
     library = Tokenizer.from_file(vocabulary_path())
     texts = {r["doc_id"]: r["text"] for r in mixed.collect()}
-    last = pipeline.bpe_stage(spark, mixed, SF).collect()
-    assert len(last) == len(found)
+    last = sorted(pipeline.bpe_stage(spark, mixed, SF).collect(), key=lambda r: r["position"])
+    assert [r["position"] for r in last] == list(range(len(found)))
     for r in last[::20]:
         assert r["ids"] == library.encode(texts[r["doc_id"]], add_special_tokens=False).ids
         assert r["n_tokens"] == len(r["ids"])
+        assert r["decoded_sha256"] == hashlib.sha256(library.decode(r["ids"], skip_special_tokens=False).encode()).hexdigest()
+    placed = mixing.mix(single).select("doc_id", F.explode("positions").alias("at")).orderBy("at", "doc_id").collect()
+    assert [r["doc_id"] for r in last] == [r["doc_id"] for r in placed]
+
+
+def test_garbled_and_unlearned_texts_go(spark):
+    """Texts in no learned language go although the posterior of some language is near 1; clean ones stay."""
+    rng = random.Random(4)
+    docs = table(spark, SF, "documents")
+    letters = "abcdefghijklmnopqrstuvwxyz   "
+    garbled = [(10**9 + i, "".join(rng.choice(letters) for _ in range(n)), None, "x", n) for i, n in enumerate([60, 200, 1000, 9000] * 3)]
+    garbled += [(2 * 10**9, "Съешь ещё этих мягких французских булок " * 4, None, "x", 160), (2 * 10**9 + 1, "123 !!", None, "x", 6)]
+    every = docs.unionByName(spark.createDataFrame(garbled, docs.schema))
+    kept = {r["doc_id"] for r in pipeline.language_stage(spark, every, SF).select("doc_id").collect()}
+    assert not kept & {r[0] for r in garbled}
+    clean = {r["doc_id"] for r in table(spark, SF, "labels").where("quality = 1").select("doc_id").collect()}
+    there = {r["doc_id"] for r in docs.where("text rlike '[A-Za-z]'").select("doc_id").collect()}
+    assert clean & there <= kept
+
+
+def test_ties_of_the_mix_and_of_repeated_rows(spark):
+    """The texts that are taken, and the columns of the row that stays, don't depend on the order of the input."""
+    rows = [(5, f"text {i} {'x ' * 30}", "en", "s", i) for i in range(6)] + [(6, "same text of some words here", lang, src, 3) for lang in "cab" for src in "zy"]
+    rows += [(100 + i, f"filler {i} " * 20, "en", "t", 1) for i in range(30)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+
+    def found(order):
+        df = spark.createDataFrame(order, schema).repartition(3)
+        mixed = sorted(str(tuple(r)) for r in pipeline.mixing_stage(spark, df, SF).collect())
+        return mixed, rows_of(pipeline.near_duplicate_stage(spark, df, SF))
+
+    first = found(rows)
+    assert found(rows[::-1]) == first
+    assert str((6, "same text of some words here", "a", "y", 3)) in first[1]
 
 
 def test_awkward_rows_and_nothing(spark, awkward, nothing, monkeypatch):
