@@ -43,16 +43,26 @@ SURE = 2.0
 #: Factor by which windows widen.
 WIDEN = 1.2
 SEED = 20_240_917
+#: A query this many times as long as a block's vectors is compared with all of them.
+FAR = 1e100
 
 Batches = Iterator[pa.RecordBatch]
 
 
+def _power(x: np.ndarray) -> float:
+    """The largest power of two that is no larger than the largest number of ``x``."""
+    return math.ldexp(0.5, math.frexp(float(np.abs(x).max()))[1])
+
+
 class Block:
     """The sorted arrays of some vectors of one length."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         order = np.argsort(ids, kind="stable")
-        self.ids, self.vectors = ids[order], vectors[order]
+        # by a power of two, which rounds nothing: squares of what is left neither overflow nor vanish
+        self.scale = _power(vectors)
+        self.ids, vectors = ids[order], vectors[order] / self.scale
+        self.vectors = vectors
         self.axes = np.random.default_rng(SEED).standard_normal((vectors.shape[1], PROJECTIONS))
         values = (self.vectors @ self.axes).T
         self.by = np.argsort(values, axis=1, kind="stable").astype(np.int32)
@@ -74,6 +84,11 @@ class Block:
         """(ids, distances) of the k nearest found, nearest first."""
         n = len(self.ids)
         own = self.ids == query_id
+        with np.errstate(over="ignore"):
+            scaled = query / self.scale
+        if not float(np.abs(scaled).max()) <= FAR:  # next to it all vectors are one point: projections tell nothing
+            return self._all(query_id, query, k)
+        query = scaled
         wanted = min(k, n - int(own.sum()))
         seen, distance = own.copy(), np.full(n, np.inf)
         plain = query @ self.axes
@@ -95,7 +110,17 @@ class Block:
             half *= WIDEN
         found = np.flatnonzero(np.isfinite(distance))
         best = found[np.lexsort((self.ids[found], distance[found]))[:k]]
-        return self.ids[best], distance[best]
+        with np.errstate(over="ignore"):
+            return self.ids[best], distance[best] * self.scale
+
+    def _all(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The k nearest by the distances of all vectors."""
+        scale = max(_power(query), self.scale)
+        distance = np.sqrt(((self.vectors * (self.scale / scale) - query / scale) ** 2).sum(axis=1))
+        found = np.flatnonzero(self.ids != query_id)
+        best = found[np.lexsort((self.ids[found], distance[found]))[:k]]
+        with np.errstate(over="ignore"):
+            return self.ids[best], distance[best] * scale
 
 
 def _vectors(column: pa.Array) -> list[np.ndarray]:
@@ -149,11 +174,12 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, block: int = BL
             F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"))
 
     rows = part(vectors)
-    blocks = max(1, -(-rows.count() // block))
-    dealt = rows.select((F.monotonically_increasing_id() % blocks).cast("int").alias("block"), F.lit(0).alias("kind"), "vec_id", "vector")
+    blocks = int(max(1, -(-rows.count() // block)))
+    # a hash of the row's number deals evenly, whatever the partitions hold
+    dealt = rows.select(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)).cast("int").alias("block"), F.lit(0).alias("kind"), "vec_id", "vector")
     asked = part(queries).groupBy("vec_id").agg(F.min("vector").alias("vector")).select(
         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(1).alias("kind"), "vec_id", "vector")
-    found = (dealt.unionByName(asked).repartition(blocks, "block").sortWithinPartitions("block", "kind")
+    found = (dealt.unionByName(asked).repartitionById(blocks, "block").sortWithinPartitions("block", "kind")
              .mapInArrow(_search(k), "query_id long, vec_id long, score double"))
     first = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return (found.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= k)
