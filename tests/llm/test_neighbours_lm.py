@@ -60,21 +60,43 @@ def test_awkward_vectors(spark):
     assert neighbours.nearest(empty, empty).collect() == []
 
 
+@pytest.mark.parametrize("size", [1e200, 1e308, 1e-200, 1.0])
+def test_any_size_of_numbers(spark, size):
+    """Squares that overflow or vanish: the nearest are those of the same vectors at size 1."""
+    rng = np.random.default_rng(2)
+    base = rng.uniform(-0.5, 0.5, (300, 8))
+    schema = "vec_id long, embedding array<double>, block int, kind int, vector string, rank int, score double"
+    make = lambda f: spark.createDataFrame([(i, [float(c) * f for c in v], 0, 0, "x", 1, 0.5) for i, v in enumerate(base)], schema)
+    vectors = make(size)
+    got = {(r["query_id"], r["rank"]): r for r in neighbours.nearest(vectors, vectors.where("vec_id % 100 = 0"), 5).collect()}
+    assert len(got) == 15
+    hits = 0
+    for q in (0, 100, 200):
+        d = np.sqrt(((base - base[q]) ** 2).sum(axis=1))
+        near = [int(i) for i in np.argsort(d) if i != q][:5]
+        hits += len(set(near) & {got[q, k + 1]["vec_id"] for k in range(5)})
+        for k in range(5):
+            r = got[q, k + 1]
+            assert r["score"] == pytest.approx(d[r["vec_id"]] * size, rel=1e-12)
+    assert hits >= 14
+
+
+def test_queries_far_beyond_the_vectors(spark):
+    schema = "vec_id long, embedding array<double>"
+    vectors = spark.createDataFrame([(i, [1e-5 * i, 1.0]) for i in range(1, 9)] + [(100, [1e300, 1.0]), (200, [1e-300, 0.0])], schema)
+    got = neighbours.nearest(vectors, vectors.where("vec_id % 100 = 0"), 3).collect()
+    assert {r["query_id"] for r in got} == {100, 200} and all(np.isfinite(r["score"]) for r in got)
+    tiny = spark.createDataFrame([(i, [1e-300 * i, 1e-300]) for i in range(1, 9)], schema)
+    huge = spark.createDataFrame([(100, [1e300, 1.0])], schema)
+    assert [r["vec_id"] for r in neighbours.nearest(tiny, huge, 2).orderBy("rank").collect()] == [1, 2]
+
+
 # --- language models --------------------------------------------------------------------
 
-def brute(docs, background, target, size):
+def brute(docs, background, target):
     low = {k: k + 32 for k in range(65, 91)}
-    words = lambda t: WORD.findall((t or "").translate(low))
-    counts = Counter(w for t in background for w in words(t))
-    grade = lambda n: math.floor(math.log(n) / math.log(1.1) + 1e-12)
-    room, known = size, set()
-    for g in sorted({grade(n) for n in counts.values()}, reverse=True):
-        own = {w for w, n in counts.items() if grade(n) == g}
-        room -= len(own)
-        if room < 0:
-            break
-        known |= own
-    tokens = lambda t: [w if w in known else "<unknown>" for w in words(t)]
+    tokens = lambda t: WORD.findall((t or "").translate(low))
+    kinds = len({w for t in [*background, *target] for w in tokens(t)}) + 1
 
     def model(corpus):
         one, two, before = Counter(), Counter(), Counter()
@@ -86,7 +108,7 @@ def brute(docs, background, target, size):
         total = sum(one.values())
 
         def loss(c, w):
-            p = (one[w] + lm.SMOOTHING) / (total + lm.SMOOTHING * (lm.VOCABULARY + 1))
+            p = (one[w] + lm.SMOOTHING) / (total + lm.SMOOTHING * kinds)
             if before[c]:
                 p = lm.BIGRAM_WEIGHT * two[c, w] / before[c] + (1 - lm.BIGRAM_WEIGHT) * p
             return -math.log(p)
@@ -115,30 +137,22 @@ def test_losses_are_those_of_the_models(spark, awkward):
     docs = [(r["doc_id"], r["text"]) for r in awkward.select("doc_id", "text").collect()]
     target = ["alpha beta gamma", "alpha beta delta delta", None, "never seen words"]
     got = lm.score(awkward, awkward, spark.createDataFrame([(t,) for t in target], "text string")).collect()
-    same(got, brute(docs, [t for _, t in docs], target, lm.VOCABULARY))
-
-
-def test_a_full_vocabulary_leaves_unknown_words(spark, monkeypatch):
-    docs = [(i, " ".join(f"w{j}" for j in range(i % 40))) for i in range(80)]
-    df = spark.createDataFrame(docs, "doc_id long, text string")
-    words = lm.vocabulary(df, df, 10)
-    assert 0 < len(words.hashes) <= 10
+    same(got, brute(docs, [t for _, t in docs], target))
 
 
 def test_no_target_and_no_documents(spark, awkward, nothing):
     docs = [(r["doc_id"], r["text"]) for r in awkward.select("doc_id", "text").collect()]
-    same(lm.score(awkward, awkward, nothing).collect(), brute(docs, [t for _, t in docs], [], lm.VOCABULARY))
+    same(lm.score(awkward, awkward, nothing).collect(), brute(docs, [t for _, t in docs], []))
     assert lm.score(nothing, nothing, nothing).collect() == []
 
 
-def test_more_words_than_any_cap_are_words_of_their_own(spark, monkeypatch):
+def test_more_words_than_any_cap_are_words_of_their_own(spark):
     """70,000 words, each once: all have counts, and the target's own are told from the others."""
     docs = [(i, " ".join(f"w{j}" for j in range(1_000 * i, 1_000 * i + 1_000))) for i in range(70)]
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
     target = ["w5 w6 w7", "w69990 w69991 new"]
     got = lm.score(df, df, spark.createDataFrame([(t,) for t in target], "text string")).collect()
-    monkeypatch.setattr(lm, "VOCABULARY", 70_000)
-    same(got, brute(docs, [t for _, t in docs], target, lm.VOCABULARY))
+    same(got, brute(docs, [t for _, t in docs], target))
 
 
 @pytest.mark.parametrize("common", [2, 5, 1 << 16])
@@ -148,16 +162,18 @@ def test_a_background_of_its_own(spark, monkeypatch, common):
     background, target = ["alpha beta", "beta gamma beta"], ["beta gamma"]
     frame = lambda rows: spark.createDataFrame([(t,) for t in rows], "text string")
     got = lm.score(spark.createDataFrame(docs, "doc_id long, text string"), frame(background), frame(target)).collect()
-    same(got, brute(docs, background, target, lm.VOCABULARY))
+    same(got, brute(docs, background, target))
 
 
-def test_the_broadcast_words_change_no_result(spark, awkward, monkeypatch):
+@pytest.mark.parametrize("bucket", [7, 1_000_000])
+def test_the_broadcast_words_change_no_result(spark, awkward, monkeypatch, bucket):
     """Few common words, so that most bigrams take the way of rare ones."""
     monkeypatch.setattr(lm, "COMMON", 4)
+    monkeypatch.setattr(lm, "RARE_BUCKET", bucket)
     docs = [(r["doc_id"], r["text"]) for r in awkward.select("doc_id", "text").collect()]
     target = ["alpha beta gamma", "alpha beta delta delta", None, "never seen words"]
     got = lm.score(awkward, awkward, spark.createDataFrame([(t,) for t in target], "text string")).collect()
-    same(got, brute(docs, [t for _, t in docs], target, lm.VOCABULARY))
+    same(got, brute(docs, [t for _, t in docs], target))
 
 
 def test_numbers_stay_with_their_rows_when_scans_are_cut_otherwise(spark, scratch):

@@ -40,14 +40,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     """``df`` as a written table in the shared scratch folder: cuts the lineage.
 
     A lost executor costs the tasks it ran, never what was already written.
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, **options)
     table = spark.read.schema(df.schema).parquet(path)
     table.written_at = path
     return table

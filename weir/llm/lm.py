@@ -8,15 +8,21 @@ score is the mean of the differences of the two losses (in nats a word, below
 P(w | c) = W * count(c, w) / count(c) + (1 - W) * (count(w) + D) / (all + D * V)
 
 Every word is a word of its own, named by its 64-bit hash; V is one more than the
-background's distinct words, or than ``VOCABULARY`` if those are fewer.  Each
-document begins with a start mark.  Counts of words are a distributed table.
-The ``COMMON`` commonest are broadcast with theirs, as a shortcut that changes no
-result: their bigrams are counted and priced in buckets, where counts come
-first and occurrences stream after them, packed, and leave as sums by document.
-Bigrams with a rarer word are counted in a distributed table, which is joined
-with that of the words; the prices meet the occurrences in buckets likewise.
-Bigrams of the ``HOT`` commonest words, which fill most documents, don't travel:
-their counts are a dense table of fixed size, summed beforehand.
+distinct words of both corpora.  Each document begins with a start mark.  Counts
+of words are a distributed table.  The ``COMMON`` commonest are broadcast with
+theirs, as a shortcut that changes no result: their bigrams are counted and
+priced in buckets, where counts come first and occurrences stream after them,
+packed, and leave as sums by document.  Bigrams of the ``HOT`` commonest words,
+which fill most documents, don't travel: their counts are a dense table of fixed
+size, summed beforehand.
+
+A bigram with a rarer word goes to the bucket of that word (of the second, if
+both are rare), where the counts of words are sent, too; so the common one's
+count is at hand by broadcast and the rare one's in the bucket.  Only contexts
+that are rare before rare words are looked up by a join.  Where the documents are
+the background, a bucket's own occurrences are its counts.  A rare word has less
+than one in ``COMMON`` of all words, and a bucket holds about ``RARE_BUCKET``
+occurrences beside those of one word.
 
 Defined cases: a null text, or one without words, has 0 words and score 0; an
 empty target makes every unigram of the target model equally likely; repeated
@@ -31,14 +37,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weir.llm.common import written
 from weir.llm.text import mix, slices, word_hashes, word_spans
 
-#: Distinct words that the smoothing allows for at least.
-VOCABULARY = (1 << 16) - 2
 #: The hash that stands for the start mark.
 START = np.uint64(0x9E3779B97F4A7C15)
 #: The commonest words, the start mark among them, that are broadcast with their counts: ids are below 2 ** 16.
@@ -49,10 +53,15 @@ BIGRAM_WEIGHT = 0.6
 SMOOTHING = 0.5
 #: Bytes of text a task works on at a time.
 CHUNK = 2 << 20
+#: Counts of chunks that a task adds up before it sends them.
+TOGETHER = 3_000_000
 #: Rows with equal numbers but for these bits get their sums together.
 HOME_BITS = 12
 #: Bigrams that a bucket holds at most, about.
 BUCKET = 2_000_000
+RARE_BUCKET = 1_000_000
+#: Counts of words that a task sends at a time.
+COUNTS_SENT = 300_000
 
 Batches = Iterator[pa.RecordBatch]
 
@@ -75,6 +84,7 @@ class Models(NamedTuple):
     """The common words, the start mark first, with what prices their bigrams: shares and counts by id, dense counts."""
 
     words: Vocabulary
+    names: np.ndarray
     unigram: np.ndarray
     contexts: np.ndarray
     hot: np.ndarray
@@ -115,31 +125,43 @@ def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
     return ((high * np.uint64(buckets)) >> np.uint64(32)).astype(np.int32)
 
 
+class _Sums:
+    """Counts by key of several chunks, so that a task sends a frequent one seldom."""
+
+    def __init__(self) -> None:
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.waiting = 0
+
+    def add(self, keys: np.ndarray, times: np.ndarray) -> bool:
+        """Whether it is time to send them."""
+        self.parts.append((keys, times))
+        self.waiting += len(keys)
+        return self.waiting > TOGETHER
+
+    def taken(self) -> tuple[np.ndarray, np.ndarray]:
+        keys, which = np.unique(np.concatenate([k for k, _ in self.parts]), return_inverse=True)
+        times = np.bincount(which, np.concatenate([t for _, t in self.parts]), len(keys)).astype(np.int64)
+        self.parts, self.waiting = [], 0
+        return keys, times
+
+
 def _words(batches: Batches) -> Batches:
-    """(word, times) of each chunk; the start mark counts documents with words."""
+    """(word, times) of some chunks; the start mark counts documents with words."""
+    sums = _Sums()
+
+    def sent() -> pa.RecordBatch:
+        names, times = sums.taken()
+        return pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(times)], ["word", "times"])
+
     for batch in batches:
         for _, _, raw, offsets in slices(batch.column("text"), CHUNK):
             _, words, bounds = _bigrams(raw, offsets)
             if len(words):
                 names, times = np.unique(words, return_counts=True)
-                names, times = np.append(names, START), np.append(times, (np.diff(bounds) > 0).sum())
-                yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(times.astype(np.int64))], ["word", "times"])
-
-
-def _rare(words: object) -> Callable[[Batches], Batches]:
-    """(context, word, times) of each chunk's bigrams that have a rare word."""
-    def run(batches: Batches) -> Batches:
-        for batch in batches:
-            for _, _, raw, offsets in slices(batch.column("text"), CHUNK):
-                before, names, _ = _bigrams(raw, offsets)
-                a, b = _ids(words.value, before, names)
-                rare = (a < 0) | (b < 0)
-                before, names = before[rare], names[rare]
-                _, at, times = np.unique(_key(before, names), return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(before[at].view(np.int64)), pa.array(names[at].view(np.int64)), pa.array(times.astype(np.int64))],
-                    ["context", "word", "times"])
-    return run
+                if sums.add(np.append(names, START), np.append(times, (np.diff(bounds) > 0).sum())):
+                    yield sent()
+    if sums.parts:
+        yield sent()
 
 
 def _both(run: Callable, columns: str, background: DataFrame, target: DataFrame, docs: DataFrame | None) -> DataFrame:
@@ -167,11 +189,6 @@ def _vocabulary(hashes: list[int]) -> Vocabulary:
     return Vocabulary(names[by], by)
 
 
-def vocabulary(background: DataFrame, target: DataFrame, size: int = COMMON - 1) -> Vocabulary:
-    """The ``size`` most frequent words of the background; only they come to the driver."""
-    return _vocabulary([r["word"] for r in _commonest(_both(_words, "word long", background, target, None), size)])
-
-
 def _dense(words: object) -> Callable[[Batches], Batches]:
     """Counts of hot bigrams, summed over the task."""
     def run(batches: Batches) -> Batches:
@@ -201,8 +218,8 @@ class Totals(NamedTuple):
 
 def _totals(words: DataFrame) -> Totals:
     sums = words.where(F.col("word") != int(START.view(np.int64))).agg(
-        F.sum("background").alias("b"), F.sum("target").alias("t"), F.sum((F.col("background") > 0).cast("long")).alias("n")).first()
-    return Totals(sums["b"] or 0, sums["t"] or 0, max(VOCABULARY, sums["n"] or 0) + 1)
+        F.sum("background").alias("b"), F.sum("target").alias("t"), F.sum((F.col("background") + F.col("target") > 0).cast("long")).alias("n")).first()
+    return Totals(sums["b"] or 0, sums["t"] or 0, (sums["n"] or 0) + 1)
 
 
 def fit(background: DataFrame, target: DataFrame, words: DataFrame, totals: Totals) -> Models:
@@ -217,28 +234,14 @@ def fit(background: DataFrame, target: DataFrame, words: DataFrame, totals: Tota
     hot = np.zeros((2, HOT * HOT))
     for r in _both(_dense(shared), "cell long", background, target, None).collect():  # HOT x HOT rows
         hot[:, r["cell"]] = r["background"], r["target"]
-    return Models(known, (contexts + SMOOTHING) / (sums + SMOOTHING * totals.kinds), contexts, hot)
-
-
-def prices(pairs: DataFrame, words: DataFrame, totals: Totals) -> DataFrame:
-    """(context, word, own, other): the loss of each bigram in the background's and in the target's model."""
-    # a word counts as a context where it ends a document, too: shares only fall short of 1
-    contexts = words.select(F.col("word").alias("context"), F.col("background").alias("c_background"), F.col("target").alias("c_target"))
-    named = words.select("word", F.col("background").alias("w_background"), F.col("target").alias("w_target"))
-
-    def loss(model: str) -> Column:
-        seen = F.col(f"c_{model}")
-        one = (F.col(f"w_{model}") + SMOOTHING) / F.lit(float(getattr(totals, model) + SMOOTHING * totals.kinds))
-        return -F.log(F.when(seen > 0, BIGRAM_WEIGHT * F.col(model) / seen + (1 - BIGRAM_WEIGHT) * one).otherwise(one))
-
-    found = pairs.join(named, "word").join(contexts, "context")
-    return written(found.select("context", "word", loss("background").alias("own"), loss("target").alias("other")), "lm-prices")
+    names = np.array([r["word"] for r in top], np.int64).view(np.uint64)
+    return Models(known, names, (contexts + SMOOTHING) / (sums + SMOOTHING * totals.kinds), contexts, hot)
 
 
 _PACKED = "bucket int, turn int, home long, keys binary, values binary"
 _NAMES = ["bucket", "turn", "home", "keys", "values"]
-# turns in a bucket: counts of common bigrams in both corpora, or prices of rare ones, then occurrences
-_BACKGROUND, _TARGET, _PRICES, _OCCURRENCES = 0, 1, 0, 2
+# turns in a bucket: counts of bigrams in both corpora, then occurrences
+_BACKGROUND, _TARGET, _OCCURRENCES = 0, 1, 2
 # Keys of common bigrams are ids times an odd number modulo 2 ** 32, so that buckets get alike shares.
 _ODD = 0x9E3779B1
 _BACK = pow(_ODD, -1, 1 << 32)
@@ -253,54 +256,55 @@ def _rows(turn: int, home: int, key: np.ndarray, values: np.ndarray, buckets: in
                                        cut(key), cut(values)], _NAMES)
 
 
-def _priced_keys(buckets: int) -> Callable[[Batches], Batches]:
-    def run(batches: Batches) -> Batches:
-        for batch in batches:
-            context, word = (batch.column(c).to_numpy().view(np.uint64) for c in ("context", "word"))
-            key = _key(context, word)
-            by = np.argsort(key)
-            values = np.stack([batch.column("own").to_numpy(), batch.column("other").to_numpy()], axis=1)
-            yield _rows(_PRICES, 0, key[by], values[by], buckets)
-    return run
-
-
 def _common_keys(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a.astype(np.uint32) << np.uint32(16) | b.astype(np.uint32)) * np.uint32(_ODD)
 
 
 def _common_counts(models: object, buckets: int, turn: int) -> Callable[[Batches], Batches]:
-    """Counts of each chunk's bigrams of common words that are not hot, by bucket."""
+    """Counts of some chunks' bigrams of common words that are not hot, by bucket."""
     def run(batches: Batches) -> Batches:
+        sums = _Sums()
+
+        def sent() -> pa.RecordBatch:
+            key, times = sums.taken()
+            return _rows(turn, 0, key, times.astype(np.uint32), buckets)
+
         for batch in batches:
             for _, _, raw, offsets in slices(batch.column("text"), CHUNK):
                 before, words, _ = _bigrams(raw, offsets)
                 a, b = _ids(models.value.words, before, words)
                 pick = (a >= 0) & (b >= 0) & ~_hot(a, b)
-                key, times = np.unique(_common_keys(a[pick], b[pick]), return_counts=True)
-                yield _rows(turn, 0, key, times.astype(np.uint32), buckets)
+                if sums.add(*np.unique(_common_keys(a[pick], b[pick]), return_counts=True)):
+                    yield sent()
+        if sums.parts:
+            yield sent()
     return run
 
 
-def _sent(models: object, buckets: int, rare: bool) -> Callable[[Batches], Batches]:
-    """Occurrences of bigrams that have a rare word, or of others that are not hot, by bucket, with the numbers of their rows."""
+def _sent(models: object, buckets: int) -> Callable[[Batches], Batches]:
+    """Occurrences of common bigrams that are not hot, by bucket, with the numbers of their rows."""
     def run(batches: Batches) -> Batches:
         for batch in batches:
             numbers = batch.column("row").to_numpy()
             for first, last, raw, offsets in slices(batch.column("text"), CHUNK):
                 before, words, bounds = _bigrams(raw, offsets)
                 a, b = _ids(models.value.words, before, words)
-                pick = (a < 0) | (b < 0) if rare else (a >= 0) & (b >= 0) & ~_hot(a, b)
-                key = _key(before[pick], words[pick]) if rare else _common_keys(a[pick], b[pick])
+                pick = (a >= 0) & (b >= 0) & ~_hot(a, b)
+                key = _common_keys(a[pick], b[pick])
                 row = np.repeat(numbers[first:last], np.diff(bounds))[pick]
                 by = np.argsort(key)
                 key, row = key[by], row[by]
                 homes = row >> HOME_BITS
                 for home in np.unique(homes):
                     own = homes == home
-                    yield _rows(_OCCURRENCES, int(home), key[own], (row[own] & ((1 << HOME_BITS) - 1)).astype(np.uint16), buckets)
+                    yield _rows(_OCCURRENCES, int(home), key[own], _places(row[own]), buckets)
     return run
 
 
+def _places(row: np.ndarray) -> np.ndarray:
+    return (row & ((1 << HOME_BITS) - 1)).astype(np.uint16)
+
+
 class _Counts:
     """Sums of counts by key, of which only the distinct keys are kept."""
 
@@ -362,29 +366,174 @@ def _priced_common(models: object) -> Callable[[Batches], Batches]:
 
 _SUMS = "home long, places binary, sums binary"
 
+# --- bigrams with a rare word, in the bucket of that word -------------------------------------
+
+_RARE = "bucket int, turn int, home long, owners binary, partners binary, values binary"
+_RARE_NAMES = ["bucket", "turn", "home", "owners", "partners", "values"]
+# turns: counts of words; counts of bigrams by key; occurrences after a common word, before one, and after a rare one
+_WORDS, _RARE_BACKGROUND, _RARE_TARGET, _AFTER, _BEFORE, _RARE_PAIR = range(6)
+
+
+def _rare_rows(turn: int, home: int, owners: np.ndarray, partners: np.ndarray, values: np.ndarray, buckets: int) -> Batches:
+    """One row a bucket, for any order of ``owners``; partners may be none."""
+    if not len(owners):
+        return
+    by = np.argsort(owners, kind="stable")
+    owners, partners, values = owners[by], partners[by] if len(partners) else partners, values[by]
+    ids, at = np.unique(_bucket(owners, buckets), return_index=True)
+    cuts = list(zip(at, np.append(at, len(owners))[1:], strict=True))
+    cut = lambda x: pa.array([x[a:b].tobytes() for a, b in cuts], pa.binary())
+    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array([turn] * len(ids), pa.int32()), pa.array([home] * len(ids), pa.int64()),
+                                      cut(owners), cut(partners), cut(values)], _RARE_NAMES)
+
+
+def _kinds(a: np.ndarray, b: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    return [(_AFTER, (a >= 0) & (b < 0)), (_BEFORE, (a < 0) & (b >= 0)), (_RARE_PAIR, (a < 0) & (b < 0))]
+
+
+def _rare_sent(models: object, buckets: int) -> Callable[[Batches], Batches]:
+    """Occurrences of bigrams with a rare word: it, its partner (an id, if common), and the place of the row."""
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            numbers = batch.column("row").to_numpy()
+            for first, last, raw, offsets in slices(batch.column("text"), CHUNK):
+                before, words, bounds = _bigrams(raw, offsets)
+                a, b = _ids(models.value.words, before, words)
+                row = np.repeat(numbers[first:last], np.diff(bounds))
+                homes = row >> HOME_BITS
+                for home in np.unique(homes):
+                    here = homes == home
+                    for turn, kind in _kinds(a, b):
+                        pick = here & kind
+                        partners = {_AFTER: a[pick].astype(np.uint16), _BEFORE: b[pick].astype(np.uint16), _RARE_PAIR: before[pick]}[turn]
+                        yield from _rare_rows(turn, int(home), (before if turn == _BEFORE else words)[pick], partners, _places(row[pick]), buckets)
+    return run
+
+
+def _rare_counts(models: object, buckets: int, turn: int) -> Callable[[Batches], Batches]:
+    """Counts of each chunk's bigrams with a rare word, by key."""
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            for _, _, raw, offsets in slices(batch.column("text"), CHUNK):
+                before, words, _ = _bigrams(raw, offsets)
+                a, b = _ids(models.value.words, before, words)
+                for kind, pick in _kinds(a, b):
+                    key, at, times = np.unique(_key(before[pick], words[pick]), return_index=True, return_counts=True)
+                    yield from _rare_rows(turn, 0, (before if kind == _BEFORE else words)[pick][at], key, times.astype(np.uint32), buckets)
+    return run
+
+
+def _asked(models: object, buckets: int) -> Callable[[Batches], Batches]:
+    """(word, bucket): the rare contexts of rare words, and where their counts are needed."""
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            for _, _, raw, offsets in slices(batch.column("text"), CHUNK):
+                before, words, _ = _bigrams(raw, offsets)
+                a, b = _ids(models.value.words, before, words)
+                pick = (a < 0) & (b < 0)
+                names, where = before[pick], _bucket(words[pick], buckets)
+                by = np.lexsort((names, where))
+                names, where = names[by], where[by]
+                new = np.append(True, (names[1:] != names[:-1]) | (where[1:] != where[:-1]))[:len(names)]
+                yield pa.RecordBatch.from_arrays([pa.array(names[new].view(np.int64)), pa.array(where[new], pa.int32())], ["word", "bucket"])
+    return run
+
+
+def _counts_sent(batches: Batches) -> Batches:
+    """Counts of words, packed by bucket, many at a time."""
+    columns = ("bucket", "word", "background", "target")
+    waiting: list[tuple[np.ndarray, ...]] = []
+
+    def sent() -> Batches:
+        bucket, names, background, target = (np.concatenate(x) for x in zip(*waiting, strict=True))
+        by = np.lexsort((names, bucket))
+        bucket, names = bucket[by], names[by]
+        # a rare word has less than one in COMMON of the background's words, but may fill the target
+        background, target = background[by].astype(np.uint32), target[by].astype(np.uint64)
+        ids, at = np.unique(bucket, return_index=True)
+        cuts = list(zip(at, np.append(at, len(bucket))[1:], strict=True))
+        cut = lambda x: pa.array([x[a:b].tobytes() for a, b in cuts], pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array([_WORDS] * len(ids), pa.int32()), pa.array([0] * len(ids), pa.int64()),
+                                          cut(names), cut(background), cut(target)], _RARE_NAMES)
 
-def _priced(batches: Batches) -> Batches:
-    """Bucket by bucket: for each row of occurrences, the documents' losses over them."""
-    now, parts, keys, values = None, [], None, None
     for batch in batches:
-        out = []
-        for bucket, turn, home, key, value in zip(*(batch.column(c).to_pylist() for c in _NAMES), strict=True):
-            if bucket != now:
-                now, parts, keys = bucket, [], None
-            if turn == _PRICES:
-                parts.append((key, value))
-                continue
-            if keys is None:
-                keys = np.frombuffer(b"".join(k for k, _ in parts), np.uint64)
-                by = np.argsort(keys)
-                keys, values = keys[by], np.frombuffer(b"".join(v for _, v in parts)).reshape(-1, 2)[by]
-                parts = []
-            wanted, place = np.frombuffer(key, np.uint64), np.frombuffer(value, np.uint16)
-            at = np.searchsorted(keys, wanted)
-            if not len(keys) or at[-1] >= len(keys) or not (keys[at] == wanted).all():
-                raise ValueError("a bigram has no price")
-            _summed(out, place, home, [values[at, 0], values[at, 1]])
-        yield from _sums(out)
+        waiting.append(tuple(batch.column(c).to_numpy() for c in columns))
+        if sum(len(w[0]) for w in waiting) > COUNTS_SENT:
+            yield from sent()
+            waiting = []
+    if any(len(w[0]) for w in waiting):
+        yield from sent()
+
+
+def _joined(rows: list[tuple], column: int, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(r[column] for r in rows), kind)
+
+
+def _found(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The values (rows) of ``wanted`` among sorted keys, 0 where there are none."""
+    if not len(keys):
+        return np.zeros((len(wanted), *values.shape[1:]))
+    at = np.searchsorted(keys, wanted).clip(0, len(keys) - 1)
+    hit = keys[at] == wanted
+    return np.where(hit[:, None] if values.ndim > 1 else hit, values[at], 0.0)
+
+
+def _bucket_sums(turns: list[list[tuple]], models: Models, totals: Totals, same: bool) -> list[tuple]:
+    """The losses of a bucket's occurrences, summed by home and place."""
+    known, first = np.unique(_joined(turns[_WORDS], 1, np.uint64), return_index=True)
+    of_word = np.stack([_joined(turns[_WORDS], 2, np.uint32), _joined(turns[_WORDS], 3, np.uint64)], axis=1)[first].astype(np.float64)
+    key, place, home, context, word = [], [], [], [], []
+    for turn in (_AFTER, _BEFORE, _RARE_PAIR):
+        rows = turns[turn]
+        owner, partner = _joined(rows, 1, np.uint64), _joined(rows, 2, np.uint64 if turn == _RARE_PAIR else np.uint16)
+        own = _found(known, of_word, owner)
+        if turn == _RARE_PAIR:
+            other, name = _found(known, of_word, partner), partner
+        else:
+            other, name = models.contexts.T[partner], models.names[partner]
+        key.append(_key(owner, name) if turn == _BEFORE else _key(name, owner))
+        context.append(own if turn == _BEFORE else other)
+        word.append(other if turn == _BEFORE else own)
+        place.append(_joined(rows, 3, np.uint16))
+        home.append(np.repeat(np.array([r[0] for r in rows], np.int64), [len(r[1]) // 8 for r in rows]))
+    key, place, home, context, word = (np.concatenate(x) for x in (key, place, home, context, word))
+    if not len(key):
+        return []
+
+    def counted(turn: int) -> np.ndarray:
+        names, which = np.unique(_joined(turns[turn], 2, np.uint64), return_inverse=True)
+        return _found(names, np.bincount(which, _joined(turns[turn], 3, np.uint32), len(names)), key)
+
+    if same:
+        _, which, times = np.unique(key, return_inverse=True, return_counts=True)
+        background = times[which].astype(float)
+    else:
+        background = counted(_RARE_BACKGROUND)
+    losses = []
+    for m, (times, every) in enumerate(((background, totals.background), (counted(_RARE_TARGET), totals.target))):
+        seen = context[:, m]
+        one = (word[:, m] + SMOOTHING) / (every + SMOOTHING * totals.kinds)
+        given = np.divide(times, seen, out=np.zeros(len(times)), where=seen > 0)
+        weight = np.where(seen > 0, BIGRAM_WEIGHT, 0.0)
+        losses.append(-np.log(weight * given + (1 - weight) * one))
+    spot, which = np.unique(home << HOME_BITS | place, return_inverse=True)
+    sums = np.stack([np.bincount(which, x, len(spot)) for x in losses], axis=1)
+    homes, at = np.unique(spot >> HOME_BITS, return_index=True)
+    return [(int(h), _places(spot[a:b]).tobytes(), sums[a:b].tobytes()) for h, a, b in zip(homes, at, np.append(at, len(spot))[1:], strict=True)]
+
+
+def _rare_priced(models: object, totals: Totals, same: bool) -> Callable[[Batches], Batches]:
+    """Bucket by bucket, one in memory at a time: the documents' losses over their bigrams with rare words."""
+    def run(batches: Batches) -> Batches:
+        now, turns = None, [[] for _ in range(6)]
+        for batch in batches:
+            for bucket, turn, *row in zip(*(batch.column(c).to_pylist() for c in _RARE_NAMES), strict=True):
+                if bucket != now:
+                    yield from _sums(_bucket_sums(turns, models.value, totals, same))
+                    now, turns = bucket, [[] for _ in range(6)]
+                turns[turn].append(row)
+        yield from _sums(_bucket_sums(turns, models.value, totals, same))
+    return run
 
 
 def _own(models: object) -> Callable[[Batches], Batches]:
@@ -442,7 +591,7 @@ def _added(batches: Batches) -> Batches:
 
 def numbered(docs: DataFrame) -> DataFrame:
     """(doc_id, text, row) of ``docs``: a number for each row, written with it, so all passes see the same."""
-    return written(docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row")), "lm-documents")
+    return written(docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row")), "lm-documents", compression="zstd")
 
 
 def score(docs: DataFrame, background: DataFrame, target: DataFrame) -> DataFrame:
@@ -458,22 +607,46 @@ def score(docs: DataFrame, background: DataFrame, target: DataFrame) -> DataFram
     models = spark.sparkContext.broadcast(fit(background, target, words, totals))
     texts = numbered(docs)
 
-    def back(packed: DataFrame, priced: Callable) -> DataFrame:
-        rows = packed.repartitionById(parts, "bucket").sortWithinPartitions("bucket", "turn").mapInArrow(priced, _SUMS)
-        return rows.select("home", F.lit(1).alias("turn"), F.lit(None).cast("array<long>").alias("doc_ids"),
-                           F.lit(None).cast("binary").alias("words"), "places", "sums")
-
     buckets = max(parts, totals.background // BUCKET + 1)
     counts = [df.select("text").mapInArrow(_common_counts(models, buckets, turn), _PACKED) for turn, df in ((_BACKGROUND, background), (_TARGET, target))]
-    sums = back(counts[0].unionByName(counts[1]).unionByName(texts.mapInArrow(_sent(models, buckets, False), _PACKED)), _priced_common(models))
+    packed = counts[0].unionByName(counts[1]).unionByName(texts.mapInArrow(_sent(models, buckets), _PACKED))
+    sums = _losses(packed, _priced_common(models), parts)
     if words.count() > COMMON:  # the start mark is one of them
-        known = spark.sparkContext.broadcast(models.value.words)
-        pairs = _both(_rare(known), "context long, word long", background, target, docs)
-        priced = prices(pairs, words, totals)
-        split = max(parts, priced.count() // BUCKET + 1)
-        packed = priced.mapInArrow(_priced_keys(split), _PACKED).unionByName(texts.mapInArrow(_sent(models, split, True), _PACKED))
-        sums = sums.unionByName(back(packed, _priced))
+        sums = sums.unionByName(_rare_sums(texts, words, models, totals, None if docs is background else background, target))
     own = (texts.mapInArrow(_own(models), "home long, doc_ids array<long>, words binary, places binary, sums binary")
            .select("home", F.lit(0).alias("turn"), "doc_ids", "words", "places", "sums"))
     return (own.unionByName(sums).repartition(parts, "home").sortWithinPartitions("home", "turn")
             .mapInArrow(_added, "doc_id long, n_words long, target_loss double, background_loss double, score double"))
+
+
+def _losses(packed: DataFrame, priced: Callable, parts: int) -> DataFrame:
+    """Sums by home of what comes packed by bucket."""
+    rows = packed.repartitionById(parts, "bucket").sortWithinPartitions("bucket", "turn").mapInArrow(priced, _SUMS)
+    return rows.select("home", F.lit(1).alias("turn"), F.lit(None).cast("array<long>").alias("doc_ids"),
+                       F.lit(None).cast("binary").alias("words"), "places", "sums")
+
+
+def _rare_sums(texts: DataFrame, words: DataFrame, models: object, totals: Totals, background: DataFrame | None, target: DataFrame) -> DataFrame:
+    """Losses over bigrams with a rare word; without a ``background`` of its own, the texts are it."""
+    spark = texts.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rare = words.join(F.broadcast(spark.createDataFrame([(int(w),) for w in models.value.names.view(np.int64)], "word long")), "word", "left_anti")  # COMMON at most
+    # a word of rare ones is in two bigrams
+    buckets = int(max(parts, 2 * (rare.agg(F.sum("background")).first()[0] or 0) // RARE_BUCKET + 1))
+    of_owner = rare.mapInArrow(_owner_bucket(buckets), "word long, bucket int, background long, target long")
+    of_context = texts.mapInArrow(_asked(models, buckets), "word long, bucket int").distinct().join(rare, "word").select("word", "bucket", "background", "target")
+    packed = of_owner.unionByName(of_context).mapInArrow(_counts_sent, _RARE)
+    for turn, corpus in ((_RARE_BACKGROUND, background), (_RARE_TARGET, target)):
+        if corpus is not None:
+            packed = packed.unionByName(corpus.select("text").mapInArrow(_rare_counts(models, buckets, turn), _RARE))
+    packed = packed.unionByName(texts.mapInArrow(_rare_sent(models, buckets), _RARE))
+    return _losses(packed, _rare_priced(models, totals, background is None), parts)
+
+
+def _owner_bucket(buckets: int) -> Callable[[Batches], Batches]:
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            names = batch.column("word").to_numpy().view(np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(_bucket(names, buckets), pa.int32()), batch.column("background"), batch.column("target")],
+                                             ["word", "bucket", "background", "target"])
+    return run
