@@ -164,6 +164,16 @@ def csv_multiline_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_csv(spark, staging.conversations_csv(spark, sf_dir), header=False, multi_line=True)
 
 
+def json_array_split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file with one JSON array of all records, read by many tasks."""
+    return sources.read_json_arrays(spark, staging.record_array(spark, sf_dir), RECORD)
+
+
+def csv_records_split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One CSV file with line ends inside quotes and a header, read by many tasks."""
+    return sources.read_csv_records(spark, staging.conversations_one_csv(spark, sf_dir), header=True)
+
+
 def parquet_merge_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     v1, v2 = staging.orders_two_schemas(spark, sf_dir)
     return sources.read_parquet_merged(spark, v1, v2)
@@ -435,6 +445,8 @@ JOBS: dict[str, Job] = {
     "csv_inferred_scan": csv_inferred_scan,
     "csv_noheader_scan": csv_noheader_scan,
     "csv_multiline_scan": csv_multiline_scan,
+    "json_array_split_scan": json_array_split_scan,
+    "csv_records_split_scan": csv_records_split_scan,
     "parquet_merge_schema": parquet_merge_schema,
     "range_source": range_source,
     "object_listing": object_listing,
@@ -474,6 +486,8 @@ INPUT_TABLES: dict[str, tuple[str, ...]] = {
     "csv_inferred_scan": ("part",),
     "csv_noheader_scan": ("customer",),
     "csv_multiline_scan": ("conversations",),
+    "json_array_split_scan": ("documents",),
+    "csv_records_split_scan": ("conversations",),
     "parquet_merge_schema": ("orders",),
     "range_source": ("orders",),
     "object_listing": ("events",),

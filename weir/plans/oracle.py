@@ -111,6 +111,10 @@ FROM (SELECT DISTINCT c_custkey % 4 AS file_no FROM customer)
 """,
     "csv_multiline_scan": """
 SELECT CAST(conv_id AS VARCHAR) AS _c0, CAST(turn AS VARCHAR) AS _c1, role AS _c2, text AS _c3 FROM conversations
+""",
+    "json_array_split_scan": _RECORDS.format(uid='"userId"'),
+    "csv_records_split_scan": """
+SELECT CAST(conv_id AS VARCHAR) AS conv_id, CAST(turn AS VARCHAR) AS turn, role, text FROM conversations
 """,
     "parquet_merge_schema": """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, NULL::VARCHAR AS o_orderpriority

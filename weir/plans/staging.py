@@ -286,3 +286,20 @@ def events_case_keys(spark: SparkSession, sf_dir: str) -> str:
         body = F.to_json(F.struct(F.col("event_id").alias("id"), F.col("user_id").alias("ID")))
         events.select(body.alias("value")).write.mode("overwrite").text(path)
     return _once(spark, sf_dir, "events_case_keys", build)
+
+
+# --- one file, however large the table -----------------------------------------
+
+def record_array(spark: SparkSession, sf_dir: str) -> str:
+    """All records of ``documents`` as one file with one JSON array, as a fetched document lands."""
+    def build(path: str) -> None:
+        docs = table(spark, sf_dir, "documents")
+        write_json_arrays(records_frame(docs).withColumn("doc_key", F.col("id")), path, "doc_key", rows_per_file=max(1, docs.count()))
+    return _once(spark, sf_dir, "record_array", build)
+
+
+def conversations_one_csv(spark: SparkSession, sf_dir: str) -> str:
+    """``conversations`` as one CSV file with a header and line ends inside quotes."""
+    def build(path: str) -> None:
+        csv_export(table(spark, sf_dir, "conversations").coalesce(1), path, header=True)
+    return _once(spark, sf_dir, "conversations_one_csv", build)

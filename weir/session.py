@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -126,6 +127,19 @@ def build_session(
     return builder.getOrCreate()
 
 
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers import this package where it is not installed.
+
+    Workers get the package root on their path; on a cluster the package is
+    installed, or shipped with ``--py-files``, as usual.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for staged inputs and lineage cuts.
 

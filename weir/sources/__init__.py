@@ -2,6 +2,8 @@ from weir.sources.files import (
     integer_range,
     list_objects,
     read_csv,
+    read_csv_records,
+    read_json_arrays,
     read_json_documents,
     read_json_lines,
     read_landed_documents,
@@ -22,6 +24,8 @@ __all__ = [
     "kafka_options",
     "list_objects",
     "read_csv",
+    "read_csv_records",
+    "read_json_arrays",
     "read_json_documents",
     "read_json_lines",
     "read_kafka_batch",

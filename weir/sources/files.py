@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from weir import folders
 from weir.session import fresh_path
+from weir.sources.split import csv_records, json_elements
 
 
 def read_json_documents(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -28,6 +29,34 @@ def read_json_documents(spark: SparkSession, path: str, schema: T.StructType) ->
     return df.select(*schema.fieldNames())
 
 
+def read_json_arrays(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Files that hold JSON arrays, of any size: each is read by many tasks (see :mod:`weir.sources.split`).
+
+    One row per element; a file that holds one object gives one row.  An element
+    that can't be read is a row of nulls, the others are not touched by it.
+    """
+    parsed = json_elements(spark, path).select(F.from_json("value", schema).alias("row"))
+    return parsed.select("row.*").select(*schema.fieldNames())
+
+
+def read_csv_records(spark: SparkSession, path: str, *, header: bool = False, schema: T.StructType | str | None = None) -> DataFrame:
+    """CSV with line ends inside quotes, in files of any size: like :func:`read_csv` with ``multi_line``, but each is read by many tasks.
+
+    With ``header`` the first record of each file names the columns (those of
+    one file hold for all) and is no row.
+    """
+    if schema is None:  # looks at the first record of one file
+        names = read_csv(spark, path, header=header, multi_line=True).columns
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    elif isinstance(schema, str):
+        schema = T._parse_datatype_string(schema)
+    records = csv_records(spark, path)
+    if header:
+        records = records.where("NOT first")
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    return records.select(F.from_csv("value", F.lit(ddl), {"escape": '"'}).alias("row")).select("row.*")
+
+
 def read_landed_documents(spark: SparkSession, path: str, schema: T.StructType,
                           payload_col: str = "payload") -> DataFrame:
     """Documents landed as JSON-lines payloads (see ``sinks.land_raw``) -> declared columns.
