@@ -183,3 +183,81 @@ def test_jdbc_sink_replay_replaces_its_batch(spark, scratch, sf_small):
     valid = staging.table(spark, sf_small, "events").filter(F.col("event_type") != "error").count()
     assert table.count() == valid
     assert table.select("message_id").distinct().count() == valid
+
+
+def test_redelivered_messages_come_once(spark, sf_small):
+    topic = sources.read_topic_files(spark, staging.sensor_topic_redelivered(spark, sf_small))
+    n = staging.table(spark, sf_small, "events").count()
+    per_key = {r["n"]: r["keys"] for r in topic.groupBy("key").agg(F.count(F.lit(1)).alias("n")).groupBy("n").agg(F.count(F.lit(1)).alias("keys")).collect()}
+    assert set(per_key) == {1, 2, 3} and sum(per_key.values()) == n
+    got = jobs.stream_redelivered(spark, sf_small)
+    expected = ops.conform(jobs.sensor_flatten(spark, sf_small), SENSOR_TARGET)
+    assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
+
+
+def test_redelivery_across_a_restart_and_state_behind_the_watermark(spark, scratch, sf_small):
+    from weir.plans import ingest
+
+    run = scratch("again")
+    topic = staging.sensor_topic_redelivered(spark, sf_small)
+    sink = ingest.sensor_table_sink(f"{run}/t")
+
+    def stream():
+        return ingest.flattened_sensor_stream(sources.stream_topic_files(spark, topic, 1), ("timestamp", "1 minute"), once=True)
+
+    with pytest.raises(Exception, match="injected failure"):
+        run_available(stream(), FailOnce(sink, after_batch=3), f"{run}/ck")
+    query = run_available(stream(), sink, f"{run}/ck")
+    ids = read_batches(spark, f"{run}/t", SENSOR_TARGET).select("message_id")
+    valid = staging.table(spark, sf_small, "events").filter(F.col("event_type") != "error").count()
+    assert ids.count() == valid == ids.distinct().count()
+    states = [s for p in query.recentProgress for s in p["stateOperators"]]
+    assert states and all(s["numRowsDroppedByWatermark"] == 0 for s in states)
+    # ids that the watermark has passed are gone: far fewer are held than the stream has had
+    assert states[-1]["numRowsTotal"] < staging.table(spark, sf_small, "events").count() / 4
+
+
+def test_messages_without_an_id_are_no_copies(spark):
+    rows = [(f"m{i}".encode() if i else None, v, "t", 0, i) for i, v in enumerate([b"nope", b"nope", b'{"id":"a"}', b'{"id":"a"}', b'{"id":"b"}', None])]
+    df = spark.createDataFrame(rows, "key binary, value binary, topic string, partition int, offset long").withColumn("timestamp", F.current_timestamp())
+    parsed = ops.parse_messages(df, keep=("timestamp", *ops.PLACE))
+    assert sorted(str(r[0]) for r in ops.drop_redelivered(parsed, "1 minute").select("data.id").collect()) == ["None", "None", "None", "a", "b"]
+
+
+def test_a_failure_of_any_query_ends_the_wait(spark, scratch, sf_small):
+    import time
+
+    from weir.streaming import await_all
+
+    rate = lambda: spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+
+    def broken(df, i):
+        raise RuntimeError("second query broke")
+
+    first = start_stream(rate(), lambda df, i: None, scratch("a"), trigger=None)
+    second = start_stream(rate(), broken, scratch("b"), trigger=None)
+    began = time.time()
+    with pytest.raises(Exception, match="second query broke"):
+        await_all(first, second)
+    assert time.time() - began < 60 and not first.isActive and not second.isActive
+
+
+def test_a_failed_query_starts_again_from_its_checkpoint(spark, scratch, sf_small):
+    from weir.streaming import supervise
+
+    topic = staging.sensor_topic_capped(spark, sf_small, 300)
+    run = scratch("supervised")
+    sinks = {n: IdempotentFileSink(f"{run}/{n}") for n in "ab"}
+    once = FailOnce(sinks["b"], after_batch=1)
+
+    def starter(name, fn):
+        return lambda: start_stream(ops.raw_message_view(sources.stream_topic_files(spark, topic, 1)), fn, f"{run}/ck-{name}")
+
+    queries = supervise(starter("a", sinks["a"]), starter("b", once), restarts=1)
+    assert not any(q.isActive for q in queries) and not once.armed
+    n = staging.table(spark, sf_small, "events").count()
+    assert [read_batches(spark, f"{run}/{name}").select("offset").distinct().count() for name in "ab"] == [n, n]
+    assert [read_batches(spark, f"{run}/{name}").count() for name in "ab"] == [n, n]
+    again = FailOnce(sinks["b"], after_batch=0)
+    with pytest.raises(Exception, match="injected failure"):
+        supervise(lambda: start_stream(ops.raw_message_view(sources.stream_topic_files(spark, topic, 1)), again, scratch("ck")), restarts=0)

@@ -9,13 +9,16 @@ from weir.operators.flatten import (
     weather_core,
 )
 from weir.operators.conform import conform
+from weir.operators.redelivery import PLACE, drop_redelivered
 from weir.operators.rename import positional_rename
 from weir.operators.reports import load_report, row_count
 from weir.operators.validate import MissingColumnsError, missing_columns, require_columns
 
 __all__ = [
+    "PLACE",
     "MissingColumnsError",
     "conform",
+    "drop_redelivered",
     "flatten_sensor",
     "flatten_weather",
     "load_report",

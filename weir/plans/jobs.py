@@ -284,7 +284,7 @@ def raw_land_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = fresh_path(spark, "raw_landing")
     sinks.land_raw(pages.select("page_id", F.col("url").alias("payload")), landing, ["page_id", "payload"])
     sinks.land_raw(pages.select("page_id", F.col("html").alias("payload")), landing, ["page_id", "payload"])
-    return sources.read_json_lines(spark, landing, PAGE_PAYLOAD)
+    return sources.read_json_lines(spark, sources.current_landing(spark, landing), PAGE_PAYLOAD)
 
 
 def sorted_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -340,6 +340,14 @@ def stream_watermark_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_sensor_table(spark, table)
 
 
+def stream_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages delivered one to three times, out of order: each once, told by a state that follows the watermark."""
+    run = fresh_path(spark, "redelivered")
+    messages = sources.stream_topic_files(spark, staging.sensor_topic_redelivered(spark, sf_dir), max_files_per_trigger=1)
+    ingest.sensor_stream_to_table(messages, f"{run}/table", f"{run}/checkpoint", once=True)
+    return _read_sensor_table(spark, f"{run}/table")
+
+
 def stream_restart_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fail after writing the first batch, restart: every message exactly once.
 
@@ -459,6 +467,7 @@ JOBS: dict[str, Job] = {
     "sorted_layout": sorted_layout,
     "stream_sensor_ingest": stream_sensor_ingest,
     "stream_watermark_passthrough": stream_watermark_passthrough,
+    "stream_redelivered": stream_redelivered,
     "stream_restart_resume": stream_restart_resume,
     "batch_row_counts": batch_row_counts,
     "stream_empty_batch": stream_empty_batch,
@@ -500,6 +509,7 @@ INPUT_TABLES: dict[str, tuple[str, ...]] = {
     "sorted_layout": ("events",),
     "stream_sensor_ingest": ("events",),
     "stream_watermark_passthrough": ("events",),
+    "stream_redelivered": ("events",),
     "stream_restart_resume": ("events",),
     "batch_row_counts": ("events",),
     "stream_empty_batch": ("events",),

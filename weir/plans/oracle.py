@@ -66,6 +66,7 @@ SELECT 'without sensor_id' AS "case", 'sensor_id' AS missing, CAST(0 AS BIGINT)
 """,
     "stream_sensor_ingest": _SENSOR_TABLE,
     "stream_watermark_passthrough": _SENSOR_TABLE,
+    "stream_redelivered": _SENSOR_TABLE,
     "stream_restart_resume": _SENSOR_TABLE,
     "kafka_raw_view": f"""
 SELECT CAST(event_id AS VARCHAR) AS "offset", ts AS "timestamp", {_MESSAGE_TEXT} AS raw_data FROM events

@@ -137,6 +137,29 @@ def sensor_topic_shuffled(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "sensor_topic_shuffled", build)
 
 
+def sensor_topic_redelivered(spark: SparkSession, sf_dir: str) -> str:
+    """Each message delivered one to three times within 50 s, in files that come in order but are not ordered inside.
+
+    A copy has a later broker time and an offset of its own.  Files are written
+    one after the other, as a topic's messages arrive: a file stream reads
+    the oldest first.
+    """
+    def build(path: str) -> None:
+        frames = kafka_frames(sensor_envelope(table(spark, sf_dir, "events")))
+        some = lambda n, *c: F.pmod(F.xxhash64(*c), F.lit(n))
+        copies = frames.withColumn("copy", F.explode(F.sequence(F.lit(0), some(3, "key").cast("int"))))
+        later = F.col("copy") * (some(20, "offset") + 5)
+        sent = (copies.withColumn("timestamp", F.timestamp_seconds(F.unix_micros("timestamp") / 1e6 + later))
+                .withColumn("offset", F.col("offset") * 3 + F.col("copy"))
+                .withColumn("arrival", F.unix_micros("timestamp") + 1_000_000 * some(10, "offset", "copy")).drop("copy"))
+        n = max(MIN_TOPIC_FILES, math.ceil(sent.count() / ROWS_PER_TOPIC_FILE))
+        cuts = sent.agg(F.percentile_approx("arrival", [i / n for i in range(1, n)], 100_000).alias("cuts")).first()["cuts"] or []
+        for low, high in zip([None, *cuts], [*cuts, None], strict=True):
+            part = sent.where((F.lit(low is None) | (F.col("arrival") >= low)) & (F.lit(high is None) | (F.col("arrival") < high)))
+            part.drop("arrival").coalesce(1).write.mode("append").parquet(path)
+    return _once(spark, sf_dir, "sensor_topic_redelivered", build)
+
+
 def sensor_topic_invalid(spark: SparkSession, sf_dir: str) -> str:
     """Message files in which no message passes the validity filter."""
     def build(path: str) -> None:

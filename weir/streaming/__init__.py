@@ -8,7 +8,7 @@ from weir.streaming.batch_sinks import (
     read_batches,
     write_batch_partition,
 )
-from weir.streaming.runner import await_all, check_event_time, console_debug, run_available, start_stream
+from weir.streaming.runner import await_all, check_event_time, console_debug, run_available, start_stream, supervise
 
 __all__ = [
     "BatchLog",
@@ -23,5 +23,6 @@ __all__ = [
     "read_batches",
     "run_available",
     "start_stream",
+    "supervise",
     "write_batch_partition",
 ]
