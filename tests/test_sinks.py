@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
-from weir import sinks, sources
+from weir import folders, landings, sinks, sources
 from weir.functions.json import decode_json
 from weir.plans.jobs import DERBY_DRIVER, _derby_url
 from weir.schemas import SENSOR_ENVELOPE
+from weir.sinks.jdbc import table_exists
+from weir.sources import current_landing
 
 
 def test_jdbc_append_then_refresh(spark):
@@ -40,9 +43,10 @@ def test_land_raw_replaces_and_skips_empty(spark, scratch):
     second = spark.createDataFrame([("three",), ("four",)], "payload string")
     assert sinks.land_raw(first, p)
     assert sinks.land_raw(second, p)
-    assert sorted(r[0] for r in spark.read.schema("payload string").json(p).collect()) == ["four", "three"]
+    landed = lambda: spark.read.schema("payload string").json(current_landing(spark, p))
+    assert sorted(r[0] for r in landed().collect()) == ["four", "three"]
     assert not sinks.land_raw(second.limit(0), p)
-    assert spark.read.schema("payload string").json(p).count() == 2
+    assert landed().count() == 2
 
 
 def test_landing_survives_empty_payloads_and_failed_writes(spark, scratch):
@@ -56,7 +60,49 @@ def test_landing_survives_empty_payloads_and_failed_writes(spark, scratch):
         pass
     else:
         raise AssertionError("a failed landing was not raised")
-    assert [r[0] for r in spark.read.schema("payload string").json(p).collect()] == ["kept"]
+    assert [r[0] for r in spark.read.schema("payload string").json(current_landing(spark, p)).collect()] == ["kept"]
+
+
+def test_a_crash_at_any_step_leaves_the_old_landing_or_the_new_one(spark, scratch, monkeypatch):
+    frame = lambda *texts: spark.createDataFrame([(t,) for t in texts], "payload string")
+    read = lambda p: sorted(r[0] for r in spark.read.schema("payload string").json(current_landing(spark, p)).collect())
+    for step in ("point", "write_small", "forget"):
+        p = scratch("landing")
+        for old in ("older", "old"):
+            sinks.land_raw(frame(old), p)
+        with monkeypatch.context() as m:
+            where = folders if step == "write_small" else landings
+            m.setattr(where, step, lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
+            with pytest.raises(RuntimeError, match="killed"):
+                sinks.land_raw(frame("new", "new 2"), p)
+        assert read(p) == (["new", "new 2"] if step == "forget" else ["old"])
+        if step == "point":  # a pointer that was torn while it was written
+            folders.write_small(spark, f"{p}/_pointers/{99:012d}", "landing-2-00")
+            assert read(p) == ["old"]
+        assert sinks.land_raw(frame("new", "new 2"), p)
+        assert read(p) == ["new", "new 2"]
+
+
+def test_equal_payloads_are_landed_once(spark, scratch):
+    p = scratch("landing")
+    frame = lambda *texts: spark.createDataFrame([(t,) for t in texts], "payload string").repartition(3)
+    assert sinks.land_raw(frame("a", "b", "b"), p)
+    before = sorted(f for f, _, _ in folders.statuses(spark, p))
+    assert sinks.land_raw(frame("b", "a", "b"), p)
+    assert sorted(f for f, _, _ in folders.statuses(spark, p)) == before
+    assert sinks.land_raw(frame("a", "b"), p) and sinks.land_raw(frame("a"), p)
+    assert len([n for n in folders.names(spark, p) if n.startswith("landing-")]) == 2  # the current and the one before
+
+
+def test_table_exists_tells_missing_from_broken(spark):
+    url = _derby_url(spark, "exists")
+    sinks.append_table(spark.range(2), url, "SOME_T", driver=DERBY_DRIVER)
+    assert table_exists(spark, url, "SOME_T", driver=DERBY_DRIVER)
+    assert table_exists(spark, url, "some_t", driver=DERBY_DRIVER)
+    assert not table_exists(spark, url, "SOMEXT", driver=DERBY_DRIVER)
+    assert not table_exists(spark, url, "NOWHERE.SOME_T", driver=DERBY_DRIVER)
+    with pytest.raises(Exception, match="not found|No suitable|refused|Database"):
+        table_exists(spark, url.replace(";create=true", "_gone"), "SOME_T", driver=DERBY_DRIVER)
 
 
 def test_failed_refresh_keeps_the_old_rows(spark):

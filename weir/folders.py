@@ -24,25 +24,29 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where)
 
 
-def replace(spark: SparkSession, new: str, target: str) -> None:
-    """Put the finished folder ``new`` in the place of ``target``.
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in the folder ``path``; none, if it isn't there."""
+    fs, where = _of(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(where)] if fs.exists(where) else []
 
-    The old folder is set aside, and put back if the new one can't be moved, so
-    a failure leaves one of the two in place.
-    """
-    fs, source = _of(spark, new)
-    _, goal = _of(spark, target)
-    aside = _of(spark, target.rstrip("/") + ".replaced")[1]
-    fs.delete(aside, True)
-    fs.mkdirs(goal.getParent())
-    had = fs.exists(goal)
-    if had and not fs.rename(goal, aside):
-        raise OSError(f"can't set {target} aside")
-    if not fs.rename(source, goal):
-        if had:
-            fs.rename(aside, goal)
-        raise OSError(f"can't move {new} to {target}")
-    fs.delete(aside, True)
+
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """A new small file; fails if there is one."""
+    fs, where = _of(spark, path)
+    out = fs.create(where, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    fs, where = _of(spark, path)
+    stream = fs.open(where)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
 
 
 def statuses(spark: SparkSession, path: str) -> Iterator[tuple[str, int, int]]:

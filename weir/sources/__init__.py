@@ -1,4 +1,5 @@
 from weir.sources.files import (
+    current_landing,
     integer_range,
     list_objects,
     read_csv,
@@ -19,6 +20,7 @@ from weir.sources.kafka import (
 )
 
 __all__ = [
+    "current_landing",
     "integer_range",
     "jdbc_options",
     "kafka_options",

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weir import folders
+from weir import folders, landings
 from weir.session import fresh_path
 from weir.sources.split import csv_records, json_elements
 
@@ -57,6 +57,11 @@ def read_csv_records(spark: SparkSession, path: str, *, header: bool = False, sc
     return records.select(F.from_csv("value", F.lit(ddl), {"escape": '"'}).alias("row")).select("row.*")
 
 
+def current_landing(spark: SparkSession, path: str) -> str:
+    """The folder of the landing at ``path`` that counts (see ``sinks.land_raw``)."""
+    return landings.current(spark, path)
+
+
 def read_landed_documents(spark: SparkSession, path: str, schema: T.StructType,
                           payload_col: str = "payload") -> DataFrame:
     """Documents landed as JSON-lines payloads (see ``sinks.land_raw``) -> declared columns.
@@ -65,7 +70,7 @@ def read_landed_documents(spark: SparkSession, path: str, schema: T.StructType,
     however many documents it holds; each payload is parsed once.  A payload
     that is an array gives one row per element, one that can't be read a row of nulls.
     """
-    landed = spark.read.schema(T.StructType([T.StructField(payload_col, T.StringType())])).json(path)
+    landed = spark.read.schema(T.StructType([T.StructField(payload_col, T.StringType())])).json(current_landing(spark, path))
     # an array gives one row per element; an object is read as an array of one
     parsed = landed.select(F.inline_outer(F.from_json(F.col(payload_col), T.ArrayType(schema))))
     return parsed.select(*schema.fieldNames())
