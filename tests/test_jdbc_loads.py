@@ -1,0 +1,139 @@
+"""Loads that survive retried tasks and dead drivers; refreshes that write only changes (embedded Derby)."""
+
+from __future__ import annotations
+
+import os
+import subprocess
+import sys
+import textwrap
+
+import pytest
+from pyspark.sql import functions as F
+
+from weir import sinks, sources
+from weir.plans.jobs import DERBY_DRIVER, _derby_url
+from weir.sinks import jdbc, jdbc_loads
+
+CONN = {"driver": DERBY_DRIVER}
+
+
+def rows(spark, url, table="T"):
+    return sorted(tuple(r) for r in sources.read_table(spark, url, table, **CONN).collect())
+
+
+def loads(spark, url):
+    return sorted(r[0] for r in sources.read_table(spark, url, "T_loads", **CONN).collect())
+
+
+def tables(spark, url):
+    found = sources.read_table(spark, url, "SYS.SYSTABLES", **CONN).where("TABLETYPE = 'T'").select("TABLENAME").collect()
+    return sorted(r[0] for r in found)
+
+
+def test_a_load_is_published_once(spark):
+    url = _derby_url(spark, "once")
+    df = spark.range(100).select("id", (F.col("id") * 2).alias("Mixed Name"))
+    assert sinks.append_once(df, url, "T", "monday", max_connections=3, **CONN)
+    assert not sinks.append_once(df, url, "T", "monday", **CONN)
+    assert sinks.append_once(df.where("id < 5"), url, "T", "tuesday's", **CONN)
+    assert sinks.append_once(df.limit(0), url, "T", "nothing", **CONN)
+    assert rows(spark, url) == sorted([(i, 2 * i) for i in range(100)] + [(i, 2 * i) for i in range(5)])
+    assert loads(spark, url) == ["monday", "nothing", "tuesday's"]
+    assert tables(spark, url) == ["T", "T_LOADS"]
+    with pytest.raises(ValueError, match="load_id"):
+        sinks.append_once(df, url, "T", "", **CONN)
+
+
+def test_unfinished_and_second_attempts_do_not_count(spark, monkeypatch):
+    """What lost attempts leave in the staging table: rows without a marker, and a second whole attempt."""
+    url = _derby_url(spark, "attempts")
+    plain = jdbc.append_table
+
+    def staged(df, to, table, **kw):
+        plain(df, to, table, **kw)
+        if jdbc_loads.ATTEMPT in df.columns:
+            held = sources.read_table(spark, to, table, **CONN)
+            again = held.collect()
+            lost = [(*r[:-2], r[jdbc_loads.ATTEMPT] + 1000, r[jdbc_loads.ROWS]) for r in again]
+            half = [(*r[:-2], r[jdbc_loads.ATTEMPT] - 1000, None) for r in again if r[jdbc_loads.ROWS] is None and r["id"] % 3]
+            plain(spark.createDataFrame(lost + half, held.schema), to, table, **kw)
+
+    monkeypatch.setattr(jdbc_loads, "append_table", staged)
+    assert sinks.append_once(spark.range(60).toDF("id").repartition(4), url, "T", "load", **CONN)
+    assert rows(spark, url) == [(i,) for i in range(60)]
+
+
+def test_a_driver_that_dies_before_publishing_can_start_again(spark, monkeypatch):
+    url = _derby_url(spark, "dies")
+    with monkeypatch.context() as m:
+        m.setattr(jdbc_loads, "execute", lambda s, u, texts, **kw: (_ for _ in ()).throw(RuntimeError("killed")) if "INSERT" in texts[0] else jdbc.execute(s, u, texts, **kw))
+        with pytest.raises(RuntimeError, match="killed"):
+            sinks.append_once(spark.range(10).toDF("id"), url, "T", "load", **CONN)
+    assert rows(spark, url) == [] and loads(spark, url) == []
+    assert sinks.append_once(spark.range(10).toDF("id"), url, "T", "load", **CONN)
+    assert rows(spark, url) == [(i,) for i in range(10)]
+
+
+def test_a_task_that_fails_in_the_middle_and_is_retried(tmp_path):
+    """Without transactions in the database, with real retries: a session of its own that allows them."""
+    code = f"""
+    import os, sys
+    sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})
+    from weir.session import build_session
+    from weir import sinks, sources
+    spark = build_session(master="local[2,4]", conf={{"spark.ui.enabled": "false", "spark.sql.execution.arrow.maxRecordsPerBatch": "10"}})
+    spark.sparkContext.setLogLevel("OFF")
+    spark.sparkContext.setCheckpointDir({str(tmp_path / "ck")!r})
+    flag = {str(tmp_path / "failed")!r}
+
+    def fail_once(batches):
+        for i, batch in enumerate(batches):
+            if i == 2 and not os.path.exists(flag):
+                open(flag, "w").close()
+                raise RuntimeError("lost")
+            yield batch
+
+    from pyspark.sql import functions as F
+    df = spark.range(0, 200, 1, 4).mapInArrow(fail_once, "id long")
+    url = "jdbc:derby:{tmp_path}/db;create=true"
+    conn = {{"driver": {DERBY_DRIVER!r}, "extra": {{"isolationLevel": "NONE", "batchsize": "5"}}}}
+    plain = {{"driver": {DERBY_DRIVER!r}}}
+    assert sinks.append_once(df, url, "T", "load", **conn)
+    assert os.path.exists(flag)
+    got = sorted(r[0] for r in sources.read_table(spark, url, "T", **plain).collect())
+    assert got == list(range(200)), len(got)
+    print("each once")
+    """
+    done = subprocess.run([sys.executable, "-c", textwrap.dedent(code)], capture_output=True, text=True, timeout=240)
+    assert "each once" in done.stdout, done.stderr[-2000:]
+
+
+def test_only_changes_are_written(spark, monkeypatch):
+    url = _derby_url(spark, "changes")
+    written = []
+    plain = jdbc.append_table
+    monkeypatch.setattr(jdbc_loads, "append_table", lambda df, u, t, **kw: (written.append(df.count()), plain(df, u, t, **kw)))
+    make = lambda rows: spark.createDataFrame(rows, "k long, a string, b double").repartition(3)
+    first = [(i, f"v{i}", None if i == 3 else i / 2) for i in range(20)]
+    load = lambda rows: tuple(sinks.refresh_changes(make(rows), url, "T", ["k"], partition_column="k", **CONN))
+    assert load(first) == (20, 0, 0, 0)
+    written.clear()
+    assert load(first) == (0, 0, 0, 20) and written == []
+    second = [(0, None, 0.0), (3, "v3", 0.0), *first[5:], (50, "new", 1.0)]
+    assert load(second) == (1, 2, 3, 15) and written == [5, 3]
+    key = lambda r: r[0]
+    assert sorted((tuple(r) for r in sources.read_table(spark, url, "T", **CONN).collect()), key=key) == sorted(second, key=key)
+    assert load([]) == (0, 0, 18, 0)
+    for bad in ([(1, "a", 1.0), (1, "b", 1.0)], [(None, "a", 1.0)]):
+        with pytest.raises(ValueError, match="keys"):
+            load(bad)
+    assert [t for t in tables(spark, url)] == ["T"]
+
+
+def test_changes_by_a_key_of_two_columns(spark):
+    url = _derby_url(spark, "two_keys")
+    make = lambda rows: spark.createDataFrame(rows, "x long, y long, v long")
+    load = lambda rows: tuple(sinks.refresh_changes(make(rows), url, "T", ["x", "y"], **CONN))
+    assert load([(1, 1, 1), (1, 2, 2), (2, 1, 3)]) == (3, 0, 0, 0)
+    assert load([(1, 1, 1), (1, 2, 9), (2, 2, 3)]) == (1, 1, 1, 1)
+    assert rows(spark, url) == [(1, 1, 1), (1, 2, 9), (2, 2, 3)]

@@ -275,6 +275,28 @@ def jdbc_full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read_orders_back(spark, url, table, conn)
 
 
+def jdbc_append_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads (orders before and from 1998), each sent twice under its name: every row once."""
+    orders = staging.table(spark, sf_dir, "orders")
+    (url, conn), table = jdbc_target(spark, "derby_once"), _table_name("orders_once")
+    for name, part in (("before", staging.orders_before(orders)), ("from", staging.orders_from(orders))) * 2:
+        sinks.append_once(part, url, table, name, max_connections=4, extra={"createTableColumnTypes": ORDERS_DDL_TYPES}, **conn)
+    return _read_orders_back(spark, url, table, conn)
+
+
+def jdbc_change_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An older state of orders (some missing, some different, some since deleted), then the present one by its changes."""
+    orders = staging.table(spark, sf_dir, "orders")
+    (url, conn), table = jdbc_target(spark, "derby_changes"), _table_name("orders_changes")
+    key = F.col("o_orderkey")
+    older = orders.where(key % 7 != 0).withColumn("o_totalprice", F.when(key % 5 == 0, 0.0).otherwise(F.col("o_totalprice")))
+    gone = orders.where(key % 11 == 0).withColumn("o_orderkey", -key - 1)
+    for state in (older.unionByName(gone), orders):
+        sinks.refresh_changes(state, url, table, ["o_orderkey"], partition_column="o_orderkey",
+                              extra={"createTableColumnTypes": ORDERS_DDL_TYPES}, **conn)
+    return _read_orders_back(spark, url, table, conn)
+
+
 PAGE_PAYLOAD = T.StructType([T.StructField("page_id", T.LongType()), T.StructField("payload", T.StringType())])
 
 
@@ -463,6 +485,8 @@ JOBS: dict[str, Job] = {
     "case_sensitive_select": case_sensitive_select,
     "jdbc_append": jdbc_append,
     "jdbc_full_refresh": jdbc_full_refresh,
+    "jdbc_append_once": jdbc_append_once,
+    "jdbc_change_refresh": jdbc_change_refresh,
     "raw_land_overwrite": raw_land_overwrite,
     "sorted_layout": sorted_layout,
     "stream_sensor_ingest": stream_sensor_ingest,
@@ -505,6 +529,8 @@ INPUT_TABLES: dict[str, tuple[str, ...]] = {
     "case_sensitive_select": ("events",),
     "jdbc_append": ("orders",),
     "jdbc_full_refresh": ("orders",),
+    "jdbc_append_once": ("orders",),
+    "jdbc_change_refresh": ("orders",),
     "raw_land_overwrite": ("pages",),
     "sorted_layout": ("events",),
     "stream_sensor_ingest": ("events",),

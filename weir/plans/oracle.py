@@ -138,6 +138,8 @@ SELECT '' AS prefix, '' AS extension
     "case_sensitive_select": "SELECT event_id AS lower_id, user_id AS upper_id FROM events",
     "jdbc_append": _ORDERS,
     "jdbc_full_refresh": _ORDERS,
+    "jdbc_append_once": _ORDERS,
+    "jdbc_change_refresh": _ORDERS,
     "raw_land_overwrite": "SELECT page_id, html AS payload FROM pages",
     "sorted_layout": _SENSOR_TABLE,
     "batch_row_counts": """

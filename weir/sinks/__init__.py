@@ -2,7 +2,11 @@ from weir.sinks.files import land_raw, write_csv, write_sorted
 from weir.sinks.jdbc import append_table, replace_table
 from weir.sinks.kafka import kafka_sink_options, to_kafka_records, write_kafka, write_kafka_stream
 
+from weir.sinks.jdbc_loads import append_once, refresh_changes
+
 __all__ = [
+    "append_once",
+    "refresh_changes",
     "append_table",
     "kafka_sink_options",
     "land_raw",
