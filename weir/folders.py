@@ -30,10 +30,10 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(where)] if fs.exists(where) else []
 
 
-def write_small(spark: SparkSession, path: str, text: str) -> None:
-    """A new small file; fails if there is one."""
+def write_small(spark: SparkSession, path: str, text: str, overwrite: bool = False) -> None:
+    """A small file, written from the driver; if there is one, it fails or overwrites it."""
     fs, where = _of(spark, path)
-    out = fs.create(where, False)
+    out = fs.create(where, overwrite)
     try:
         out.write(bytearray(text.encode()))
     finally:

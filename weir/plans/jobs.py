@@ -408,12 +408,13 @@ def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     Returns what the batch log counted and what the outputs hold.
     """
     run = fresh_path(spark, "fanout")
-    flat = lambda d: ops.parse_messages(d).transform(ops.flatten_sensor)
+    place = ("offset", "timestamp", "value")
+    parsed = lambda d: ops.flatten_sensor(ops.parse_messages(d, keep=place), keep=place)
     fan = FanOutSink({
         "raw": (ops.raw_message_view, IdempotentFileSink(f"{run}/raw", name="raw")),
-        "warehouse": (flat, ingest.sensor_table_sink(f"{run}/warehouse", name="warehouse")),
-        "rejected": (flat, IdempotentFileSink(f"{run}/rejected", keep=ops.rejected_readings, name="rejected")),
-    }, log_path=f"{run}/log")
+        "warehouse": (None, ingest.sensor_table_sink(f"{run}/warehouse", name="warehouse")),
+        "rejected": (lambda d: d.drop(*place), IdempotentFileSink(f"{run}/rejected", keep=ops.rejected_readings, name="rejected")),
+    }, log_path=f"{run}/log", shared=parsed)
     topic = staging.sensor_topic(spark, sf_dir)
     stream = sources.stream_topic_files(spark, topic, max_bytes_per_trigger=staging.bytes_per_batch(spark, topic, CATCH_UP_BATCHES))
     run_available(stream, fan, f"{run}/checkpoint")
