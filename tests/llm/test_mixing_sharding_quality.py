@@ -17,7 +17,8 @@ SF = "/root/testdata/sf0.001"
 
 def same(df, sql):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    for name in ("documents", "conversations"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{SF}/{name}.parquet')")
     want = con.execute(sql)
     names = [c[0] for c in want.description]
     clean = lambda v: round(v, 9) if isinstance(v, float) else v
