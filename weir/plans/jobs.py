@@ -319,19 +319,19 @@ def sorted_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streaming -----------------------------------------------------------------
 
 def _ingest(spark: SparkSession, topic_path: str, *, files_per_trigger: int | None = None, watermark: bool = False,
-            fail_after_batch: int | None = None, with_log: bool = False) -> tuple[str, str | None]:
+            fail_after_batch: int | None = None, with_log: bool = False, once: bool = False) -> tuple[str, str | None]:
     """Stream messages into an idempotent per-batch table; returns (table, log)."""
     run = fresh_path(spark, "ingest")
     table, checkpoint = f"{run}/table", f"{run}/checkpoint"
     log = f"{run}/log" if with_log else None
-    wm = ingest.SENSOR_WATERMARK if watermark else None
+    wm = ingest.SENSOR_WATERMARK if watermark or once else None
     volume = None if files_per_trigger else staging.bytes_per_batch(spark, topic_path, CATCH_UP_BATCHES)
 
     def messages() -> DataFrame:
         return sources.stream_topic_files(spark, topic_path, files_per_trigger, volume)
 
     if fail_after_batch is None:
-        ingest.sensor_stream_to_table(messages(), table, checkpoint, log_path=log, watermark=wm)
+        ingest.sensor_stream_to_table(messages(), table, checkpoint, log_path=log, watermark=wm, once=once)
         return table, log
     sink = ingest.sensor_table_sink(table, log)
     try:
@@ -356,6 +356,16 @@ def stream_sensor_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(SENSOR_TARGET).parquet(compacted)
 
 
+def stream_sorted_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages streamed into batches; each batch is added to the sorted layout, whose files it leaves alone unless it overlaps them."""
+    table, _ = _ingest(spark, staging.sensor_topic_redelivered(spark, sf_dir), once=True)
+    layout = fresh_path(spark, "sensor_layout")
+    batches = spark.read.parquet(table).select("batch_id").distinct().orderBy("batch_id")
+    for row in batches.toLocalIterator():  # a number per batch
+        sinks.compact_batches(spark, table, layout, SENSOR_TARGET, SENSOR_SORT_KEYS, until=row["batch_id"], tie_breaker=["message_id"])
+    return sinks.read_layout(spark, layout, SENSOR_TARGET, SENSOR_SORT_KEYS)
+
+
 def stream_watermark_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Out-of-order messages under a 1-minute watermark: nothing is dropped."""
     table, _ = _ingest(spark, staging.sensor_topic_shuffled(spark, sf_dir), watermark=True)
@@ -491,6 +501,7 @@ JOBS: dict[str, Job] = {
     "raw_land_overwrite": raw_land_overwrite,
     "sorted_layout": sorted_layout,
     "stream_sensor_ingest": stream_sensor_ingest,
+    "stream_sorted_layout": stream_sorted_layout,
     "stream_watermark_passthrough": stream_watermark_passthrough,
     "stream_redelivered": stream_redelivered,
     "stream_restart_resume": stream_restart_resume,
@@ -535,6 +546,7 @@ INPUT_TABLES: dict[str, tuple[str, ...]] = {
     "raw_land_overwrite": ("pages",),
     "sorted_layout": ("events",),
     "stream_sensor_ingest": ("events",),
+    "stream_sorted_layout": ("events",),
     "stream_watermark_passthrough": ("events",),
     "stream_redelivered": ("events",),
     "stream_restart_resume": ("events",),

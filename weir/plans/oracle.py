@@ -65,6 +65,7 @@ UNION ALL
 SELECT 'without sensor_id' AS "case", 'sensor_id' AS missing, CAST(0 AS BIGINT) AS "rows"
 """,
     "stream_sensor_ingest": _SENSOR_TABLE,
+    "stream_sorted_layout": _SENSOR_TABLE,
     "stream_watermark_passthrough": _SENSOR_TABLE,
     "stream_redelivered": _SENSOR_TABLE,
     "stream_restart_resume": _SENSOR_TABLE,
