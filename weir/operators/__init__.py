@@ -10,6 +10,7 @@ from weir.operators.flatten import (
 )
 from weir.operators.conform import conform
 from weir.operators.redelivery import PLACE, drop_redelivered
+from weir.operators.rejects import accepted, classified_readings, reason_counts, rejected
 from weir.operators.rename import positional_rename
 from weir.operators.reports import load_report, row_count
 from weir.operators.validate import MissingColumnsError, missing_columns, require_columns
@@ -17,6 +18,8 @@ from weir.operators.validate import MissingColumnsError, missing_columns, requir
 __all__ = [
     "PLACE",
     "MissingColumnsError",
+    "accepted",
+    "classified_readings",
     "conform",
     "drop_redelivered",
     "flatten_sensor",
@@ -26,6 +29,8 @@ __all__ = [
     "parse_messages",
     "positional_rename",
     "raw_message_view",
+    "reason_counts",
+    "rejected",
     "rejected_readings",
     "require_columns",
     "row_count",

@@ -437,6 +437,25 @@ def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.join(held, "branch").select("branch", "rows_in", "rows_out", "rows_held")
 
 
+def stream_reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages with every fault, parsed once: valid readings to the warehouse, the others to a reject table with their reason.
+
+    Returns the rows per reason that the reject table holds, and those of the warehouse as ``accepted``.
+    """
+    run = fresh_path(spark, "reasons")
+    fan = FanOutSink({
+        "warehouse": (lambda d: ops.conform(ops.accepted(d), SENSOR_TARGET), IdempotentFileSink(f"{run}/warehouse", name="warehouse")),
+        "rejected": (ops.rejected, IdempotentFileSink(f"{run}/rejected", name="rejected")),
+    }, log_path=f"{run}/log", shared=lambda d: ops.classified_readings(d, keep=("offset",)))
+    topic = staging.sensor_topic_faulty(spark, sf_dir)
+    stream = sources.stream_topic_files(spark, topic, max_bytes_per_trigger=staging.bytes_per_batch(spark, topic, CATCH_UP_BATCHES))
+    run_available(stream, fan, f"{run}/checkpoint")
+    held = T.StructType([T.StructField("reason", T.StringType())])
+    reasons = ops.reason_counts(read_batches(spark, f"{run}/rejected", held).select("reason"))
+    warehouse = read_batches(spark, f"{run}/warehouse", SENSOR_TARGET)
+    return reasons.unionByName(warehouse.agg(F.lit("accepted").alias("reason"), F.count(F.lit(1)).alias("rows")))
+
+
 SENSOR_DDL_TYPES = "message_id VARCHAR(32), sensor_id VARCHAR(64)"
 WEATHER_DDL_TYPES = "timezone VARCHAR(64), format_time VARCHAR(16)"
 
@@ -508,6 +527,7 @@ JOBS: dict[str, Job] = {
     "batch_row_counts": batch_row_counts,
     "stream_empty_batch": stream_empty_batch,
     "stream_fanout": stream_fanout,
+    "stream_reject_reasons": stream_reject_reasons,
     "stream_jdbc_ingest": stream_jdbc_ingest,
     "weather_jdbc_load": weather_jdbc_load,
     "records_full_refresh": records_full_refresh,
@@ -553,6 +573,7 @@ INPUT_TABLES: dict[str, tuple[str, ...]] = {
     "batch_row_counts": ("events",),
     "stream_empty_batch": ("events",),
     "stream_fanout": ("events",),
+    "stream_reject_reasons": ("events",),
     "stream_jdbc_ingest": ("events",),
     "weather_jdbc_load": ("events",),
     "records_full_refresh": ("documents",),

@@ -158,5 +158,15 @@ FROM events
 UNION ALL
 SELECT 'rejected', count(*), count(*) FILTER (WHERE event_type = 'error'), count(*) FILTER (WHERE event_type = 'error')
 FROM events
+""",
+    "stream_reject_reasons": """
+WITH faults AS (
+  SELECT CASE WHEN event_id % 13 = 1 THEN 'not_json' WHEN event_id % 13 = 2 THEN 'not_an_object'
+              WHEN event_id % 13 = 3 OR user_id IS NULL THEN 'no_sensor'
+              WHEN event_type = 'error' OR value IS NULL THEN 'no_temperature'
+              WHEN event_id % 13 = 4 THEN 'temperature_not_a_number' ELSE 'accepted' END AS reason
+  FROM events),
+reasons AS (SELECT unnest(['not_json', 'not_an_object', 'no_sensor', 'no_temperature', 'temperature_not_a_number', 'accepted']) AS reason)
+SELECT r.reason, count(f.reason) AS "rows" FROM reasons r LEFT JOIN faults f ON r.reason = f.reason GROUP BY r.reason
 """,
 }

@@ -169,6 +169,29 @@ def sensor_topic_invalid(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "sensor_topic_invalid", build)
 
 
+def faulty(frames: DataFrame) -> DataFrame:
+    """Message frames as broken producers send them: the fault follows from the offset.
+
+    Of each 13 offsets, one has its text cut off, one is a JSON array, one lacks
+    the sensor, one has the temperature as text.
+    """
+    text, turn = F.col("value").cast("string"), F.pmod("offset", F.lit(13))
+    broken = (F.when(turn == 1, F.expr("substring(cast(value AS string), 1, length(cast(value AS string)) - 2)"))
+              .when(turn == 2, F.concat(F.lit("["), text, F.lit("]")))
+              .when(turn == 3, F.regexp_replace(text, '"sensor_id":"[^"]*"', '"sensor_id":null'))
+              .when(turn == 4, F.regexp_replace(text, '"temperature":([^,]*),', '"temperature":"$1",'))
+              .otherwise(text))
+    return frames.withColumn("value", broken.cast("binary"))
+
+
+def sensor_topic_faulty(spark: SparkSession, sf_dir: str) -> str:
+    """Message files with messages that are rejected for every reason."""
+    def build(path: str) -> None:
+        events = table(spark, sf_dir, "events")
+        _write_topic(_spread(events, faulty(kafka_frames(sensor_envelope(events))), MIN_TOPIC_FILES), path)
+    return _once(spark, sf_dir, "sensor_topic_faulty", build)
+
+
 # --- multi-line JSON arrays ----------------------------------------------
 
 def write_json_arrays(df: DataFrame, path: str, bucket_key: str,
