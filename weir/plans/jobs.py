@@ -30,7 +30,7 @@ from weir.schemas import (
     WEATHER_DOCUMENT_TYPED_TIME,
 )
 from weir.session import case_sensitive_session, fresh_path, is_local
-from weir.streaming import FailOnce, FanOutSink, IdempotentFileSink, read_batches, run_available
+from weir.streaming import FailOnce, FanOutSink, IdempotentFileSink, ProgressLog, read_batches, read_progress, run_available
 from weir.streaming.batch_sinks import read_batch_log
 
 Job = Callable[[SparkSession, str], DataFrame]
@@ -319,7 +319,8 @@ def sorted_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streaming -----------------------------------------------------------------
 
 def _ingest(spark: SparkSession, topic_path: str, *, files_per_trigger: int | None = None, watermark: bool = False,
-            fail_after_batch: int | None = None, with_log: bool = False, once: bool = False) -> tuple[str, str | None]:
+            fail_after_batch: int | None = None, with_log: bool = False, once: bool = False,
+            query_name: str | None = None) -> tuple[str, str | None]:
     """Stream messages into an idempotent per-batch table; returns (table, log)."""
     run = fresh_path(spark, "ingest")
     table, checkpoint = f"{run}/table", f"{run}/checkpoint"
@@ -331,16 +332,16 @@ def _ingest(spark: SparkSession, topic_path: str, *, files_per_trigger: int | No
         return sources.stream_topic_files(spark, topic_path, files_per_trigger, volume)
 
     if fail_after_batch is None:
-        ingest.sensor_stream_to_table(messages(), table, checkpoint, log_path=log, watermark=wm, once=once)
+        ingest.sensor_stream_to_table(messages(), table, checkpoint, log_path=log, watermark=wm, once=once, query_name=query_name)
         return table, log
     sink = ingest.sensor_table_sink(table, log)
     try:
-        run_available(ingest.flattened_sensor_stream(messages(), wm), FailOnce(sink, fail_after_batch), checkpoint)
+        run_available(ingest.flattened_sensor_stream(messages(), wm), FailOnce(sink, fail_after_batch), checkpoint, query_name=query_name)
     except Exception as exc:  # the injected failure surfaces as a query exception
         if "injected failure" not in str(exc):
             raise
     # Restart from the same checkpoint: the failed batch runs again.
-    run_available(ingest.flattened_sensor_stream(messages(), wm), sink, checkpoint)
+    run_available(ingest.flattened_sensor_stream(messages(), wm), sink, checkpoint, query_name=query_name)
     return table, log
 
 
@@ -402,6 +403,18 @@ def batch_row_counts(spark: SparkSession, sf_dir: str, cap: int | None = None) -
     )
 
 
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What Spark reported of each trigger, over a failure and a restart, beside the batch log."""
+    name = f"progress-{uuid.uuid4().hex[:8]}"
+    reported = fresh_path(spark, "progress")
+    with ProgressLog(spark, reported, {name}):
+        _, log = _ingest(spark, staging.sensor_topic(spark, sf_dir), fail_after_batch=0, with_log=True, query_name=name)
+    progress = read_progress(spark, reported).where("rows > 0").select("batch_id", "rows")
+    both = progress.join(read_batch_log(spark, log), "batch_id", "full_outer")
+    return both.agg(F.sum("rows").alias("rows_read"), F.sum("rows_out").alias("rows_written"),
+                    F.bool_and(F.col("rows").eqNullSafe(F.col("rows_in"))).alias("batches_agree"))
+
+
 def stream_empty_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message invalid: every batch is skipped, nothing is written."""
     _, log = _ingest(spark, staging.sensor_topic_invalid(spark, sf_dir), with_log=True)
@@ -525,6 +538,7 @@ JOBS: dict[str, Job] = {
     "stream_redelivered": stream_redelivered,
     "stream_restart_resume": stream_restart_resume,
     "batch_row_counts": batch_row_counts,
+    "stream_progress": stream_progress,
     "stream_empty_batch": stream_empty_batch,
     "stream_fanout": stream_fanout,
     "stream_reject_reasons": stream_reject_reasons,
@@ -571,6 +585,7 @@ INPUT_TABLES: dict[str, tuple[str, ...]] = {
     "stream_redelivered": ("events",),
     "stream_restart_resume": ("events",),
     "batch_row_counts": ("events",),
+    "stream_progress": ("events",),
     "stream_empty_batch": ("events",),
     "stream_fanout": ("events",),
     "stream_reject_reasons": ("events",),

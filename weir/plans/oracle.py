@@ -146,6 +146,9 @@ SELECT '' AS prefix, '' AS extension
     "batch_row_counts": """
 SELECT count(*) AS total_rows, count(*) FILTER (WHERE event_type <> 'error') AS valid_rows, true AS within_cap
 FROM events
+""",
+    "stream_progress": """
+SELECT count(*) AS rows_read, count(*) FILTER (WHERE event_type <> 'error') AS rows_written, true AS batches_agree FROM events
 """,
     "stream_empty_batch": """
 SELECT count(*) AS rows_in, CAST(0 AS BIGINT) AS rows_written, CAST(0 AS BIGINT) AS batches_written FROM events
