@@ -179,6 +179,12 @@ def parquet_merge_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_parquet_merged(spark, v1, v2)
 
 
+def parquet_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One folder of files whose columns differ in type and number, as one table."""
+    return sources.read_parquet_widened(spark, staging.part_drifted(spark, sf_dir)).select(
+        "p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
+
+
 def range_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A dense id sequence as long as ``orders``."""
     n = staging.table(spark, sf_dir, "orders").count()
@@ -521,6 +527,7 @@ JOBS: dict[str, Job] = {
     "json_array_split_scan": json_array_split_scan,
     "csv_records_split_scan": csv_records_split_scan,
     "parquet_merge_schema": parquet_merge_schema,
+    "parquet_widened": parquet_widened,
     "range_source": range_source,
     "object_listing": object_listing,
     "row_count": row_count,
@@ -568,6 +575,7 @@ INPUT_TABLES: dict[str, tuple[str, ...]] = {
     "json_array_split_scan": ("documents",),
     "csv_records_split_scan": ("conversations",),
     "parquet_merge_schema": ("orders",),
+    "parquet_widened": ("part",),
     "range_source": ("orders",),
     "object_listing": ("events",),
     "row_count": ("lineitem",),

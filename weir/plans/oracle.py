@@ -124,6 +124,11 @@ FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'
 UNION ALL
 SELECT o_orderkey, o_custkey, NULL::VARCHAR AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
 FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01' OR o_orderdate IS NULL
+""",
+    "parquet_widened": """
+SELECT p_partkey, p_name, p_brand, CASE WHEN p_partkey % 3 <> 2 THEN p_type END AS p_type,
+       CAST(p_size AS DOUBLE) AS p_size, p_retailprice
+FROM part
 """,
     "range_source": "SELECT CAST(row_number() OVER () - 1 AS BIGINT) AS id FROM orders",
     # One text file per landing group: ceil(rows / 2000) groups by event_id; and

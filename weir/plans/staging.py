@@ -323,6 +323,16 @@ def orders_two_schemas(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     return f"{root}/v1", f"{root}/v2"
 
 
+def part_drifted(spark: SparkSession, sf_dir: str) -> str:
+    """``part`` as three exports into one folder: the size is an int, then a long, then a double, the last without the type."""
+    def build(path: str) -> None:
+        part = table(spark, sf_dir, "part")
+        for n, kind in enumerate(("int", "bigint", "double")):
+            rows = part.where(F.pmod("p_partkey", F.lit(3)) == n).withColumn("p_size", F.col("p_size").cast(kind))
+            (rows.drop("p_type") if kind == "double" else rows).write.mode("append").parquet(path)
+    return _once(spark, sf_dir, "part_drifted", build)
+
+
 # --- JSON lines whose keys differ only in case ---------------------------------
 
 def events_case_keys(spark: SparkSession, sf_dir: str) -> str:

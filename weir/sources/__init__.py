@@ -18,9 +18,12 @@ from weir.sources.kafka import (
     read_topic_files,
     stream_topic_files,
 )
+from weir.sources.widened import SchemaConflict, file_schemas, read_parquet_widened
 
 __all__ = [
+    "SchemaConflict",
     "current_landing",
+    "file_schemas",
     "integer_range",
     "jdbc_options",
     "kafka_options",
@@ -34,6 +37,7 @@ __all__ = [
     "read_kafka_stream",
     "read_landed_documents",
     "read_parquet_merged",
+    "read_parquet_widened",
     "read_table",
     "read_topic_files",
     "stream_topic_files",
