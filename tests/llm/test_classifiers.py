@@ -102,6 +102,116 @@ def test_label_model_finds_accuracies_and_ties():
     assert ((p > 0.5) == true).mean() >= (gold == true).mean()
 
 
+def features_of(text):
+    """Words of a text, and their beginnings, by name."""
+    words, word = set(), b""
+    for byte in (text or "").lower().encode() + b" ":
+        if byte >= 128 or chr(byte).isalnum():
+            word += bytes([byte])
+        elif word:
+            words.add(word)
+            word = b""
+    return {("word", w) for w in words} | {(n, w[:n]) for w in words for n in toxicity.BEGINNINGS if len(w) > n}
+
+
+def scores_by_force(texts, labels):
+    """All of operator 4 in plain loops over named features: selection, label model, classifier, scores."""
+    held = {i: features_of(t) for i, t in texts.items()}
+    fitted = sorted(i for i in labels if i in texts)
+    gold = [labels[i] for i in fitted]
+    toxic, clean = sum(gold), len(gold) - sum(gold)
+    bad, every = {}, {}
+    for i, y in zip(fitted, gold, strict=True):
+        for f in held[i]:
+            every[f] = every.get(f, 0) + 1
+            bad[f] = bad.get(f, 0) + y
+
+    def sure(f):
+        b, g, n = bad[f], every[f] - bad[f], toxic + clean
+        cells = [(b, every[f] * toxic / n), (g, every[f] * clean / n),
+                 (toxic - b, (n - every[f]) * toxic / n), (clean - g, (n - every[f]) * clean / n)]
+        ratio = 2 * sum(x * np.log(x / e) for x, e in cells if x)
+        return np.sign(b * clean - g * toxic) * np.sqrt(max(ratio, 0))
+
+    chosen = sorted((f for f in every if bad[f] >= toxicity.LEAST_TOXIC and sure(f) >= toxicity.SURE), key=str)
+    voters = [f for f in chosen if bad[f] > every[f] - bad[f]]
+    assert 3 < len(voters) <= toxicity.VOTERS and len(chosen) <= toxicity.FEATURES
+    votes = [[float(f in held[i]) for f in voters] + [float(y)] for i, y in zip(fitted, gold, strict=True)]
+    p = [min(max(y, 0.02), 0.98) for y in gold]
+    for _ in range(20):
+        mass = [sum(1 - q for q in p), sum(p)]
+        rate = [[(sum(v[k] * w for v, w in zip(votes, side, strict=True)) + 0.5) / (mass[y] + 1) for k in range(len(voters))]
+                + [toxicity.GIVEN_RATES[y]] for y, side in ((0, [1 - q for q in p]), (1, p))]
+        rest = [[(v[k] - rate[y][k]) * (w ** 0.5) for v, q in zip(votes, p, strict=True) for y, w in ((0, 1 - q), (1, q))]
+                for k in range(len(voters) + 1)]
+        size = [max(sum(x * x for x in r), 1e-9) ** 0.5 for r in rest]
+        say = []
+        for k, a in enumerate(rest):
+            tied = [sum(x * y for x, y in zip(a, b, strict=True)) / size[k] / size[j] for j, b in enumerate(rest)]
+            say.append(1 / max(1.0, sum(min(t, 1) for t in tied if t >= toxicity.CORRELATED)))
+        say[-1] = 1.0
+        p = []
+        for v in votes:
+            logit = np.log(mass[1] / mass[0])
+            for k, x in enumerate(v):
+                logit += say[k] * np.log(rate[1][k] / rate[0][k] if x else (1 - rate[1][k]) / (1 - rate[0][k]))
+            p.append(1 / (1 + np.exp(-min(max(logit, -30), 30))))
+    weight, base = dict.fromkeys(chosen, 0.0), float(np.log(np.mean(p) / (1 - np.mean(p))))
+    present = [[f for f in chosen if f in held[i]] for i in fitted]
+    m, v = dict.fromkeys([*chosen, None], 0.0), dict.fromkeys([*chosen, None], 0.0)
+    for step in range(1, 601):
+        g = {f: 3e-4 * weight[f] for f in chosen} | {None: 0.0}
+        for fs, goal in zip(present, p, strict=True):
+            off = (1 / (1 + np.exp(-sum(weight[f] for f in fs) - base)) - goal) * (1 + (toxicity.TOXIC_WEIGHT - 1) * goal) / len(p)
+            for f in [*fs, None]:
+                g[f] += off
+        for f in g:
+            m[f], v[f] = 0.9 * m[f] + 0.1 * g[f], 0.99 * v[f] + 0.01 * g[f] ** 2
+            move = 0.1 * (m[f] / (1 - 0.9 ** step)) / ((v[f] / (1 - 0.99 ** step)) ** 0.5 + 1e-8)
+            if f is None:
+                base -= move
+            else:
+                weight[f] -= move
+    return {i: 1 / (1 + np.exp(-sum(weight[f] for f in chosen if f in held[i]) - base)) for i in texts}
+
+
+def test_scores_equal_brute_force(spark):
+    rng = random.Random(8)
+    plain = [f"ab{chr(97 + i)}" for i in range(26)] + ["größe", "ÜBER", "日本", "x-y"]
+    texts, labels = {0: None, 1: "", 2: "GRUMBLE, vile!"}, {}
+    for i in range(3, 180):
+        toxic = i % 4 == 0
+        words = [rng.choice(plain) for _ in range(12)]
+        for word, hit, miss in (("grumble", 0.7, 0.02), ("vile", 0.5, 0.02), ("Pestilent", 0.4, 0.0), ("mean1", 0.5, 0.1)):
+            if rng.random() < (hit if toxic else miss):
+                words.insert(rng.randrange(12), word)
+        texts[i] = " ".join(words)
+        if i < 160:
+            labels[i] = int(toxic) if rng.random() < 0.97 else int(not toxic)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = toxicity.score(docs, docs, spark.createDataFrame(list(labels.items()), "doc_id long, toxic int"), ["doc_id"]).collect()
+    expected = scores_by_force(texts, labels)
+    assert len(found) == len(texts)
+    assert {r["k0"]: r["score"] for r in found} == pytest.approx(expected, abs=1e-5)
+
+
+def test_the_label_model_mends_wrong_labels():
+    """A classifier of the posteriors errs less than one of the labels, where many toxic documents were labelled clean."""
+    rng = np.random.default_rng(11)
+    true = rng.random(3000) < 0.25
+    votes = np.stack([np.where(true, rng.random(3000) < 0.6, rng.random(3000) < 0.02) for _ in range(6)], axis=1)
+    gold = (true & (rng.random(3000) < 0.6)).astype(int)
+    held = [np.flatnonzero(v) for v in votes]
+    p, _, _ = toxicity.posteriors(votes.astype(np.float32), gold)
+
+    def error(goal):
+        w = toxicity.logistic(held, goal, 6)
+        score = 1 / (1 + np.exp(-(votes @ w[:-1] + w[-1])))
+        return -np.mean(np.log(np.where(true, score, 1 - score).clip(1e-9)))
+
+    assert error(p) < 0.9 * error(gold.astype(float))
+
+
 def test_classifier_reaches_beyond_the_voters(spark):
     """A beginning shared by many rare words is learned, so a word never seen before is caught."""
     rng = random.Random(4)
