@@ -8,6 +8,7 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weir import sources
@@ -113,3 +114,22 @@ def test_one_file_is_read_by_many_tasks(spark, sf_small, monkeypatch):
         assert many.count() == staging.table(spark, sf_small, "documents").count()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_large_arrays_are_written_by_a_task_each(spark, scratch, monkeypatch):
+    """No task writes more than about one array, however many rows there are; rows come once, also with repeated and null keys."""
+    from weir.plans import staging
+
+    n = 4000
+    docs = spark.range(n).select(F.when(F.col("id") % 10 != 3, F.col("id") - F.col("id") % 2).alias("doc_id"), F.lit("en").alias("lang"),
+                                 F.lit("web").alias("source"), F.concat(F.lit('[",'), F.repeat(F.lit("x"), 900), F.col("id").cast("string")).alias("text"))
+    folder = scratch("sf")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    monkeypatch.setattr(staging, "BYTES_PER_LARGE_ARRAY", 500_000)
+    path = staging.record_array(spark, folder)
+    scan = spark.read.text(path)
+    sizes = [r["n"] for r in scan.groupBy(F.input_file_name()).agg(F.sum(F.length("value")).alias("n")).collect()]
+    assert len(sizes) == 9 and max(sizes) < 750_000
+    got = sources.read_json_arrays(spark, path, RECORD)
+    want = staging.records_frame(docs).select(*RECORD.fieldNames())
+    assert got.exceptAll(want).isEmpty() and got.count() == n

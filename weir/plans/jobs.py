@@ -165,7 +165,7 @@ def csv_multiline_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_array_split_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One file with one JSON array of all records, read by many tasks."""
+    """Files with one large JSON array each (a single file up to 256 MB), every file read by many tasks."""
     return sources.read_json_arrays(spark, staging.record_array(spark, sf_dir), RECORD)
 
 

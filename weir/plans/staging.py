@@ -35,6 +35,8 @@ ROWS_PER_JSON_ARRAY = 2000
 _lock = threading.Lock()
 _staged: dict[tuple[str, str, str], str] = {}
 
+# A large array: a file of several scan splits, which a single task can still write.
+BYTES_PER_LARGE_ARRAY = 256 << 20
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -195,21 +197,26 @@ def sensor_topic_faulty(spark: SparkSession, sf_dir: str) -> str:
 # --- multi-line JSON arrays ----------------------------------------------
 
 def write_json_arrays(df: DataFrame, path: str, bucket_key: str,
-                      rows_per_file: int = ROWS_PER_JSON_ARRAY) -> None:
+                      rows_per_file: int = ROWS_PER_JSON_ARRAY, large_files: int | None = None) -> None:
     """Write ``df`` (minus ``bucket_key``) as pretty multi-line files, each one JSON array.
 
     Rows go to ``n = ceil(rows / rows_per_file)`` groups by ``bucket_key mod n``
     (a unique integer key), so every array holds about ``rows_per_file``
     elements whatever the table size.  Each group lands in its own
-    ``file=<g>/`` directory as a single file.
+    ``file=<g>/`` directory as a single file.  ``large_files`` gives the number
+    of groups instead: rows are dealt by a hash, and each group has a task of its own.
     """
-    n_files = max(1, math.ceil(df.count() / rows_per_file))
+    n_files = large_files or max(1, math.ceil(df.count() / rows_per_file))
     doc_cols = [c for c in df.columns if c != bucket_key]
-    docs = df.select(encode_json(*doc_cols).alias("doc"), F.col(bucket_key).alias("key"),
-                     F.pmod(F.col(bucket_key), F.lit(n_files)).alias("file"))
+    docs = df.select(encode_json(*doc_cols).alias("doc"), F.col(bucket_key).alias("key"))
+    if large_files:  # a plain hash could put several files into one shuffle partition
+        docs = docs.withColumn("file", F.pmod(F.xxhash64("key", "doc"), F.lit(n_files)).cast("int")).repartitionById(n_files, F.col("file"))
+    else:
+        docs = docs.withColumn("file", F.pmod(F.col("key"), F.lit(n_files)))
     # Rows are written one after the other; an array is never held as a whole.
     order = Window.partitionBy("file").orderBy("key")
-    opens, closes = F.lag("key").over(order).isNull(), F.lead("key").over(order).isNull()
+    there = F.lit(True)
+    opens, closes = F.lag(there).over(order).isNull(), F.lead(there).over(order).isNull()
     line = F.concat(F.when(opens, "[\n  ").otherwise("  "), F.col("doc"), F.when(closes, "\n]").otherwise(","))
     docs.select("file", line.alias("value")).write.mode("overwrite").partitionBy("file").text(path)
 
@@ -347,10 +354,15 @@ def events_case_keys(spark: SparkSession, sf_dir: str) -> str:
 # --- one file, however large the table -----------------------------------------
 
 def record_array(spark: SparkSession, sf_dir: str) -> str:
-    """All records of ``documents`` as one file with one JSON array, as a fetched document lands."""
+    """All records of ``documents`` as JSON arrays of up to ``BYTES_PER_LARGE_ARRAY`` or so, a file each, as fetched documents land.
+
+    A file has one writer, so one array of a whole large table would pass through one task.
+    """
     def build(path: str) -> None:
         docs = table(spark, sf_dir, "documents")
-        write_json_arrays(records_frame(docs).withColumn("doc_key", F.col("id")), path, "doc_key", rows_per_file=max(1, docs.count()))
+        size = docs.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 100).alias("n")).first()["n"] or 0
+        write_json_arrays(records_frame(docs).withColumn("doc_key", F.col("id")), path, "doc_key",
+                          large_files=max(1, math.ceil(size / BYTES_PER_LARGE_ARRAY)))
     return _once(spark, sf_dir, "record_array", build)
 
 

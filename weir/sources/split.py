@@ -157,7 +157,8 @@ def _pieces(spark: SparkSession, path: str, json: bool) -> DataFrame:
               .select("file", "start", "range_inside", "range_depth", "array"))
     inside = (F.col("range_inside").cast("long") + F.col("quotes")) % 2
     depth = F.col("range_depth") + F.when(F.col("range_inside"), F.col("opened")).otherwise(F.col("closed"))
-    known = chunks.join(ranges, ["file", "start"]).select("file", "start", "seq", "text", inside.alias("inside"), depth.alias("depth"), "array")
+    # a row per split is broadcast: the text isn't shuffled
+    known = chunks.join(F.broadcast(ranges), ["file", "start"]).select("file", "start", "seq", "text", inside.alias("inside"), depth.alias("depth"), "array")
     cut = fresh_path(spark, "pieces")
     kinds = "file string, start long, seq long, kind int, cuts long, piece string"
     known.mapInArrow(_cut(json), kinds).write.parquet(cut)
