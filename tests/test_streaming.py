@@ -195,6 +195,49 @@ def test_redelivered_messages_come_once(spark, sf_small):
     assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
 
 
+def _arrivals(spark, topic):
+    """(first, last) second of each file, in the order a file stream reads them."""
+    import os
+
+    folder = topic.removeprefix("file:")
+    files = sorted((f for f in os.listdir(folder) if f.endswith(".parquet")), key=lambda f: os.stat(f"{folder}/{f}").st_mtime_ns)
+    assert len({int(os.stat(f"{folder}/{f}").st_mtime) for f in files}) == len(files)
+    bounds = (F.min("timestamp").alias("low"), F.max("timestamp").alias("high"))
+    return [tuple(spark.read.parquet(f"{folder}/{f}").agg(*[F.unix_seconds(c) for c in bounds]).first()) for f in files]
+
+
+@pytest.mark.parametrize("times_kept", [True, False])
+def test_the_redelivered_topic_is_written_by_a_few_jobs_in_order(spark, scratch, sf_small, monkeypatch, times_kept):
+    """Jobs don't grow with the files; without kept times the files are written in turn.  Rows don't depend on either."""
+    from weir import folders
+
+    if not times_kept:
+        monkeypatch.setattr(folders, "date_in_order", lambda spark, path: False)
+    folder = scratch("sf")
+    staging.table(spark, sf_small, "events").write.parquet(f"{folder}/events.parquet")
+    n = 30
+    monkeypatch.setattr(staging, "ROWS_PER_TOPIC_FILE", 2 * staging.table(spark, sf_small, "events").count() // n)
+    group = scratch("jobs")
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        topic = staging.sensor_topic_redelivered(spark, folder)
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    found = _arrivals(spark, topic) if times_kept else None
+    if times_kept:
+        assert len(found) >= n - 2 and len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) < n / 2
+        assert all(low >= before - 10 for (_, before), (low, _) in zip(found, found[1:]))
+    rows = spark.read.parquet(topic)
+    assert rows.exceptAll(spark.read.parquet(staging.sensor_topic_redelivered(spark, sf_small))).isEmpty()
+    assert rows.count() == spark.read.parquet(staging.sensor_topic_redelivered(spark, sf_small)).count()
+
+
+def test_batches_take_more_files_of_a_larger_topic(spark, scratch):
+    folder = scratch("files")
+    spark.range(0, 40, 1, 40).write.parquet(folder)
+    assert [staging.files_per_batch(spark, folder, *n) for n in ((8, 32), (8, 3), (50, 32))] == [5, 3, 1]
+
+
 def test_redelivery_across_a_restart_and_state_behind_the_watermark(spark, scratch, sf_small):
     from weir.plans import ingest
 

@@ -38,6 +38,11 @@ Job = Callable[[SparkSession, str], DataFrame]
 # Catch-up streams cut their topic into about this many batches by volume,
 # whatever its size.
 CATCH_UP_BATCHES = 4
+# The stream that tells redelivered messages runs in at least about this many
+# batches, so that its state is used across them.
+REDELIVERED_BATCHES = 8
+# What a batch adds to the state is bounded, whatever the topic's size.
+FILES_PER_STATEFUL_BATCH = 32
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -382,7 +387,9 @@ def stream_watermark_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages delivered one to three times, out of order: each once, told by a state that follows the watermark."""
     run = fresh_path(spark, "redelivered")
-    messages = sources.stream_topic_files(spark, staging.sensor_topic_redelivered(spark, sf_dir), max_files_per_trigger=1)
+    topic = staging.sensor_topic_redelivered(spark, sf_dir)
+    files = staging.files_per_batch(spark, topic, REDELIVERED_BATCHES, FILES_PER_STATEFUL_BATCH)
+    messages = sources.stream_topic_files(spark, topic, max_files_per_trigger=files)
     ingest.sensor_stream_to_table(messages, f"{run}/table", f"{run}/checkpoint", once=True)
     return _read_sensor_table(spark, f"{run}/table")
 

@@ -16,14 +16,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from weir import folders
 from weir.functions.json import encode_json, encode_json_bytes
 from weir.session import scratch_path
 
 SENSOR_TOPIC = "sensor_metrics"
 TOPIC_PARTITIONS = 3
-# Message files hold at most this many rows (~100 MB of messages), so the
-# file count grows with the table but no file is tiny at scale.
-ROWS_PER_TOPIC_FILE = 1_000_000
+# Message files hold at most this many rows (~25 MB of messages), so the file
+# count grows with the table, no file is tiny at scale, and a batch of a stream
+# has enough of them to keep the cores busy: a file of one row group is a task.
+ROWS_PER_TOPIC_FILE = 250_000
 # Like a topic's partitions: the main copy is spread over at least this many
 # files so even a small topic is read in parallel.
 MIN_TOPIC_FILES = 8
@@ -31,12 +33,12 @@ MIN_TOPIC_FILES = 8
 # several batches that each mix early and late events.
 MIN_SHUFFLED_FILES = 4
 ROWS_PER_JSON_ARRAY = 2000
+# A large array: a file of several scan splits, which a single task can still write.
+BYTES_PER_LARGE_ARRAY = 256 << 20
 
 _lock = threading.Lock()
 _staged: dict[tuple[str, str, str], str] = {}
 
-# A large array: a file of several scan splits, which a single task can still write.
-BYTES_PER_LARGE_ARRAY = 256 << 20
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -125,6 +127,12 @@ def bytes_per_batch(spark: SparkSession, path: str, batches: int) -> int:
     return max(1, files.agg(F.sum("length").alias("n")).first()["n"] // batches)
 
 
+def files_per_batch(spark: SparkSession, path: str, batches: int, most: int) -> int:
+    """Files of a batch that make at least about ``batches`` of the files at ``path``, at most ``most``."""
+    files = sum(name.endswith(".parquet") for name in folders.names(spark, path))
+    return max(1, min(most, files // batches))
+
+
 def sensor_topic_shuffled(spark: SparkSession, sf_dir: str) -> str:
     """Message files whose arrival order is not event-time order.
 
@@ -139,10 +147,28 @@ def sensor_topic_shuffled(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "sensor_topic_shuffled", build)
 
 
+def _write_in_order(frames: DataFrame, path: str) -> None:
+    """Files of ``frames``, a partition each, whose modification times follow the order of the partitions.
+
+    One job writes all files side by side; then they are dated a second apart.  Where the
+    file system doesn't keep such times, the files are copied one after the other.
+    """
+    spark = frames.sparkSession
+    frames.write.mode("overwrite").parquet(path)
+    if folders.date_in_order(spark, path):
+        return
+    dealt = f"{path}-dealt"
+    frames.write.mode("overwrite").parquet(dealt)
+    folders.remove(spark, path)
+    for name in sorted(n for n in folders.names(spark, dealt) if n.startswith("part-")):
+        spark.read.schema(frames.schema).parquet(f"{dealt}/{name}").coalesce(1).write.mode("append").parquet(path)
+    folders.remove(spark, dealt)
+
+
 def sensor_topic_redelivered(spark: SparkSession, sf_dir: str) -> str:
     """Each message delivered one to three times within 50 s, in files that come in order but are not ordered inside.
 
-    A copy has a later broker time and an offset of its own.  Files are written
+    A copy has a later broker time and an offset of its own.  Files are dated
     one after the other, as a topic's messages arrive: a file stream reads
     the oldest first.
     """
@@ -154,11 +180,11 @@ def sensor_topic_redelivered(spark: SparkSession, sf_dir: str) -> str:
         sent = (copies.withColumn("timestamp", F.timestamp_seconds(F.unix_micros("timestamp") / 1e6 + later))
                 .withColumn("offset", F.col("offset") * 3 + F.col("copy"))
                 .withColumn("arrival", F.unix_micros("timestamp") + 1_000_000 * some(10, "offset", "copy")).drop("copy"))
-        n = max(MIN_TOPIC_FILES, math.ceil(sent.count() / ROWS_PER_TOPIC_FILE))
-        cuts = sent.agg(F.percentile_approx("arrival", [i / n for i in range(1, n)], 100_000).alias("cuts")).first()["cuts"] or []
-        for low, high in zip([None, *cuts], [*cuts, None], strict=True):
-            part = sent.where((F.lit(low is None) | (F.col("arrival") >= low)) & (F.lit(high is None) | (F.col("arrival") < high)))
-            part.drop("arrival").coalesce(1).write.mode("append").parquet(path)
+        found = sent.agg(F.count(F.lit(1)).alias("rows"), F.count("arrival").alias("timed")).first()
+        n = max(MIN_TOPIC_FILES, math.ceil(found["rows"] / ROWS_PER_TOPIC_FILE))
+        if found["timed"]:  # what has no time arrives nowhere among those that have one
+            sent = sent.where("arrival IS NOT NULL")
+        _write_in_order(sent.repartitionByRange(n, "arrival").drop("arrival"), path)
     return _once(spark, sf_dir, "sensor_topic_redelivered", build)
 
 
@@ -351,7 +377,7 @@ def events_case_keys(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "events_case_keys", build)
 
 
-# --- one file, however large the table -----------------------------------------
+# --- few large files -------------------------------------------------------------
 
 def record_array(spark: SparkSession, sf_dir: str) -> str:
     """All records of ``documents`` as JSON arrays of up to ``BYTES_PER_LARGE_ARRAY`` or so, a file each, as fetched documents land.
