@@ -238,6 +238,15 @@ def test_batches_take_more_files_of_a_larger_topic(spark, scratch):
     assert [staging.files_per_batch(spark, folder, *n) for n in ((8, 32), (8, 3), (50, 32))] == [5, 3, 1]
 
 
+def test_batches_with_state_are_bounded(spark, sf_small, monkeypatch):
+    """However large the topic, a batch of the stream that keeps ids takes no more than so many files."""
+    monkeypatch.setattr(jobs, "FILES_PER_STATEFUL_BATCH", 1)
+    topic = staging.sensor_topic_redelivered(spark, sf_small)
+    _, log = jobs._ingest(spark, topic, once=True, with_log=True)
+    batches = jobs.read_batch_log(spark, log).where("rows_in > 0").count()
+    assert batches >= len(spark.read.parquet(topic).inputFiles()) == 8
+
+
 def test_redelivery_across_a_restart_and_state_behind_the_watermark(spark, scratch, sf_small):
     from weir.plans import ingest
 
