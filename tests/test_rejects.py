@@ -39,6 +39,18 @@ def test_reasons(spark):
     assert {r["n"]: r["reason"] for r in found} == {i: reason for i, (_, reason) in enumerate(CASES)}
 
 
+def test_the_json_type_of_a_field_is_taken_once(spark):
+    """Once for each number; of the message as a whole it isn't spelled out."""
+    plan = ops.classified_readings(spark.createDataFrame([("{}",)], "value string"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("schema_of_variant(") == 3
+
+
+@pytest.mark.parametrize("space", [" ", "\n", "\t\r\n "])
+def test_white_space_before_the_message(spark, space):
+    row = ops.classified_readings(spark.createDataFrame([(space + _message(),)], "value string")).first()
+    assert (row["reason"], row["sensor_id"]) == (None, "s")
+
+
 @pytest.mark.parametrize("change, column, expected", [
     ({"humidity": 2**31}, "humidity", None), ({"humidity": 2.5}, "humidity", None), ({"humidity": "4"}, "humidity", None),
     ({"temperature": 0.1}, "temperature", 0.1), ({"temperature": 12345678901234567890}, "temperature", 1.2345678901234567e19),

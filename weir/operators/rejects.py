@@ -12,19 +12,21 @@ REASON = "reason"
 NOT_JSON, NOT_AN_OBJECT, NO_SENSOR, NO_TEMPERATURE, TEMPERATURE_NOT_A_NUMBER = REASONS = (
     "not_json", "not_an_object", "no_sensor", "no_temperature", "temperature_not_a_number")
 
+_NUMBERS = {"temperature": "double", "humidity": "int", "pressure": "int"}
+
 
 def _kind(field: Column) -> Column:
     """The JSON type of a variant; null where there is no field, ``VOID`` for a JSON null."""
     return F.schema_of_variant(field)
 
 
-def _number(field: Column, kind: str) -> Column:
-    """A JSON number as ``kind``; null for any other JSON type, and beyond the type's range.
+def _number(field: Column, kind: Column, to: str) -> Column:
+    """A JSON number, its JSON type ``kind`` known, as ``to``; null for any other JSON type, and beyond the type's range.
 
     A number with a fraction is no integer.
     """
-    is_number = _kind(field).rlike("^BIGINT$" if kind == "int" else "^(BIGINT|DECIMAL.*|DOUBLE|FLOAT)$")
-    return F.when(is_number, F.try_variant_get(field, "$", kind))
+    is_number = kind == "BIGINT" if to == "int" else kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
+    return F.when(is_number, F.try_variant_get(field, "$", to))
 
 
 def classified_readings(messages: DataFrame, value_col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -39,29 +41,28 @@ def classified_readings(messages: DataFrame, value_col: str = "value", keep: tup
     too).  The other columns hold what could be read.  Columns in ``keep``
     must not be named like those.
     """
-    # behind a generator: a plain projection would let the optimizer copy the parse into every use
-    parse = F.inline(F.array(F.struct(F.try_parse_json(F.col(value_col).cast("string")).alias("weir_json"))))
-    fields = {"id": "$.id", "time": "$.timestamp", "sensor": "$.value.sensor_id", "temperature": "$.value.temperature",
-              "humidity": "$.value.humidity", "pressure": "$.value.pressure"}
-    cut = F.struct(*[F.try_variant_get("weir_json", path, "variant").alias(n) for n, path in fields.items()],
-                   _kind(F.col("weir_json")).alias("kind"))
-    parsed = messages.select(*keep, parse).select(*keep, F.inline(F.array(F.struct(cut.alias("weir_parts")))))
-    part = lambda n: F.col(f"weir_parts.{n}")
-    text = lambda n: F.try_variant_get(part(n), "$", "string")
-    kind, temperature = part("kind"), part("temperature")
-    reason = (F.when(kind.isNull(), NOT_JSON)
-              .when(~kind.startswith("OBJECT"), NOT_AN_OBJECT)
-              .when(text("sensor").isNull(), NO_SENSOR)
-              .when(temperature.isNull() | (_kind(temperature) == "VOID"), NO_TEMPERATURE)
-              .when(_number(temperature, "double").isNull(), TEMPERATURE_NOT_A_NUMBER))
+    # behind generators: a plain projection would let the optimizer copy the parse, and what is taken of it, into every use
+    one = lambda **columns: F.inline(F.array(F.struct(*[c.alias(f"weir_{n}") for n, c in columns.items()])))
+    col = lambda n: F.col(f"weir_{n}")
+    parsed = messages.select(*keep, F.col(value_col).cast("string").alias("weir_text")).select(
+        *keep, one(json=F.try_parse_json("weir_text"), brace=F.ltrim("weir_text", F.lit(" \t\r\n")).startswith("{")))
+    field = lambda path, kind: F.try_variant_get("weir_json", path, kind)
+    parsed = parsed.select(*keep, "weir_brace", one(
+        known=F.col("weir_json").isNotNull(), id=field("$.id", "string"), time=field("$.timestamp", "string"), sensor=field("$.value.sensor_id", "string"),
+        **{n: field(f"$.value.{n}", "variant") for n in _NUMBERS}))
+    parsed = parsed.select(*keep, *map(col, ("brace", "known", "id", "time", "sensor", *_NUMBERS)), one(**{f"{n}_kind": _kind(col(n)) for n in _NUMBERS}))
+    number = {n: _number(col(n), col(f"{n}_kind"), to) for n, to in _NUMBERS.items()}
+    reason = (F.when(~col("known"), NOT_JSON)
+              .when(~col("brace"), NOT_AN_OBJECT)
+              .when(col("sensor").isNull(), NO_SENSOR)
+              .when(col("temperature").isNull() | (col("temperature_kind") == "VOID"), NO_TEMPERATURE)
+              .when(number["temperature"].isNull(), TEMPERATURE_NOT_A_NUMBER))
     return parsed.select(
         *keep,
-        text("id").alias("message_id"),
-        format_event_time(text("time")).alias("event_time"),
-        text("sensor").alias("sensor_id"),
-        _number(temperature, "double").alias("temperature"),
-        _number(part("humidity"), "int").alias("humidity"),
-        _number(part("pressure"), "int").alias("pressure"),
+        col("id").alias("message_id"),
+        format_event_time(col("time")).alias("event_time"),
+        col("sensor").alias("sensor_id"),
+        *[c.alias(n) for n, c in number.items()],
         reason.alias(REASON),
     )
 
