@@ -41,8 +41,14 @@ def test_reasons(spark):
 
 def test_the_json_type_of_a_field_is_taken_once(spark):
     """Once for each number; of the message as a whole it isn't spelled out."""
-    plan = ops.classified_readings(spark.createDataFrame([("{}",)], "value string"))._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("schema_of_variant(") == 3
+    fields = "spark.sql.debug.maxToStringFields"
+    before = spark.conf.get(fields)
+    spark.conf.set(fields, "1000")
+    try:
+        plan = ops.classified_readings(spark.createDataFrame([("{}",)], "value string"))._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set(fields, before)
+    assert plan.count("schemaOfVariant(") == 3
 
 
 @pytest.mark.parametrize("space", [" ", "\n", "\t\r\n "])
