@@ -171,3 +171,20 @@ def test_only_chains_from_the_start_count(spark):
     links = [("f", 0, 10), ("f", 10, 40), ("f", 20, 30), ("f", 30, 40), ("f", 40, 90), ("g", 5, 9), ("h", 0, None)]
     got = warc.reachable(spark.createDataFrame(links, "file string, start long, next long")).collect()
     assert sorted(map(tuple, got)) == [("f", 0), ("f", 10), ("f", 40), ("h", 0)]
+
+
+def test_tables_of_the_rounds_are_deleted(spark, monkeypatch):
+    """Of the rounds only what is reached stays; the caller's links are left alone."""
+    import os
+
+    kept, write = [], warc.written
+
+    def noted(df, name, **options):
+        kept.append(write(df, name, **options))
+        return kept[-1]
+
+    monkeypatch.setattr(warc, "written", noted)
+    links = spark.createDataFrame([("a", i, i + 1) for i in range(20)], "file string, start long, next long")
+    got = warc.reachable(links)
+    assert got.count() == 20 and len(kept) > 8
+    assert [t.written_at for t in kept if os.path.exists(t.written_at.removeprefix("file:"))] == [got.written_at]

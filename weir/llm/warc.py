@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from weir.llm.common import written
+from weir.llm.common import discard, written
 
 # Fixed values of the format.
 MAGIC = "WARC/1.0\r\n"
@@ -149,8 +149,10 @@ def pieces(spark: SparkSession, path: str) -> DataFrame:
     ``start`` is where a piece's record would begin (its magic), ``next`` where
     the record after it would; the piece before the first magic starts below 0.
     """
-    return (_placed(written(_cut(spark, path).drop("body"), "warc-pieces"))
-            .withColumn("next", F.col("start") + len(MAGIC) + F.col("next")))
+    found = written(_cut(spark, path).drop("body"), "warc-pieces")
+    every = written(_placed(found).withColumn("next", F.col("start") + len(MAGIC) + F.col("next")), "warc-offsets")
+    discard(found)
+    return every
 
 
 def _placed(found: DataFrame) -> DataFrame:
@@ -189,7 +191,8 @@ def reachable(links: DataFrame) -> DataFrame:
 
     ``links`` has one (file, start, next) per candidate.  Each round the reached
     set jumps along ``next`` and ``next`` doubles its stride, so a file of n
-    records takes log n rounds.  Tables are written, nothing is collected.
+    records takes log n rounds.  Tables are written, nothing is collected; those of
+    a round are deleted after the next.
     """
     jumps = written(links.where("next IS NOT NULL"), "warc-jumps")
     reached = written(links.where("start = 0").select("file", "start"), "warc-reached")
@@ -199,17 +202,20 @@ def reachable(links: DataFrame) -> DataFrame:
                 .join(onto, ["file", "start"], "left_semi"))
         grown = written(reached.unionByName(step).distinct(), "warc-reached")
         far = jumps.alias("a").join(jumps.alias("b"), (F.col("a.file") == F.col("b.file")) & (F.col("a.next") == F.col("b.start")))
-        jumps = written(far.select("a.file", "a.start", "b.next"), "warc-jumps")
-        reached = grown
+        further = written(far.select("a.file", "a.start", "b.next"), "warc-jumps")
+        discard(jumps, reached)
+        jumps, reached = further, grown
         if jumps.isEmpty():
+            discard(jumps)
             return reached
 
 
 def _verified(spark: SparkSession, path: str, every_text: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(records of one piece, records of several with their text, texts of the latter's pieces or of all)."""
-    every = written(pieces(spark, path), "warc-offsets")
+    every = pieces(spark, path)
     links = written(every.where("start >= 0").select("file", "start", "next"), "warc-links")
     real = reachable(links)
+    discard(links)
     # A piece belongs to the last verified record at or before it.
     marked = every.where("start >= 0").join(real.withColumn("real", F.lit(True)), ["file", "start"], "left")
     up = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, Window.currentRow)
