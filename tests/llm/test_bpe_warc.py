@@ -188,3 +188,36 @@ def test_tables_of_the_rounds_are_deleted(spark, monkeypatch):
     got = warc.reachable(links)
     assert got.count() == 20 and len(kept) > 8
     assert [t.written_at for t in kept if os.path.exists(t.written_at.removeprefix("file:"))] == [got.written_at]
+
+
+@pytest.mark.parametrize("bits", [1, 64, warc._BITS])
+def test_digests_that_occur_again_are_told_by_the_map(spark, monkeypatch, bits):
+    """Every repeated payload is told, and with room in the map no other one; a full map changes no record."""
+    monkeypatch.setattr(warc, "_BITS", bits)
+    pages = spark.createDataFrame([(i, f"http://a/{i}", f"page {i % 700}") for i in range(1_000)], "page_id long, url string, html string")
+    first = warc._repeated(pages, 0).cache()
+    assert first.count() == 300
+    again = {r["page_id"] for r in warc._may_repeat(warc._payloads(pages), first).where("again").select("page_id").collect()}
+    repeated = {i for i in range(1_000) if i % 700 < 300}
+    assert again == repeated if bits > 64 else again >= repeated
+    got = {r["page_id"]: r["record"] for r in warc.records(pages).collect()}
+    assert len(got) == 1_000
+    for i, record in got.items():
+        assert ("WARC-Type: revisit" in record) == (i < 300)
+        assert record.endswith("\r\n\r\n\r\n" if i < 300 else f"\r\n\r\npage {i % 700}\r\n")
+        assert i >= 300 or f"WARC-Refers-To: <urn:page:{i + 700}>" in record
+
+
+def test_payloads_without_copies_are_not_exchanged(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = []
+        for kinds in (500, 400):
+            pages = spark.createDataFrame([(i, None, f"page {i % kinds}") for i in range(500)], "page_id long, url string, html string")
+            found = warc.records(pages)
+            assert len(found.collect()) == 500
+            plans.append(found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert ["Exchange hashpartitioning(digest" in plan for plan in plans] == [False, True]

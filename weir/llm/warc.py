@@ -2,7 +2,9 @@
 
 Writing.  Each page becomes one record.  Among pages of equal payloads the one
 with the largest page_id is a response, the others are revisits that refer to
-it and carry no payload.  Archives are plain text files that Spark's text writer
+it and carry no payload.  Only pages whose digest may occur again are exchanged to
+find that one, told by a bitmap of bounded size; the others' records are written
+where the pages are read.  Archives are plain text files that Spark's text writer
 makes, so tasks commit their files as any Spark job does.
 
 Reading.  Files are read in splits, cut at the magic ``WARC/1.0``: every cut is a
@@ -40,6 +42,9 @@ PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"
 _BASE32_DIGITS, _BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
+# Bits of the map of digests that occur again: 2048 rows of 4 KB, 8 MB at most, however many pages there are.
+_BITS = 1 << 26
+
 Batches = Iterator[pa.RecordBatch]
 
 
@@ -50,18 +55,47 @@ def payload_digest(payload: Column) -> Column:
     return F.translate(F.concat(*parts), _BASE32_DIGITS, _BASE32)
 
 
+def _payloads(pages: DataFrame) -> DataFrame:
+    body = F.coalesce(F.col("html"), F.lit(""))
+    return pages.select("page_id", "url", body.alias("payload"), F.octet_length(body).cast("long").alias("payload_bytes"),
+                        payload_digest(body.cast("binary")).alias("digest"))
+
+
+def _repeated(pages: DataFrame, least_bytes: int) -> DataFrame:
+    """(digest, payload_bytes, response_id) of the payloads that more than one page has."""
+    # equal payloads: equal digest and length.  Only ids go through the grouping.
+    return (_payloads(pages).where(F.col("payload_bytes") >= least_bytes).groupBy("digest", "payload_bytes")
+            .agg(F.max("page_id").alias("response_id"), F.count(F.lit(1)).alias("copies")).where("copies > 1").drop("copies"))
+
+
+def _bit() -> Column:
+    """The bit of a payload, from 1."""
+    return F.pmod(F.xxhash64("digest", "payload_bytes"), F.lit(_BITS)) + 1
+
+
+def _may_repeat(base: DataFrame, first: DataFrame) -> DataFrame:
+    """``base`` with ``again``: true for every payload of ``first``, and for few others."""
+    bits = (first.groupBy(F.bitmap_bucket_number(_bit()).alias("_bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(_bit())).alias("_bits")))
+    at = F.bitmap_bit_position(_bit())
+    byte = F.conv(F.hex(F.substring("_bits", (F.shiftright(at, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return (base.withColumn("_bucket", F.bitmap_bucket_number(_bit())).join(F.broadcast(bits), ["_bucket"], "left")
+            .withColumn("again", F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))).drop("_bucket", "_bits"))
+
+
 def records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """(page_id, record): the text of each page's WARC record, but for its last line end.
 
-    Payloads under ``least_bytes`` are never revisits.
+    Payloads under ``least_bytes`` are never revisits.  What payloads occur again is written first.
     """
-    body = F.coalesce(F.col("html"), F.lit(""))
-    base = pages.select("page_id", "url", body.alias("payload"), F.octet_length(body).cast("long").alias("payload_bytes"),
-                        payload_digest(body.cast("binary")).alias("digest"))
-    # equal payloads: equal digest and length.  Only ids go through the grouping.
-    first = (base.where(F.col("payload_bytes") >= least_bytes).groupBy("digest", "payload_bytes")
-             .agg(F.max("page_id").alias("response_id"), F.count(F.lit(1)).alias("copies")).where("copies > 1").drop("copies"))
-    told = base.join(first, ["digest", "payload_bytes"], "left")
+    return _records(pages, written(_repeated(pages, least_bytes), "warc-repeated"))
+
+
+def _records(pages: DataFrame, first: DataFrame) -> DataFrame:
+    """:func:`records`, given what payloads occur again."""
+    base = _may_repeat(_payloads(pages), first)
+    told = (base.where("again").join(first, ["digest", "payload_bytes"], "left")
+            .unionByName(base.where("NOT again"), allowMissingColumns=True))
     revisit = F.col("response_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("response_id"))
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
     page = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("")), F.lit(">"))
@@ -82,7 +116,9 @@ def records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
 
 def write_archives(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
     """Write ``pages`` (page_id, url, html) as WARC files under ``path``, a file a task."""
-    records(pages, least_bytes).select("record").write.option("lineSep", "\r\n").text(path)
+    first = written(_repeated(pages, least_bytes), "warc-repeated")
+    _records(pages, first).select("record").write.option("lineSep", "\r\n").text(path)
+    discard(first)
 
 
 _PIECE = ("file string, split long, inside long, bytes long, next long, head long, "
