@@ -65,6 +65,27 @@ def test_full_tables_change_nothing(codec, library):
     assert ids_of(small, text) == ids_of(codec, text) == library.encode(text, add_special_tokens=False).ids
 
 
+def test_only_what_comes_again_is_kept(codec, monkeypatch):
+    """A worker keeps its tables for later tasks: words that come once take no place in them."""
+    monkeypatch.setattr(bpe, "MARKS", 1 << 16)
+    own = bpe.Codec(bpe.read_spec(vocabulary_path()))
+    once = " ".join(f"w{i}x{i * 7919}" for i in range(2_000))
+    found = [ids_of(own, f"{once} again") for _ in range(2)]
+    assert found[0] == found[1] == ids_of(codec, f"{once} again")
+    assert "again" in own.pieces.new
+
+    table = bpe.Recent(100)
+    for i in range(5_000):
+        table.put(f"once {i}", i)
+        table.put("often", -1)
+    assert table.get("often") == -1
+    assert len(table.new) + len(table.old) <= 200
+    table = bpe.Recent(1_000)
+    for i in range(500):
+        table.put(f"once {i}", i)
+    assert len(table.new) < 50
+
+
 def test_awkward_rows_round_trip(awkward, nothing, library):
     rows = bpe.encode(awkward, vocabulary_path(), ["doc_id", "text", "ids"], decoded=True).collect()
     assert len(rows) == awkward.count()

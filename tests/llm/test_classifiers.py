@@ -1,13 +1,16 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from weir.llm import language, toxicity
+from weir.llm.common import BATCH_BYTES, ready
 from weir.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
@@ -70,6 +73,35 @@ def test_languages_of_awkward_rows(awkward, nothing):
     assert {(r["lang_pred"], r["score"]) for r in unlearned} == {("und", 0.0)}
 
 
+def test_scoring_holds_little_beside_a_batch():
+    """What the scorer holds follows the slice and the longest document, not the batch."""
+    texts = [f"some words of text number {i} " * 100 for i in range(1_500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    model = type("Model", (), {"value": np.zeros((2, language.CELLS + 3))})
+    run = language._scorer(["a", "b"], model)
+    list(run(iter([batch.slice(0, 5)])))  # tables that stay
+    tracemalloc.start()
+    try:
+        list(run(iter([batch])))
+        assert tracemalloc.get_traced_memory()[1] < 40e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_batches_are_bounded_in_bytes(spark):
+    """Tasks get about BATCH_BYTES at a time, however long the texts are."""
+    ready(spark)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["n", "size"])
+
+    docs = spark.range(0, 64, 1, 1).selectExpr("repeat('text ', 20000) text")
+    found = docs.mapInArrow(sizes, "n long, size long").collect()
+    assert sum(r["n"] for r in found) == 64
+    assert max(r["size"] for r in found) <= BATCH_BYTES + 110_000
+
+
 def test_too_many_labels_are_refused(spark):
     docs = spark.range(language.MAX_LABELS + 1).select(F.col("id").cast("string").alias("lang"), F.lit("text").alias("text"))
     with pytest.raises(ValueError, match="labels"):

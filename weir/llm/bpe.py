@@ -9,7 +9,8 @@ Inside a word, a pair of neighbouring bytes that no vocabulary token contains is
 a certain cut: no merge can ever span it.  A word falls into fragments there,
 each fragment is merged by itself, and the ids are put one after the other.
 Fragments recur far more often than words, so a task keeps a bounded table of
-what it has merged; emptying a full table costs time, never a result.
+what it has merged; emptying a full table costs time, never a result.  A worker
+keeps its tables for later tasks, so only what comes again is put into them.
 
 Defined cases: a null or empty text has no ids and decodes to the empty text;
 texts of any length are processed whole, document by document; special tokens
@@ -34,7 +35,9 @@ from pyspark.sql import DataFrame
 from weir.llm.common import carried_columns, scored
 
 #: Entries of a task's table of pieces, and of its table of fragments.
-TABLE = 300_000
+TABLE = 150_000
+#: Marks (a byte each) by which a table tells what it has met before; a power of 2.
+MARKS = 1 << 20
 #: Bytes up to which a word's cuts are found one pair at a time.
 SHORT_WORD = 100
 #: Symbols up to which the next merge is found by looking at all of them.
@@ -64,18 +67,33 @@ def byte_letters() -> list[str]:
 
 
 class Recent:
-    """A bounded table: what was not asked for while a whole table filled up is forgotten."""
+    """A bounded table: what was not asked for while a whole table filled up is forgotten.
+
+    Most words of a corpus come once: a key enters when it is offered again.  Two
+    keys with one mark only enter early.
+    """
 
     def __init__(self, size: int):
         self.size, self.new, self.old = size, {}, {}
+        self.met, self.marks = 0, bytearray(MARKS)
 
     def get(self, key):
         found = self.new.get(key)
         if found is None and (found := self.old.get(key)) is not None:
-            self.put(key, found)
+            self._enter(key, found)
         return found
 
     def put(self, key, value) -> None:
+        mark = hash(key) & MARKS - 1
+        if self.marks[mark]:
+            self._enter(key, value)
+            return
+        if self.met >= MARKS // 4:
+            self.met, self.marks = 0, bytearray(MARKS)
+        self.met += 1
+        self.marks[mark] = 1
+
+    def _enter(self, key, value) -> None:
         if len(self.new) >= self.size:
             self.old, self.new = self.new, {}
         self.new[key] = value

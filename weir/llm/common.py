@@ -13,6 +13,8 @@ from weir.session import fresh_path
 
 #: Rows of an Arrow batch: texts are long, and a task holds a batch of them several times over.
 BATCH_ROWS = 1000
+#: Bytes of an Arrow batch, give or take a row: rows alone are no bound.
+BATCH_BYTES = 1 << 20
 
 #: White space between words, as a regular expression class (fixed by the contracts).
 WHITE = r"[\x20\x09-\x0D]"
@@ -26,10 +28,12 @@ def ready(spark: SparkSession) -> None:
 
     Workers get the package root on their path; on a cluster the package is
     installed, or shipped with ``--py-files``, as usual.  Spark's default for
-    Arrow batches is lowered, any other setting of it stays.
+    Arrow batches (rows, bytes) is lowered, any other setting of it stays.
     """
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if _ROOT not in paths:

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 # Odd multipliers of a 64-bit hash (arbitrary, fixed so that runs agree).
 _BASE = 0x9E3779B97F4A7C15
