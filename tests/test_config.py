@@ -71,3 +71,24 @@ def test_kafka_missing_package_is_explained(spark):
 
     with pytest.raises(RuntimeError, match="spark-sql-kafka"):
         read_kafka_stream(spark, "localhost:1", "t")
+
+
+class _Configured:
+    """As much of a session as tells its settings."""
+
+    def __init__(self, **conf):
+        self.conf = {f"spark.{k.replace('_', '.')}": v for k, v in conf.items()}
+
+
+def test_embedded_derby_is_refused_where_executors_have_their_own_jvm(spark, monkeypatch):
+    import pytest
+
+    from weir.plans import jobs
+
+    monkeypatch.setattr(jobs, "fresh_path", lambda spark, name: f"/tmp/{name}")
+    for master in ("local-cluster[3,4,10240]", "spark://host:7077", "yarn"):
+        with pytest.raises(ValueError, match="spark.weir.jdbc.url"):
+            jobs.jdbc_target(_Configured(master=master), "t")
+        url, conn = jobs.jdbc_target(_Configured(master=master, weir_jdbc_url="jdbc:x://db", weir_jdbc_user="u"), "t")
+        assert (url, conn) == ("jdbc:x://db", {"user": "u"})
+    assert jobs.jdbc_target(spark, "t")[0] == "jdbc:derby:/tmp/t;create=true"
